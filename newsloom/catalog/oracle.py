@@ -98,7 +98,7 @@ PARTS: dict[str, str] = {
     "c_models": """SELECT 'lexical' AS model, row_id, hist_len, pos, label, category, lexical AS score FROM c_both
         UNION ALL SELECT 'semantic', row_id, hist_len, pos, label, category, semantic FROM c_both""",
     "c_popmodel": "SELECT 'popularity' AS model, row_id, 0 AS hist_len, pos, label, '' AS category, score FROM c_popscore",
-    "c_log": """SELECT event_id AS impression_id, user_id, ts, k, inview, clicked, n_clicked,
+    "c_log": """SELECT event_id AS impression_id, user_id, time AS ts, k, inview, clicked, n_clicked,
         CASE WHEN k % 3 > 0 THEN CAST(k * 7 % 101 AS DOUBLE) END AS scroll_percentage, CAST(k AS DOUBLE) AS read_time,
         CAST(k % 3 AS BIGINT) AS device_type, k % 4 = 0 AS is_sso_user, CASE WHEN k % 5 > 0 THEN k % 2 = 0 END AS is_subscriber,
         CASE WHEN k % 33 = 0 THEN k % 2 END AS gender, CAST(c_imp.user_id AS BIGINT) * 1000 + k % 7 AS session_id,
@@ -471,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'candidate_published_later', split, count(*), count_if(coalesce(TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (n_chars % 720) > c.ts, false))::BIGINT
             FROM c_cand0 c JOIN c_split USING (event_id) LEFT JOIN documents d ON d.doc_id = c.aid GROUP BY split"""),
         "serving_time_view": w("SELECT device_type, count(*) AS n_rows, CAST(sum(n_clicked) AS BIGINT) AS n_clicks, CAST(11 AS BIGINT) AS n_columns FROM c_log GROUP BY device_type"),
-        "tfidf_score": w("""SELECT user_id, article_id, round(CASE WHEN norm > 0 THEN coalesce(s, 0) / norm ELSE 0 END, 6) AS score
+        "tfidf_score": w("""SELECT user_id, article_id, round(CASE WHEN norm > 0 THEN round(coalesce(s, 0) / norm, 9) ELSE 0 END, 6) AS score
             FROM c_pairs LEFT JOIN c_th USING (user_id, article_id) LEFT JOIN c_tqn USING (user_id)""", _TFIDF),
         "recall_by_slice": _slices("c_recall", ("recall_1", "recall_3", "recall_5"), LEX_RECALL | SEM_RECALL | {
             "c_recall": """SELECT 'lexical' AS model, hist_len, recall_1, recall_3, recall_5 FROM c_reclexical JOIN c_users USING (user_id)

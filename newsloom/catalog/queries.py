@@ -15,9 +15,9 @@ from newsloom.catalog import tables as t
 from newsloom.functions import lists, text, times
 from newsloom.functions.vectors import l2_norm
 from newsloom.operators import (
-    beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, splits, unify)
+    beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, unify)
 from newsloom.plans import build, evaluate, predict
-from newsloom.session import staging_path
+from newsloom.session import stage, staging_path
 from newsloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,8 +62,23 @@ def train_popularity(spark, sf) -> DataFrame:
     return popularity.popularity(split_impressions(spark, sf, "train"))
 
 
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
+def stored(spark, sf: str, name: str, make: Callable[[], object]):
+    """A store table that many queries read, written by the first of them in a session."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        _STORED[key] = make()
+    return _STORED[key]
+
+
+def users(spark, sf) -> DataFrame:
+    return stored(spark, sf, "users", lambda: stage(t.users(spark, sf), "users"))
+
+
 def index(spark, sf) -> lexical.LexicalIndex:
-    return lexical.build_bm25_index(t.articles(spark, sf))
+    return stored(spark, sf, "index", lambda: lexical.build_bm25_index(t.articles(spark, sf)))
 
 
 def test_candidates(spark, sf) -> DataFrame:
@@ -92,18 +107,18 @@ def late_histories(spark, sf) -> DataFrame:
 
 
 def semantic_ranked(spark, sf) -> DataFrame:
-    cands = evaluate.score_semantic(test_candidates(spark, sf), t.users(spark, sf), t.vectors(spark, sf), "drop")
-    return ranking.rank_candidates(cands)
+    cands = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "drop")
+    return stage(ranking.rank_candidates(cands), "ranked")
 
 
 def scored_test(spark, sf) -> DataFrame:
     """Comparable test candidates with both scores."""
-    return evaluate.score_both(test_impressions(spark, sf), t.users(spark, sf), t.articles(spark, sf),
+    return evaluate.score_both(test_impressions(spark, sf), users(spark, sf), t.articles(spark, sf),
                                t.vectors(spark, sf), index(spark, sf))
 
 
 def test_metrics(spark, sf) -> DataFrame:
-    return evaluate.evaluate_impressions(test_impressions(spark, sf), t.users(spark, sf), t.articles(spark, sf),
+    return evaluate.evaluate_impressions(test_impressions(spark, sf), users(spark, sf), t.articles(spark, sf),
                                          t.vectors(spark, sf), index(spark, sf))
 
 
@@ -162,7 +177,7 @@ def read_behaviors_parquet(spark, sf):
 def load_store(spark, sf):
     root = staging_path(spark, "store")
     writers.write_table(t.articles(spark, sf), root, "articles", "one")
-    writers.write_table(t.users(spark, sf), root, "users", "one")
+    writers.write_table(users(spark, sf), root, "users", "one")
     store = readers.load_store(spark, root, "one", ("articles", "users"))
     a = store["articles"].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("abstract")).alias("size"))
     u = store["users"].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("history")).cast("bigint").alias("size"))
@@ -201,7 +216,7 @@ def read_test_impressions(spark, sf):
 @query
 def history_for_test(spark, sf):
     late = late_histories(spark, sf)
-    return readers.history_for_test(unify.latest_users(late), t.users(spark, sf), per_user=True).select(
+    return readers.history_for_test(unify.latest_users(late), users(spark, sf), per_user=True).select(
         "user_id", joined("history"))
 
 
@@ -232,7 +247,7 @@ def write_splits(spark, sf):
 @query
 def write_index(spark, sf):
     root = staging_path(spark, "index")
-    writers.write_index(lexical.build_bm25_index(t.articles(spark, sf), staged=True), root, "one")
+    writers.write_index(index(spark, sf), root, "one")
     stored = build.index_from_store(readers.load_store(spark, root, "one", ("postings", "docs", "stats")))
     return stored.postings.groupBy("term").agg(
         F.count(F.lit(1)).alias("n_articles"), F.sum("tf").alias("total_tf"), r6(F.sum("weight")).alias("total_weight"))
@@ -405,7 +420,7 @@ def only_labeled(spark, sf):
 
 @query
 def with_history(spark, sf):
-    rows = evaluate.attach_history(t.impressions(spark, sf), t.users(spark, sf))
+    rows = evaluate.attach_history(t.impressions(spark, sf), users(spark, sf))
     return splits.with_history(rows).select("impression_id", "user_id")
 
 
@@ -413,7 +428,7 @@ def with_history(spark, sf):
 def all_candidates_known(spark, sf):
     cands = unify.labeled_candidates(t.impressions(spark, sf))
     flags = t.vectors(spark, sf).select("article_id", F.lit(1.0).alias("semantic"))
-    rows = evaluate.skew_join(cands, flags, ["article_id"], "left")
+    rows = skew.skew_join(cands, flags, ["article_id"], "left")
     return evaluate.all_candidates_known(rows).groupBy("row_id").agg(F.count(F.lit(1)).alias("n_candidates"))
 
 
@@ -434,7 +449,7 @@ def select_dataset(spark, sf):
 
 @query
 def slice_by_history(spark, sf):
-    rows = evaluate.attach_hist_len(t.impressions(spark, sf), t.users(spark, sf))
+    rows = evaluate.attach_hist_len(t.impressions(spark, sf), users(spark, sf))
     return splits.slice_by_history(rows).select("impression_id", "hist_len", "slice")
 
 
@@ -442,17 +457,17 @@ def slice_by_history(spark, sf):
 
 @query
 def attach_history(spark, sf):
-    return evaluate.attach_history(t.impressions(spark, sf), t.users(spark, sf)).select("impression_id", joined("history"))
+    return evaluate.attach_history(t.impressions(spark, sf), users(spark, sf)).select("impression_id", joined("history"))
 
 
 @query
 def history_text(spark, sf):
-    return lexical.history_text(t.users(spark, sf), t.articles(spark, sf)).select("user_id", "article_id", "text")
+    return lexical.history_text(users(spark, sf), t.articles(spark, sf)).select("user_id", "article_id", "text")
 
 
 @query
 def known_history(spark, sf):
-    return semantic.known_history(t.users(spark, sf), t.vectors(spark, sf)).select("user_id", "article_id", "n")
+    return semantic.known_history(users(spark, sf), t.vectors(spark, sf)).select("user_id", "article_id", "n")
 
 
 @query
@@ -467,8 +482,8 @@ def attach_vectors(spark, sf):
 @query
 def match_terms(spark, sf):
     idx = index(spark, sf)
-    asked = lexical.history_query(t.users(spark, sf), idx.postings)
-    return lexical.match_terms(test_pairs(spark, sf), asked, idx.postings).select(
+    asked = lexical.history_query(users(spark, sf), idx.postings)
+    return lexical.match_terms(stage(test_pairs(spark, sf), "pairs"), asked, idx.postings).select(
         "user_id", "article_id", "term", "tf", r6("weight").alias("weight"))
 
 
@@ -640,7 +655,7 @@ def ranks_from_scores(spark, sf):
 
 @query
 def order_by_score(spark, sf):
-    ranked = ranking.rank_candidates(evaluate.score_lexical(test_candidates(spark, sf), t.users(spark, sf), index(spark, sf)))
+    ranked = ranking.rank_candidates(evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf)))
     ordered = ranked.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("rank", "article_id"))).alias("o"))
     return ordered.select("row_id", F.array_join(F.col("o.article_id"), " ").alias("ordered"))
 
@@ -714,17 +729,17 @@ def column_presence(spark, sf):
 
 @query
 def build_bm25_index(spark, sf):
-    return rounded(index(spark, sf).postings, "idf", "weight")
+    return rounded(lexical.build_bm25_index(t.articles(spark, sf)).postings, "idf", "weight")
 
 
 @query
 def history_query(spark, sf):
-    return lexical.history_query(t.users(spark, sf), index(spark, sf).postings).select("user_id", "term")
+    return lexical.history_query(users(spark, sf), index(spark, sf).postings).select("user_id", "term")
 
 
 @query
 def bm25_score(spark, sf):
-    cands = evaluate.score_lexical(test_candidates(spark, sf), t.users(spark, sf), index(spark, sf))
+    cands = evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf))
     return cands.select("row_id", "article_id", r6("score").alias("score"))
 
 
@@ -737,14 +752,14 @@ def l2_normalize(spark, sf):
 
 @query
 def user_vector(spark, sf):
-    vecs = semantic.all_user_vectors(t.users(spark, sf), t.vectors(spark, sf), 64)
+    vecs = semantic.all_user_vectors(users(spark, sf), t.vectors(spark, sf), 64)
     return vecs.select("user_id", F.posexplode("user_vector").alias("dim", "value")).select(
         "user_id", F.col("dim").cast("bigint").alias("dim"), r6("value").alias("value"))
 
 
 @query
 def semantic_score(spark, sf):
-    cands = evaluate.score_semantic(test_candidates(spark, sf), t.users(spark, sf), t.vectors(spark, sf), "last")
+    cands = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "last")
     return cands.select("row_id", "article_id", r6("score").alias("score"))
 
 
@@ -778,14 +793,14 @@ def exact_vector_index(spark, sf):
 
 @query
 def rank_candidates(spark, sf):
-    cands = evaluate.score_lexical(test_candidates(spark, sf), t.users(spark, sf), index(spark, sf))
+    cands = evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf))
     return ranking.rank_candidates(cands).select("row_id", "article_id", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query
 def generate_predictions(spark, sf):
     test = unlabeled_test(spark, sf)
-    return writers.prediction_lines(predict.generate_predictions(test, t.vectors(spark, sf), t.users(spark, sf)))
+    return writers.prediction_lines(predict.generate_predictions(test, t.vectors(spark, sf), users(spark, sf)))
 
 
 @query
@@ -819,8 +834,8 @@ def assert_split_order(spark, sf):
 @query
 def build_feature_store(spark, sf):
     late = late_histories(spark, sf)
-    articles, users = build.build_feature_store(t.articles(spark, sf), [t.users(spark, sf), unify.latest_users(late)])
-    return users.select("user_id", joined("history"))
+    _, merged = build.build_feature_store(t.articles(spark, sf), [users(spark, sf), unify.latest_users(late)])
+    return merged.select("user_id", joined("history"))
 
 
 @query
@@ -842,19 +857,19 @@ RECALLS = tuple(f"recall_{k}" for k in KS)
 
 @query
 def lexical_recall(spark, sf):
-    out = evaluate.lexical_recall(test_impressions(spark, sf), t.users(spark, sf), index(spark, sf), KS)
+    out = evaluate.lexical_recall(test_impressions(spark, sf), users(spark, sf), index(spark, sf), KS)
     return rounded(out, *RECALLS)
 
 
 @query
 def semantic_recall(spark, sf):
-    out = evaluate.semantic_recall(test_impressions(spark, sf), t.users(spark, sf), t.vectors(spark, sf), KS)
+    out = evaluate.semantic_recall(test_impressions(spark, sf), users(spark, sf), t.vectors(spark, sf), KS)
     return rounded(out, *RECALLS)
 
 
 @query
 def mean_recall(spark, sf):
-    out = evaluate.semantic_recall(test_impressions(spark, sf), t.users(spark, sf), t.vectors(spark, sf), KS)
+    out = evaluate.semantic_recall(test_impressions(spark, sf), users(spark, sf), t.vectors(spark, sf), KS)
     return rounded(evaluate.mean_recall(out, KS), *RECALLS)
 
 
@@ -905,13 +920,14 @@ def compare_models(spark, sf):
 
 def lexical_top(spark, sf) -> DataFrame:
     idx = index(spark, sf)
-    readers_ = evaluate.wanted_users(t.users(spark, sf), test_impressions(spark, sf))
-    return retrieval.bm25_retrieve(lexical.history_query(readers_, idx.postings), idx, TOP)
+    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
+    return stage(retrieval.bm25_retrieve(lexical.history_query(readers_, idx.postings), idx, TOP), "top")
 
 
 def semantic_top(spark, sf) -> DataFrame:
-    readers_ = evaluate.wanted_users(t.users(spark, sf), test_impressions(spark, sf))
-    return retrieval.vector_retrieve(semantic.user_vectors(readers_, t.vectors(spark, sf)), t.vectors(spark, sf), TOP)
+    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
+    vecs = semantic.user_vectors(readers_, t.vectors(spark, sf))
+    return stage(retrieval.vector_retrieve(vecs, t.vectors(spark, sf), TOP), "top")
 
 
 def _top(df: DataFrame) -> DataFrame:
@@ -926,7 +942,7 @@ def bm25_retrieve(spark, sf):
 @query
 def bm25_retrieve_max_df(spark, sf):
     idx = index(spark, sf)
-    readers_ = evaluate.wanted_users(t.users(spark, sf), test_impressions(spark, sf))
+    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
     return _top(retrieval.bm25_retrieve(lexical.history_query(readers_, idx.postings), idx, TOP, max_df=0.2))
 
 
@@ -937,7 +953,7 @@ def vector_retrieve(spark, sf):
 
 @query
 def ann_retrieve(spark, sf):
-    readers_ = evaluate.wanted_users(t.users(spark, sf), test_impressions(spark, sf))
+    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
     vecs = t.vectors(spark, sf)
     return _top(retrieval.ann_retrieve(semantic.user_vectors(readers_, vecs), vecs, TOP, cells=8, probes=3))
 
@@ -1022,8 +1038,9 @@ def serving_time_view(spark, sf):
 @query
 def tfidf_score(spark, sf):
     cands = test_candidates(spark, sf)
-    readers_ = evaluate.wanted_users(t.users(spark, sf), cands)
-    scores = lexical.tfidf_score(evaluate.distinct_pairs(cands), readers_, index(spark, sf))
+    readers_ = evaluate.wanted_users(users(spark, sf), cands)
+    pairs = stage(evaluate.distinct_pairs(cands), "pairs")
+    scores = lexical.tfidf_score(pairs, readers_, index(spark, sf))
     return scores.select("user_id", "article_id", r6("score").alias("score"))
 
 
@@ -1035,13 +1052,13 @@ def word_vectors(spark, sf):
 
 @query
 def recall_by_slice(spark, sf):
-    rows, users = test_impressions(spark, sf), t.users(spark, sf)
-    lex = evaluate.lexical_recall(rows, users, index(spark, sf), KS).withColumn("model", F.lit("lexical"))
-    sem = evaluate.semantic_recall(rows, users, t.vectors(spark, sf), KS).withColumn("model", F.lit("semantic"))
-    lengths = evaluate.attach_hist_len(rows, users).select(F.col("impression_id").alias("row_id"), "hist_len")
+    rows, people = test_impressions(spark, sf), users(spark, sf)
+    lex = evaluate.lexical_recall(rows, people, index(spark, sf), KS).withColumn("model", F.lit("lexical"))
+    sem = evaluate.semantic_recall(rows, people, t.vectors(spark, sf), KS).withColumn("model", F.lit("semantic"))
+    lengths = evaluate.attach_hist_len(rows, people).select(F.col("impression_id").alias("row_id"), "hist_len")
     return rounded(metrics.recall_by_slice(lex.unionByName(sem).join(lengths, "row_id"), RECALLS), "value")
 
 
 @query
 def recent_query(spark, sf):
-    return lexical.history_query(t.users(spark, sf), index(spark, sf).postings, recent=3).select("user_id", "term")
+    return lexical.history_query(users(spark, sf), index(spark, sf).postings, recent=3).select("user_id", "term")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import full_text, tokenize
-from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.skew import HotKeys, hot_keys, skew_join
 from newsloom.operators.unify import history_rows
 from newsloom.session import stage
 
@@ -71,8 +71,11 @@ def bm25_weight(tf, dl, idf_col, avgdl, k1: float, b: float):
 
 
 def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS, k1: float = 1.5, b: float = 0.75,
-                     staged: bool = False) -> LexicalIndex:
-    """Index tables of the given text columns; `staged` writes the term counts once for all later reads.
+                     staged: bool = True) -> LexicalIndex:
+    """Index tables of the given text columns.
+
+    An index is read by several steps, so `staged` (the default) writes the term counts and then the
+    postings to the staging folder: text is tokenized once, and no reader recomputes the index.
 
     Document frequencies are row counts of `terms` per term, so the terms that nearly every article
     has are known before the join and are spread over tasks.
@@ -88,6 +91,8 @@ def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS
     postings = joined.select(
         "term", "article_id", "tf", "dl", "df", "idf",
         bm25_weight(F.col("tf"), F.col("dl"), F.col("idf"), avgdl, k1, b).alias("weight"))
+    if staged:
+        postings = stage(postings, "postings")
     return LexicalIndex(stats, doc_lengths(articles, text_cols), postings)
 
 
@@ -109,23 +114,25 @@ def history_query(users: DataFrame, postings: DataFrame, recent: int | None = No
         "user_id", "term", "idf").distinct()
 
 
-def match_terms(pairs: DataFrame, query: DataFrame, postings: DataFrame) -> DataFrame:
+def match_terms(pairs: DataFrame, query: DataFrame, postings: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """(user_id, article_id, term, idf, tf, dl, weight) for the terms a pair shares.
 
     Postings are cut to the pairs' articles first. The second join is on (user_id, term), which
     spreads a very active user over as many tasks as they have terms.
     """
     wanted = postings.select("article_id", "term", "tf", "dl", "weight")
-    at_pairs = skew_join(pairs.select("user_id", "article_id"), wanted, ["article_id"])
+    at_pairs = skew_join(pairs.select("user_id", "article_id"), wanted, ["article_id"], hot=hot)
     return at_pairs.join(query.select("user_id", "term", "idf"), ["user_id", "term"])
 
 
-def bm25_score(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str = "score") -> DataFrame:
+def bm25_score(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str = "score",
+               hot: HotKeys | None = None) -> DataFrame:
     """Distinct (user_id, article_id) pairs with their BM25 score, 0.0 where nothing matches.
 
-    A zero row per pair joins the sum, which replaces an outer join back to the pairs.
+    A zero row per pair joins the sum, which replaces an outer join back to the pairs. `hot` are the
+    hot articles of the pairs, if known.
     """
-    hits = match_terms(pairs, query, postings).select("user_id", "article_id", "weight")
+    hits = match_terms(pairs, query, postings, hot).select("user_id", "article_id", "weight")
     floor = pairs.select("user_id", "article_id", F.lit(0.0).alias("weight"))
     return hits.unionByName(floor).groupBy("user_id", "article_id").agg(F.round(F.sum("weight"), 9).alias(name))
 
@@ -150,4 +157,5 @@ def tfidf_score(pairs: DataFrame, users: DataFrame, index: LexicalIndex, name: s
     floor = pairs.select("user_id", "article_id", F.lit(0.0).alias("part"))
     sums = hits.unionByName(floor).groupBy("user_id", "article_id").agg(F.sum("part").alias("part"))
     score = F.when(F.col("norm") > 0, F.round(F.col("part") / F.col("norm"), 9)).otherwise(0.0)
-    return skew_join(sums, norms, ["user_id"], "left").select("user_id", "article_id", score.alias(name))
+    hot_users = hot_keys(pairs, ["user_id"])
+    return skew_join(sums, norms, ["user_id"], "left", hot=hot_users).select("user_id", "article_id", score.alias(name))

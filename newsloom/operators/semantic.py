@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import full_text, tokenize
 from newsloom.functions.vectors import from_ml_vector, l2_normalized, to_ml_vector, unit_dot
 from newsloom.operators.lexical import TEXT_COLS
-from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.skew import HotKeys, hot_keys, skew_join
 from newsloom.operators.unify import history_rows
 
 UNKNOWN_SCORE = -999.0  # Fixed value: score of a candidate without a vector in prediction files.
@@ -61,14 +61,15 @@ def all_user_vectors(users: DataFrame, vectors: DataFrame, dims: int) -> DataFra
         "user_id", F.coalesce("user_vector", zeros).alias("user_vector"))
 
 
-def attach_vectors(rows: DataFrame, vectors: DataFrame, unknown: str = "null") -> DataFrame:
+def attach_vectors(rows: DataFrame, vectors: DataFrame, unknown: str = "null", hot: HotKeys | None = None) -> DataFrame:
     """Rows with the embedding of their article. `unknown`: null keeps rows without one, drop removes them."""
     how = {"null": "left", "drop": "inner"}[unknown]
-    return skew_join(rows, vectors.select("article_id", "embedding"), ["article_id"], how)
+    return skew_join(rows, vectors.select("article_id", "embedding"), ["article_id"], how, hot=hot)
 
 
 def semantic_score(pairs: DataFrame, user_vecs: DataFrame, vectors: DataFrame, unknown: str = "null",
-                   name: str = "score") -> DataFrame:
+                   name: str = "score", hot_articles: HotKeys | None = None,
+                   hot_users: HotKeys | None = None) -> DataFrame:
     """Cosine of user and article vector per pair, other pair columns kept.
 
     A user without a vector scores 0.0 everywhere. Candidates without a vector, by `unknown`: drop
@@ -78,9 +79,9 @@ def semantic_score(pairs: DataFrame, user_vecs: DataFrame, vectors: DataFrame, u
     """
     if unknown not in ("drop", "null", "last"):
         raise ValueError(f"unknown policy: {unknown}")
-    hot_users = hot_keys(pairs, ["user_id"])
+    hot_users = hot_keys(pairs, ["user_id"]) if hot_users is None else hot_users
     spread = [c for c in pairs.columns if c != "user_id"]
-    with_article = attach_vectors(pairs, vectors, "drop" if unknown == "drop" else "null")
+    with_article = attach_vectors(pairs, vectors, "drop" if unknown == "drop" else "null", hot_articles)
     both = skew_join(with_article, user_vecs, ["user_id"], "left", hot=hot_users, spread=spread)
     dot = F.round(unit_dot(F.col("user_vector"), F.col("embedding")), 9)
     missing = {"null": F.lit(None).cast("double"), "drop": F.lit(None).cast("double"),

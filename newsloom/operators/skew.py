@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,48 +17,63 @@ def default_slices(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(df: DataFrame, keys: list[str], slices: int | None = None, counts: DataFrame | None = None) -> DataFrame:
-    """Keys that hold more than 1/slices of the rows, with the slice count each is cut into.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys that hold more than 1/slices of some rows; `table` has the slice number per key, None if no key does."""
+
+    table: DataFrame | None
+
 
-    Fewer than `slices` keys can qualify, whatever the size of the data, so the result is safe to
-    broadcast. Counting combines inside each map task before the shuffle. `counts` (keys, `_n`) skips
-    the counting pass where the row numbers are known already.
+def hot_keys(df: DataFrame, keys: list[str], slices: int | None = None, counts: DataFrame | None = None) -> HotKeys:
+    """Find the hot keys of `df` by one counting job that combines inside each map task before its shuffle.
+
+    Fewer than `slices` keys can qualify whatever the size of the data, so the driver sees at most that
+    many rows and the result is safe to broadcast. `counts` (keys, `_n`) skips the counting where the
+    row numbers are known already.
     """
     slices = slices or default_slices(df)
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_t")).scalar()
-    return (
-        counts.where(F.col("_n") * slices > total)
-        .select(*keys, F.ceil(F.col("_n") * slices / total).cast("int").alias("_slices"))
-    )
+    seen = Observation()
+    top = counts.observe(seen, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(slices).collect()
+    if not top:
+        return HotKeys(None)
+    total = seen.get["total"]
+    hot = [(*[row[k] for k in keys], math.ceil(row["_n"] * slices / total)) for row in top if row["_n"] * slices > total]
+    if not hot:
+        return HotKeys(None)
+    schema = T.StructType([counts.schema[k] for k in keys] + [T.StructField("_slices", T.IntegerType())])
+    return HotKeys(df.sparkSession.createDataFrame(hot, schema))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-              hot: DataFrame | None = None, spread: list[str] | None = None) -> DataFrame:
+              hot: HotKeys | None = None, spread: list[str] | None = None) -> DataFrame:
     """`left` joined to `right`, with the rows of hot left keys spread over several tasks.
 
     Hot left rows get a slice number from a hash of their other columns (fixed for a row, so a re-run
     task repeats it); the matching right rows are copied once per slice. All other keys join as usual.
-    `hot` may come from any superset of the left rows. `how`: inner, left, left_semi or left_anti.
+    Without a hot key this is a plain join, and Spark picks the physical form by the sizes it sees at run
+    time. `hot` may come from any superset of the left rows. `how`: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
         hot = hot_keys(left, on)
+    if hot.table is None:
+        return left.join(right, on, how)
     if spread is None:
         spread = [f.name for f in left.schema.fields if f.name not in on and isinstance(f.dataType, _SPREADABLE)]
     if not spread:
         raise ValueError("left rows need a column besides the key to be spread by; aggregate them first")
-    hot = F.broadcast(hot)
+    table = F.broadcast(hot.table)
     cut = F.coalesce(F.col("_slices"), F.lit(1))
     salted_left = (
-        left.join(hot, on, "left")
+        left.join(table, on, "left")
         .withColumn("_salt", F.when(cut > 1, F.pmod(F.xxhash64(*spread), cut).cast("int")).otherwise(0))
         .drop("_slices")
     )
     salted_right = (
-        right.join(hot, on, "left")
+        right.join(table, on, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), cut - 1)))
         .drop("_slices")
     )

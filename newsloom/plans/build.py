@@ -34,7 +34,7 @@ def build_store(spark: SparkSession, root: str, dataset: str, articles: DataFram
     mine = F.col("dataset") == dataset
     assert_split_order(spark.read.parquet(f"{root}/impressions").where(mine))
     stored = spark.read.parquet(f"{root}/articles").where(mine).drop("dataset")
-    write_index(build_bm25_index(stored, staged=True), root, dataset)
+    write_index(build_bm25_index(stored), root, dataset)
     write_embeddings_once(spark, root, dataset, stored, embed)
 
 

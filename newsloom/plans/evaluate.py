@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,9 +12,10 @@ from newsloom.operators.lexical import LexicalIndex, bm25_score, history_query
 from newsloom.operators.metrics import METRICS, attach_category, ranking_metrics, recall_at
 from newsloom.operators.ranking import rank_candidates
 from newsloom.operators.semantic import semantic_score, user_vectors
-from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.skew import HotKeys, hot_keys, skew_join
 from newsloom.operators.splits import only_labeled
 from newsloom.operators.unify import labeled_candidates
+from newsloom.session import stage
 
 
 def attach_history(impressions: DataFrame, users: DataFrame) -> DataFrame:
@@ -38,28 +41,55 @@ def distinct_pairs(cands: DataFrame) -> DataFrame:
     return cands.select("user_id", "article_id").distinct()
 
 
-def attach_scores(cands: DataFrame, scores: DataFrame) -> DataFrame:
-    """Pair scores back on the candidate rows. A pair repeated across many impressions is a hot key."""
-    return skew_join(cands, scores, ["user_id", "article_id"], "left")
+@dataclass(frozen=True)
+class Candidates:
+    """Candidate rows and their distinct pairs, both written out, with the hot keys found on them.
+
+    Every scoring join needs the pairs and their hot keys. Reading them from a table keeps each join's
+    counting pass as cheap as a scan, instead of running the plan behind the candidates again.
+    """
+
+    rows: DataFrame
+    pairs: DataFrame
+    hot_articles: HotKeys
+    hot_users: HotKeys
+
+    def attach(self, scores: DataFrame, how: str = "left") -> DataFrame:
+        """Pair scores back on the candidate rows. A pair repeated across many impressions is a hot key."""
+        return skew_join(self.rows, scores, ["user_id", "article_id"], how)
+
+
+def prepare(cands: DataFrame) -> Candidates:
+    rows = stage(cands, "candidates")
+    pairs = stage(distinct_pairs(rows), "pairs")
+    return Candidates(rows, pairs, hot_keys(pairs, ["article_id"]), hot_keys(pairs, ["user_id"]))
+
+
+def pair_lexical(c: Candidates, users: DataFrame, index: LexicalIndex, recent: int | None = None,
+                 name: str = "score") -> DataFrame:
+    query = history_query(wanted_users(users, c.pairs), index.postings, recent)
+    return bm25_score(c.pairs, query, index.postings, name, c.hot_articles)
+
+
+def pair_semantic(c: Candidates, users: DataFrame, vectors: DataFrame, unknown: str = "null", name: str = "score",
+                  pairs: DataFrame | None = None) -> DataFrame:
+    """Semantic scores of the pairs, or of `pairs` that extend them by more columns."""
+    vecs = user_vectors(wanted_users(users, c.pairs), vectors)
+    return semantic_score(c.pairs if pairs is None else pairs, vecs, vectors, unknown, name, c.hot_articles, c.hot_users)
 
 
 def score_lexical(cands: DataFrame, users: DataFrame, index: LexicalIndex, recent: int | None = None,
                   name: str = "score") -> DataFrame:
     """Candidates with their BM25 score; unknown candidates and users score 0.0."""
-    pairs = distinct_pairs(cands)
-    query = history_query(wanted_users(users, cands), index.postings, recent)
-    return attach_scores(cands, bm25_score(pairs, query, index.postings, name))
+    c = prepare(cands)
+    return c.attach(pair_lexical(c, users, index, recent, name))
 
 
 def score_semantic(cands: DataFrame, users: DataFrame, vectors: DataFrame, unknown: str = "null",
                    name: str = "score") -> DataFrame:
     """Candidates with their cosine score; `unknown` is the policy for candidates without a vector."""
-    pairs = distinct_pairs(cands)
-    vecs = user_vectors(wanted_users(users, cands), vectors)
-    scored = semantic_score(pairs, vecs, vectors, unknown, name)
-    if unknown == "drop":
-        return skew_join(cands, scored, ["user_id", "article_id"])
-    return attach_scores(cands, scored)
+    c = prepare(cands)
+    return c.attach(pair_semantic(c, users, vectors, unknown, name), "inner" if unknown == "drop" else "left")
 
 
 def all_candidates_known(scored: DataFrame, known: str = "semantic", key: tuple[str, ...] = ("row_id",)) -> DataFrame:
@@ -77,13 +107,10 @@ def score_both(impressions: DataFrame, users: DataFrame, articles: DataFrame, ve
     Both models see the same rows.
     """
     labeled = attach_hist_len(only_labeled(impressions, need_unclicked=True), users).where(F.col("hist_len") > 0)
-    cands = labeled_candidates(labeled, keep=("hist_len",))
-    pairs = distinct_pairs(cands)
-    readers = wanted_users(users, cands)
-    lexical = bm25_score(pairs, history_query(readers, index.postings), index.postings, "lexical")
-    both = semantic_score(lexical, user_vectors(readers, vectors), vectors, "null", "semantic")
-    categorized = attach_category(both, articles, hot=hot_keys(pairs, ["article_id"]))
-    return all_candidates_known(attach_scores(cands, categorized))
+    c = prepare(labeled_candidates(labeled, keep=("hist_len",)))
+    both = pair_semantic(c, users, vectors, "null", "semantic", pairs=pair_lexical(c, users, index, name="lexical"))
+    categorized = attach_category(both, articles, hot=c.hot_articles)
+    return all_candidates_known(c.attach(categorized))
 
 
 def by_model(scored: DataFrame, models: tuple[str, ...] = ("lexical", "semantic")) -> DataFrame:
