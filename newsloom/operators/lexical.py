@@ -39,10 +39,11 @@ def doc_lengths(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) ->
 def term_freq(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
     """(article_id, dl, term, tf). The length comes along from the row, so it costs no join.
 
-    All tokens of an article sit in one input row, so map-side combining already yields the final
-    counts and the shuffle carries each posting once.
+    The text is spread by article id before it is cut into words. That is the only shuffle, as counting
+    per article and term fits the same partitioning, and it evens out inputs of few or unequal files.
     """
-    tokens = articles.select("article_id", tokenize(full_text(*text_cols)).alias("tokens"))
+    texts = articles.select("article_id", full_text(*text_cols).alias("text")).repartition("article_id")
+    tokens = texts.select("article_id", tokenize(F.col("text")).alias("tokens"))
     rows = tokens.select("article_id", F.size("tokens").cast("bigint").alias("dl"), F.explode("tokens").alias("term"))
     return rows.groupBy("article_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 

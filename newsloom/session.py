@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +18,7 @@ DEFAULTS = {
 }
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def get_session(app: str = "newsloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,6 +53,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/newsloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per session, for drivers that did not pass it as a py-file."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        source = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        base = os.path.join(tempfile.mkdtemp(prefix="newsloom-code-"), "newsloom")
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", source, "newsloom"))
+        _shipped.add(app)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet and read it back.
 
