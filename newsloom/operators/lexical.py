@@ -44,8 +44,9 @@ def term_freq(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) -> Da
     """
     texts = articles.select("article_id", full_text(*text_cols).alias("text")).repartition("article_id")
     tokens = texts.select("article_id", tokenize(F.col("text")).alias("tokens"))
-    rows = tokens.select("article_id", F.size("tokens").cast("bigint").alias("dl"), F.explode("tokens").alias("term"))
-    return rows.groupBy("article_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # Outer, then filtered: a plain explode gets a length filter pushed below the shuffle, which cuts every text twice.
+    rows = tokens.select("article_id", F.size("tokens").cast("bigint").alias("dl"), F.explode_outer("tokens").alias("term"))
+    return rows.where(F.col("term").isNotNull()).groupBy("article_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def doc_freq(terms: DataFrame) -> DataFrame:

@@ -108,9 +108,9 @@ def score_both(impressions: DataFrame, users: DataFrame, articles: DataFrame, ve
     """
     labeled = attach_hist_len(only_labeled(impressions, need_unclicked=True), users).where(F.col("hist_len") > 0)
     c = prepare(labeled_candidates(labeled, keep=("hist_len",)))
-    both = pair_semantic(c, users, vectors, "null", "semantic", pairs=pair_lexical(c, users, index, name="lexical"))
-    categorized = attach_category(both, articles, hot=c.hot_articles)
-    return all_candidates_known(c.attach(categorized))
+    # Category and article vector follow each other, as both joins need the pairs partitioned by article.
+    lexical = attach_category(pair_lexical(c, users, index, name="lexical"), articles, hot=c.hot_articles)
+    return all_candidates_known(c.attach(pair_semantic(c, users, vectors, "null", "semantic", pairs=lexical)))
 
 
 def by_model(scored: DataFrame, models: tuple[str, ...] = ("lexical", "semantic")) -> DataFrame:
