@@ -436,6 +436,10 @@ def oracle_sql() -> dict[str, str]:
             WHEN ts > mx - INTERVAL 8 DAY THEN 'val' ELSE 'train' END AS split FROM c_ev, c_max"""),
         "assert_split_order": "SELECT 'train' AS earlier, 'val' AS later, true AS ok UNION ALL SELECT 'val', 'test', true",
         "build_feature_store": w("SELECT coalesce(l.user_id, u.user_id) AS user_id, coalesce(l.history, u.history) AS history FROM c_late l FULL JOIN c_users u ON l.user_id = u.user_id"),
+        "build_all": w(f"""SELECT 'articles' AS name, count(*) AS n_rows FROM c_news UNION ALL SELECT 'vectors', count(*) FROM c_news
+            UNION ALL SELECT 'docs', count(*) FROM c_news UNION ALL SELECT 'stats', 1 UNION ALL SELECT 'users', count(DISTINCT user_id) FROM c_ev
+            UNION ALL SELECT 'impressions', count(*) FROM c_ev WHERE k <> 50 UNION ALL SELECT 'postings', count(*) FROM (
+            SELECT DISTINCT article_id, unnest(regexp_extract_all(lower(title || ' ' || coalesce(abstract, '')), '{WORD}')) AS term FROM c_news)"""),
         "lexical_recall": w(f"SELECT row_id, {R135} FROM c_reclexical", LEX_RECALL),
         "semantic_recall": w(f"SELECT row_id, {R135} FROM c_recsemantic", SEM_RECALL),
         "mean_recall": w("SELECT round(avg(recall_1), 6) AS recall_1, round(avg(recall_3), 6) AS recall_3, round(avg(recall_5), 6) AS recall_5 FROM c_recsemantic", SEM_RECALL),

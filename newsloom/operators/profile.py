@@ -22,7 +22,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def distinct_profile(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """(column_name, n_distinct); `approx` trades exactness for one shuffle-free pass per task."""
+    """(column_name, n_distinct); `approx` shuffles one sketch per task and column instead of the values."""
     count = F.approx_count_distinct if approx else F.countDistinct
     row = df.agg(*[count(F.col(c)).alias(c) for c in cols])
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_distinct")) for c in cols])
