@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import exact, language, toxicity, urls
+from newsloom.llm import ctw, decontaminate, exact, language, mixing, repeats, toxicity, urls
 from newsloom.llm.common import held_out
 from newsloom.session import ship_package
 
+#: Shares of the mixed corpus by source, in blocks per period; every other source has one.
+TARGETS = {"src0": 4, "src1": 3, "src2": 3, "src3": 2}
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -21,6 +23,10 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf, "documents")).drop("bucket")
 
 
+def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"), TARGETS).select("doc_id", "source", "mix_block", "mix_slot", "mix_position")
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 4)))
@@ -28,6 +34,20 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "edits", "end_word")
+
+
+def op7_context_tree(spark: SparkSession, sf: str) -> DataFrame:
+    rated = ctw.score_texts(table(spark, sf, "documents"), ~held_out(F.col("id"), 7))
+    return rated.select("doc_id", held_out(F.col("doc_id"), 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op8_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf, "pages"), URL_RULES).drop("url_score")
 
@@ -39,7 +59,8 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_toxicity, op9_url_filter, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_mix, op4_toxicity, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
