@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ctw, decontaminate, exact, language, mixing, repeats, toxicity, urls
+from newsloom.llm import ctw, decontaminate, exact, jaccard, language, mixing, repeats, toxicity, urls
 from newsloom.llm.common import held_out
 from newsloom.session import ship_package
 
@@ -27,6 +27,10 @@ def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"), TARGETS).select("doc_id", "source", "mix_block", "mix_slot", "mix_position")
 
 
+def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf, "documents"), n=4, percent=85)
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"), 4)))
@@ -60,7 +64,7 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_mix, op4_toxicity, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
+    op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
