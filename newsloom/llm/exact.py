@@ -55,7 +55,7 @@ def directory(chains: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> t
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1000,
                      max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per row of `docs`: id, `keep_id`, `group_size`, `kept`, `text_sha256`, `bucket`.
+    """One row per row of `docs`: id, `keep_id`, `group_size`, `kept`, `text_sha256`, `bucket`, `points` (code points).
 
     Of texts that are equal without white space, the row with the most code points and then the smallest id stays.
     Null and empty texts are one group. Rows that repeat id, text and length are one row each in the result, and of
@@ -105,4 +105,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     head = F.col("id").eqNullSafe(F.col("head.id")) & (-F.col("points") == F.col("head.less"))
     return several.unionByName(single).withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
         F.col("id").alias(id_col), F.col("head.id").alias("keep_id"), "group_size",
-        (head & (F.col("turn") == 1)).alias("kept"), F.col("digest").alias("text_sha256"), "bucket")
+        (head & (F.col("turn") == 1)).alias("kept"), F.col("digest").alias("text_sha256"), "bucket", "points")
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, with all their columns; of rows that agree in id and text any one stays."""
+    stay = exact_duplicates(docs, id_col, text_col).where("kept").select(
+        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__digest"), F.col("points").alias("__points"))
+    keyed = docs.withColumns({"__d": F.sha2(normalised(F.col(text_col)), 256), "__p": F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")})
+    left = keyed.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")) & (F.col("__p") == F.col("__points")), "left_semi")
+    if docs.groupBy(id_col).count().where("count > 1").limit(1).count():
+        left = left.dropDuplicates([id_col, "__d", "__p"])
+    return left.select(*docs.columns)

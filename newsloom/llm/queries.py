@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import ctw, decontaminate, exact, jaccard, language, mixing, repeats, toxicity, urls
+from newsloom.llm import ctw, decontaminate, exact, jaccard, language, licenses, mixing, repeats, toxicity, urls
 from newsloom.llm.common import held_out
 from newsloom.session import ship_package
 
@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return exact.exact_duplicates(table(spark, sf, "documents")).drop("bucket")
+    return exact.exact_duplicates(table(spark, sf, "documents")).drop("bucket", "points")
 
 
 def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "edits", "end_word")
@@ -64,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
+    op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op5_license_scan, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
@@ -75,4 +79,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": _OP1}
+    return {"op1_exact_dedup": _OP1, "op5_license_scan": licenses.scan_sql()}
