@@ -1,5 +1,65 @@
-"""A training corpus from `documents`, stage by stage."""
-STAGES = []
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""A training corpus from `documents`: known language, no copies, no near copies, no benchmark passages, mixed by source.
+
+Each stage reads what its predecessor kept, and all but the last return the columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from newsloom.llm import decontaminate, exact, jaccard, language, mixing
+from newsloom.llm.common import held_out
+from newsloom.llm.queries import TARGETS
+from newsloom.session import ship_package, stage
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without a letter and texts that no learned language explains better than chance."""
+    ship_package(spark)
+    model = language.train(docs.where(~held_out(F.col("doc_id"), 4)))
+    return language.identify(docs, model).where("lang_pred != 'und' AND lang_gain > 0").select(*docs.columns)
+
+
+def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal without white space, the longest and then first stays."""
+    ship_package(spark)
+    return exact.without_copies(docs)
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a Jaccard similarity of 0.8 over five-word shingles, the document of smallest id stays."""
+    ship_package(spark)
+    return jaccard.one_of_each(docs, n=5, percent=80)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, up to a fifth of its words edited, go."""
+    ship_package(spark)
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their place in the mixed corpus."""
+    ship_package(spark)
+    return mixing.mix(docs, TARGETS)
+
+
+STAGES = [
+    ("language", known_language),
+    ("exact_dedup", no_copies),
+    ("jaccard_join", no_near_copies),
+    ("decontamination", no_benchmark),
+    ("mixing", mixed),
+]
+
+#: Mixture inference, edit matching and scheduling have no SQL; the tests hold the pipeline against brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"corpus-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

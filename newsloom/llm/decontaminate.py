@@ -122,6 +122,15 @@ class Index:
                     yield text, item_id, edits, a - int(before[text]) + end
 
 
+def item_passes(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[list[tuple[int, str]]]:
+    """The items in lists of about `PASS_BYTES` of text, by hash; one list if they are no more than that."""
+    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
+    passes = (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PASS_BYTES + 1
+    for i in range(passes):
+        some = items if passes == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i)
+        yield [(r["item"], r["text"]) for r in some.collect()]
+
+
 def passages(docs: DataFrame, benchmark: DataFrame, budget: float = 0.2, id_col: str = "doc_id", text_col: str = "text",
              item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, `item_id`, `edits`, `end_word`): every benchmark item with a passage within its budget in a row of `docs`.
@@ -132,13 +141,9 @@ def passages(docs: DataFrame, benchmark: DataFrame, budget: float = 0.2, id_col:
     row by row. The benchmark is sent to the tasks in passes of at most `PASS_BYTES` of text (or one item). Further
     columns are not read.
     """
-    spark = docs.sparkSession
     slim = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(slim.dtypes)["id"]
-    items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
     schema = f"id {kind}, item_id long, edits int, end_word long"
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = total // PASS_BYTES + 1
 
     def search(some: list[tuple[int, str]]) -> DataFrame:
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,13 +164,36 @@ def passages(docs: DataFrame, benchmark: DataFrame, budget: float = 0.2, id_col:
         return slim.mapInArrow(find, schema)
 
     found = None
-    for i in range(passes):
-        some = items if passes == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i)
-        part = search([(r["item"], r["text"]) for r in some.collect()])
+    for some in item_passes(benchmark, item_id, item_text):
+        part = search(some)
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, budget: float = 0.2, text_col: str = "text", item_id: str = "item_id",
+          item_text: str = "text") -> DataFrame:
+    """The rows of `docs` without a passage of any benchmark item (see `passages`), with all their columns.
+
+    Rows are judged one by one in the tasks that read them: nothing is shuffled.
+    """
+    schema = docs.schema
+
+    def without(some: list[tuple[int, str]]):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = Index(some, budget)
+            for batch in batches:
+                good = np.ones(batch.num_rows, bool)
+                for first, _, data, offsets in chunks(batch.column(batch.schema.get_field_index(text_col))):
+                    for text, _, _, _ in index.search(*words(data, offsets, PUNCTUATION)):
+                        good[first + text] = False
+                yield batch.filter(pa.array(good))
+        return keep
+
+    for some in item_passes(benchmark, item_id, item_text):
+        docs = docs.mapInArrow(without(some), schema)
+    return docs
+
+
 def contaminated(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per id of `found`: `n_items`, `items` (ascending) and the fewest `edits`."""
     return found.groupBy(id_col).agg(

@@ -139,17 +139,8 @@ def verify(base: DataFrame, pairs: DataFrame, homes: DataFrame, levels: np.ndarr
     return stage(placed.groupBy("block").cogroup(needed.groupBy("at")).applyInArrow(check, "a long, b long"), "links")
 
 
-def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, `n_shingles` (set size) and `component_id`, the smallest id its links lead to.
-
-    Sets are the distinct n-word shingles of the whole text, A-Z lower-cased; a text of fewer words is one shingle, null and
-    empty texts and those without words have none and are linked with nothing. Documents link when
-    100 · |intersection| ≥ `percent` · |union|. Equal sets always link. A null id is the smallest; rows that agree in id and text
-    are rows of one document. Further columns are not read. An empty table gives an empty result.
-    """
-    if not 0 < percent <= 100:
-        raise ValueError("percent is above 0 and at most 100")
-    base = numbered(docs, id_col, text_col)
+def linked(base: DataFrame, n: int, percent: int) -> DataFrame:
+    """(`row`, `n`, `component`) per row of `base` (`row`, `text`): set size and the smallest row its links lead to."""
     levels = slot_levels(base, n)
 
     def signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +183,33 @@ def jaccard_groups(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str =
     ).select(*pair).distinct()
     second = verify(base, across, homes, levels, n, percent)
     labels = components(first.union(second))
-    ids = base.select("row", "id").distinct()
     member = sets.join(classes.select(*kind, F.col("row").alias("head")), kind, "left").select("row", "n", F.coalesce("head", "row").alias("head"))
-    member = member.join(labels.withColumnRenamed("node", "head"), "head", "left").select("row", "n", F.coalesce("component", "head").alias("component"))
-    return member.join(ids, "row").join(ids.selectExpr("row AS component", "id AS component_id"), "component").select(
+    return member.join(labels.withColumnRenamed("node", "head"), "head", "left").select("row", "n", F.coalesce("component", "head").alias("component"))
+
+
+def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of `docs`: id, `n_shingles` (set size) and `component_id`, the smallest id its links lead to.
+
+    Sets are the distinct n-word shingles of the whole text, A-Z lower-cased; a text of fewer words is one shingle, null and
+    empty texts and those without words have none and are linked with nothing. Documents link when
+    100 · |intersection| ≥ `percent` · |union|. Equal sets always link. A null id is the smallest; rows that agree in id and text
+    are rows of one document. Further columns are not read. An empty table gives an empty result.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("percent is above 0 and at most 100")
+    base = numbered(docs, id_col, text_col)
+    ids = base.select("row", "id").distinct()
+    return linked(base, n, percent).join(ids, "row").join(ids.selectExpr("row AS component", "id AS component_id"), "component").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose id is the smallest of their group (see `jaccard_groups`).
+
+    Texts without words are groups of their own and stay. Rows that agree in id and text stay or go together.
+    """
+    base = numbered(docs, id_col, text_col)
+    stay = linked(base, n, percent).where("row = component").select("row").distinct()
+    stay = base.select("row", "id", F.xxhash64("text").alias("__h")).join(stay, "row").select(F.col("id").alias("__id"), "__h").distinct()
+    keyed = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return keyed.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")), "left_semi").select(*docs.columns)
