@@ -60,7 +60,7 @@ def string_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 def _segments(data: np.ndarray, starts: np.ndarray, length: int):
     """(anchor hash, segment hash, first start, last start) for ascending `starts` of strings in `data`."""
-    gram = max(1, length * 28 // 100)
+    gram = max(1, length // 5)
     window = length - gram + 1
     sums, down = _sums(data)
     hashes = mix((sums[gram:] - sums[:-gram]) * down[:len(data) - gram + 1])
