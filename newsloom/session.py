@@ -70,5 +70,5 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     ends at a table that outlives lost executors, and each reader prunes columns at the scan.
     """
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
