@@ -1,0 +1,69 @@
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.llm import language
+from newsloom.llm.common import held_out
+from newsloom.llm.queries import op10_language_id
+
+EXTRA = "doc_id long, text string, lang string, lang_pred int, langs string"
+
+
+def grams(text):
+    """Byte trigrams around a letter, all but letters blank, as in the docstring."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 97 <= b <= 122 else 32 for b in text.encode())
+    padded = b" " + data + b" "
+    return [padded[i:i + 3] for i in range(len(data)) if data[i] != 32]
+
+
+def brute(train, text, rounds=15):
+    langs = sorted({lang for lang, _ in train})
+    counts = {x: Counter(g for lang, t in train if lang == x for g in grams(t)) for x in langs}
+    slots = 1 << 16
+    logs = {x: {g: math.log((counts[x][g] + 0.1) / (sum(counts[x].values()) + 0.1 * slots)) for g in grams(text)} for x in langs}
+    c, share = Counter(grams(text)), dict.fromkeys(langs, 1 / len(langs))
+    for _ in range(rounds):
+        new = dict.fromkeys(langs, 0.0)
+        for g, n in c.items():
+            part = {x: share[x] * math.exp(logs[x][g]) for x in langs}
+            for x in langs:
+                new[x] += n * part[x] / sum(part.values())
+        share = {x: v / sum(c.values()) for x, v in new.items()}
+    return share
+
+
+def test_shares_match_brute_force(spark):
+    train = [("en", "the cat sat on the mat and the dog ran"), ("de", "der Hund läuft über die Straße und die Katze"), ("fr", "le chat est sur la table où il dort")]
+    texts = ["the Katze sat über the Straße", "le chat and the dog", "où", "x1y2 !!"]
+    labelled = spark.createDataFrame([(t, x) for x, t in train], "text string, lang string")
+    docs = spark.createDataFrame([(i, t, None, 1, "e") for i, t in enumerate(texts)], EXTRA)
+    got = {r["doc_id"]: r for r in language.identify(docs, language.train(labelled)).collect()}
+    for i, text in enumerate(texts):
+        want = brute(train, text)
+        best = max(sorted(want), key=lambda x: want[x])
+        assert got[i]["lang_pred"] == best and got[i]["lang_score"] == pytest.approx(want[best], abs=1e-5)
+        assert got[i]["lang_pred"] in got[i]["langs"]
+    mixed = "the dog ran on the mat " * 20 + "die Katze läuft über die Straße " * 20
+    row = language.identify(spark.createDataFrame([(mixed,)], "text string"), language.train(labelled)).first()
+    assert sorted(row["langs"]) == ["de", "en"]
+
+
+def test_undetermined_texts_and_empty_tables(spark):
+    labelled = spark.createDataFrame([("ab cd", "xx"), (None, "xx"), ("ab", None)], "text string, lang string")
+    docs = spark.createDataFrame([(1, None, None, 1, "e"), (1, "", "xx", 1, "e"), (None, "12 ..!", None, 1, "e"), (2, "ab " * 200_000, None, 1, "e"), (2, "é", None, 1, "e")], EXTRA)
+    model = language.train(labelled)
+    got = sorted(((r["doc_id"] or 0, r["lang_pred"], r["langs"]) for r in language.identify(docs, model).collect()), key=repr)
+    assert got == sorted([(1, "und", []), (1, "und", []), (0, "und", []), (2, "xx", ["xx"]), (2, "xx", ["xx"])], key=repr)
+    assert {r["lang_pred"] for r in language.identify(docs, language.train(labelled.limit(0))).collect()} == {"und"}
+    assert language.identify(docs.limit(0), model).collect() == []
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    got = op10_language_id(spark, sf)
+    right = got.join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
+    n, good = right.agg(F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int"))).first()
+    assert n > 200 and good / n > 0.97
+    assert got.where(held_out(F.col("doc_id"), 4) != F.col("held_out")).count() == 0
