@@ -12,7 +12,7 @@ WORD = r"[\p{L}\p{N}_]+"
 PARTS: dict[str, str] = {
     "c_step": "SELECT count(*) // 100 AS step FROM embeddings",
     "c_ev": """SELECT event_id, user_id, ts, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, step
-        FROM events, c_step WHERE event_type IN ('view', 'click', 'purchase')""",
+        FROM events, c_step""",
     "c_cand0": """SELECT event_id, user_id, ts, j, k,
         CAST(((k + 1000 + (j - event_id % 10) * (7 + 10 * (event_id % 9))) % 100 + 1) * step + user_id % step AS BIGINT) AS aid,
         CASE WHEN event_type IN ('click', 'purchase') AND j = event_id % 10 THEN 1 ELSE 0 END AS label
@@ -211,10 +211,6 @@ def _semantic_lines(known: str, dot: str) -> str:
         LEFT JOIN {dot} USING (reader, article_id)) GROUP BY event_id"""
 
 
-def _quantiles(rows: list[tuple[str, str, str]], extra: str = "") -> str:
-    return " UNION ALL ".join(rows)
-
-
 def _summary(pairs: list[tuple[str, str]], source: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, count({e}) AS n, round(min({e}), 6)::DOUBLE AS min_value, round(max({e}), 6)::DOUBLE AS max_value,
@@ -288,6 +284,10 @@ _BANDS = {
     "c_band": """SELECT article_id, clicks, CASE WHEN clicks >= (SELECT min(clicks) FROM c_levels
         WHERE above <= (1 - 0.8::DOUBLE) * (SELECT count(*) FROM c_pop)) THEN 'head' ELSE 'tail' END AS band FROM c_pop""",
 }
+# Ids that come twice: every third article and vector is replaced by a later copy.
+_LATE_ARTICLES = {"c_art": PARTS["c_art"].replace("split_part(text, chr(10), 1) AS title", "CASE WHEN doc_id % 3 = 0 THEN 'late ' ELSE '' END || split_part(text, chr(10), 1) AS title")
+                  .replace("lang AS category", "CASE WHEN doc_id % 3 = 0 THEN 'late ' ELSE '' END || lang AS category")}
+_LATE_VECTORS = {"c_dims": PARTS["c_dims"].replace("unnest(embedding)", "unnest(CASE WHEN vec_id % 3 = 0 THEN list_reverse(embedding) ELSE embedding END)")}
 _CODE = "CAST('0x' || substr(md5(term), 1, 8) AS BIGINT)"
 
 
@@ -311,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
         "load_store": w("""SELECT 'articles' AS name, count(*) AS n_rows, CAST(sum(length(abstract)) AS BIGINT) AS size FROM c_art
             UNION ALL SELECT 'users', count(*), CAST(sum(hist_len) AS BIGINT) FROM c_users"""),
         "scan_many": "SELECT r AS source_rank, event_type, count(*) AS n_rows, max(event_id) AS last_id FROM events, (SELECT CAST(0 AS INTEGER) AS r UNION ALL SELECT 1) GROUP BY ALL",
-        "read_all_datasets": w(f"SELECT 'logs_' || split AS dataset, impression_id, user_id, impressions {split_rows} WHERE split IN ('train', 'test')"),
+        "read_all_datasets": w(f"SELECT 'logs_' || split AS dataset, impression_id, user_id, impressions {split_rows}"),
         "read_test_impressions": w("""SELECT impression_id, c_imp.user_id, coalesce(len(items), 0) AS n_history, inview AS candidates
             FROM c_imp LEFT JOIN c_histlist h USING (event_id) UNION ALL SELECT impression_id, user_id, -1, inview FROM c_imp"""),
         "history_for_test": w("SELECT coalesce(l.user_id, u.user_id) AS user_id, coalesce(l.history, u.history) AS history FROM c_late l FULL JOIN c_users u ON l.user_id = u.user_id"),
@@ -452,7 +452,6 @@ def oracle_sql() -> dict[str, str]:
         "slice_report": report,
         "compare_models": f"SELECT slice, metric, max(value) FILTER (model = 'lexical') AS lexical, max(value) FILTER (model = 'semantic') AS semantic FROM ({report}) GROUP BY ALL",
         "bm25_retrieve": w(f"{top} c_ltop"),
-        "bm25_retrieve_max_df": w(f"{top} c_ltopdf", {"c_ltopdf": PARTS["c_ltop"].replace("JOIN c_post USING (term)", "JOIN c_post USING (term), c_stats WHERE df <= 0.2::DOUBLE * n")}),
         "vector_retrieve": w(f"{top} c_vtop"),
         "intra_list_diversity": w("""SELECT user_id, round(CASE WHEN n > 1 THEN 1 - (sum(s * s) - n) / (n * (n - 1)) ELSE 0 END, 6) AS ild FROM (
             SELECT user_id, dim, count(*) AS n, sum(x) AS s FROM c_vtop JOIN c_unit USING (article_id) GROUP BY ALL) GROUP BY user_id, n"""),
@@ -475,10 +474,19 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'candidate_published_later', split, count(*), count_if(coalesce(TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (n_chars % 720) > c.ts, false))::BIGINT
             FROM c_cand0 c JOIN c_split USING (event_id) LEFT JOIN documents d ON d.doc_id = c.aid GROUP BY split"""),
         "serving_time_view": w("SELECT device_type, count(*) AS n_rows, CAST(sum(n_clicked) AS BIGINT) AS n_clicks, CAST(11 AS BIGINT) AS n_columns FROM c_log GROUP BY device_type"),
-        "tfidf_score": w("""SELECT user_id, article_id, round(CASE WHEN norm > 0 THEN round(coalesce(s, 0) / norm, 9) ELSE 0 END, 6) AS score
+        "tfidf_score": w("""SELECT user_id, article_id, round(CASE WHEN norm > 0 THEN round(coalesce(s, 0) / norm, 9) ELSE 0 END, 7) AS score
             FROM c_pairs LEFT JOIN c_th USING (user_id, article_id) LEFT JOIN c_tqn USING (user_id)""", _TFIDF),
         "recall_by_slice": _slices("c_recall", ("recall_1", "recall_3", "recall_5"), LEX_RECALL | SEM_RECALL | {
             "c_recall": """SELECT 'lexical' AS model, hist_len, recall_1, recall_3, recall_5 FROM c_reclexical JOIN c_users USING (user_id)
                 UNION ALL SELECT 'semantic', hist_len, recall_1, recall_3, recall_5 FROM c_recsemantic JOIN c_users USING (user_id)"""}),
+        "word_vectors": w(f"""SELECT a.article_id, d.dim, round(coalesce(value / nullif(sqrt(sum(value * value) OVER (PARTITION BY a.article_id)), 0), 0), 6) AS value FROM c_art a CROSS JOIN (SELECT CAST(dim AS BIGINT) AS dim FROM range(16) r(dim)) d
+            LEFT JOIN (SELECT article_id, dim, sum(tf * v) / any_value(dl) AS value FROM c_tf JOIN c_dl USING (article_id) JOIN c_wv USING (term) GROUP BY ALL) m
+            ON m.article_id = a.article_id AND m.dim = d.dim""", {
+            "c_wsketch": f"SELECT article_id, {_CODE} % 16 AS dim, sum(CASE WHEN ({_CODE} // 16) % 2 = 0 THEN tf ELSE -tf END)::DOUBLE AS v FROM c_tf GROUP BY ALL",
+            "c_wv": "SELECT term, dim, sum(tf * v) AS v FROM c_tf JOIN c_wsketch USING (article_id) GROUP BY ALL"}),
+        "build_bm25_index_repeats": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
+        "semantic_score_repeats": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
+            FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS),
+        "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES),
         "recent_query": w("""SELECT DISTINCT user_id, term FROM (SELECT user_id, article_id FROM c_hist JOIN c_users USING (user_id) WHERE pos >= hist_len - 3) JOIN c_tf USING (article_id)"""),
     }

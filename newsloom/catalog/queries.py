@@ -51,7 +51,7 @@ def stamp(name: str) -> Column:
 
 
 def split_impressions(spark, sf, split: str) -> DataFrame:
-    return splits.temporal_split(t.impressions(spark, sf)).where(F.col("split") == split)
+    return splits.one_split(t.impressions(spark, sf), split)
 
 
 def test_impressions(spark, sf) -> DataFrame:
@@ -91,8 +91,8 @@ def test_pairs(spark, sf) -> DataFrame:
 
 def unlabeled_test(spark, sf) -> DataFrame:
     """Test impressions without labels: in-view order, the row number taken from the event."""
-    rows = splits.temporal_split(t.inview_log(spark, sf).withColumnRenamed("impression_time", "time"))
-    return rows.where(F.col("split") == "test").select(
+    rows = splits.one_split(t.inview_log(spark, sf).withColumnRenamed("impression_time", "time"), "test")
+    return rows.select(
         F.col("impression_id").alias("row_id"), F.col("impression_id").cast("string").alias("impression_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("article_ids_inview").cast("array<string>").alias("candidates"))
@@ -101,7 +101,7 @@ def unlabeled_test(spark, sf) -> DataFrame:
 def late_histories(spark, sf) -> DataFrame:
     """Histories logged with the events of the test day; many users have none."""
     log = t.history_log(spark, sf).withColumn("time", F.col("impression_time"))
-    return splits.temporal_split(log).where(F.col("split") == "test").select(
+    return splits.one_split(log, "test").select(
         F.col("user_id").cast("string").alias("user_id"), F.col("article_id_fixed").cast("array<string>").alias("history"),
         F.col("event_id").alias("source_rank"))
 
@@ -195,7 +195,7 @@ def read_all_datasets(spark, sf):
     root = staging_path(spark, "datasets")
     rows = splits.temporal_split(t.impressions(spark, sf)).select("impression_id", "split")
     behaviors = t.behaviors(spark, sf).join(rows, "impression_id")
-    for name in ("train", "test"):
+    for name in splits.SPLITS:
         part = behaviors.where(F.col("split") == name).drop("split")
         write_tsv(part.select("impression_id", "user_id", "time", "history", "impressions"), f"{root}/logs_{name}/behaviors.tsv")
     return readers.read_all_datasets(spark, f"{root}/*/behaviors.tsv", "behaviors", "part-*", level=2).select(
@@ -939,13 +939,6 @@ def bm25_retrieve(spark, sf):
     return _top(lexical_top(spark, sf))
 
 
-@query
-def bm25_retrieve_max_df(spark, sf):
-    idx = index(spark, sf)
-    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
-    return _top(retrieval.bm25_retrieve(lexical.history_query(readers_, idx.postings), idx, TOP, max_df=0.2))
-
-
 @query
 def vector_retrieve(spark, sf):
     return _top(semantic_top(spark, sf))
@@ -1041,13 +1034,14 @@ def tfidf_score(spark, sf):
     readers_ = evaluate.wanted_users(users(spark, sf), cands)
     pairs = stage(evaluate.distinct_pairs(cands), "pairs")
     scores = lexical.tfidf_score(pairs, readers_, index(spark, sf))
-    return scores.select("user_id", "article_id", r6("score").alias("score"))
+    return scores.select("user_id", "article_id", F.round("score", 7).alias("score"))
 
 
 @query
 def word_vectors(spark, sf):
-    out = semantic.word_vectors(t.articles(spark, sf), dims=16)
-    return out.select("article_id", F.size("embedding").cast("bigint").alias("dims"))
+    out = semantic.l2_normalize(semantic.word_vectors(t.articles(spark, sf), dims=16))
+    return out.select("article_id", F.posexplode("embedding").alias("dim", "value")).select(
+        "article_id", F.col("dim").cast("bigint").alias("dim"), r6("value").alias("value"))
 
 
 @query
@@ -1059,6 +1053,40 @@ def recall_by_slice(spark, sf):
     return rounded(metrics.recall_by_slice(lex.unionByName(sem).join(lengths, "row_id"), RECALLS), "value")
 
 
+# Repeated ids: the last row counts ----------------------------------------------------------------
+
+def repeated_articles(spark, sf) -> DataFrame:
+    """Every third article comes a second time from a later source, with other text and another category."""
+    rows = t.articles(spark, sf).withColumn("source_rank", F.lit(0))
+    again = rows.where(F.col("article_id").cast("bigint") % 3 == 0).withColumns({
+        "title": F.concat(F.lit("late "), "title"), "category": F.concat(F.lit("late "), "category"), "source_rank": F.lit(1)})
+    return rows.unionByName(again)
+
+
+def repeated_vectors(spark, sf) -> DataFrame:
+    """Every third vector comes a second time from a later source, with its values in reverse order."""
+    rows = t.vectors(spark, sf).withColumn("source_rank", F.lit(0))
+    again = rows.where(F.col("article_id").cast("bigint") % 3 == 0).withColumns({
+        "embedding": F.reverse("embedding"), "source_rank": F.lit(1)})
+    return rows.unionByName(again)
+
+
+@query
+def build_bm25_index_repeats(spark, sf):
+    return rounded(lexical.build_bm25_index(repeated_articles(spark, sf)).postings, "idf", "weight")
+
+
+@query
+def semantic_score_repeats(spark, sf):
+    scores = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), repeated_vectors(spark, sf), "last")
+    return scores.select("row_id", "article_id", r6("score").alias("score"))
+
+
+@query
+def attach_category_repeats(spark, sf):
+    return metrics.attach_category(test_candidates(spark, sf), repeated_articles(spark, sf)).select("row_id", "pos", "article_id", "category")
+
+
 @query
 def recent_query(spark, sf):
     return lexical.history_query(users(spark, sf), index(spark, sf).postings, recent=3).select("user_id", "term")

@@ -2,7 +2,7 @@
 
 Everything is computed inside the row it comes from, so no table here needs a shuffle except `users`.
 
-An event of type view, click or purchase is one impression of ten candidates. Its payload number k
+Every event is one impression of ten candidates; clicks and purchases have a clicked one. Its payload number k
 (0..99) and its user pick candidates and an inline history from a catalog whose size follows the
 embeddings table: item m (0..99) of a user is article (m + 1) * step + user_id % step, where step is
 one hundredth of the number of embeddings. Item 99 lies past the embeddings, which gives candidates
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.unify import first_history
 
-SHOWN = ("view", "click", "purchase")  # Fixed values: event types that count as impressions.
 CLICKED = ("click", "purchase")  # Fixed values: event types whose impression has a click.
 
 
@@ -54,7 +53,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 def events(spark: SparkSession, sf: str) -> DataFrame:
     """Impression events with the payload number k and the catalog step."""
     step = table(spark, sf, "embeddings").agg(F.floor(F.count(F.lit(1)) / 100).alias("step")).scalar()
-    return table(spark, sf, "events").where(F.col("event_type").isin(*SHOWN)).select(
+    return table(spark, sf, "events").select(
         "event_id", "user_id", "ts", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         step.alias("step"))
 

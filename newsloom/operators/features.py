@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import ENTITY_SCHEMA, parse_entities
 from newsloom.functions.times import epoch_seconds
 from newsloom.operators.semantic import mean_vectors
-from newsloom.operators.skew import hot_keys, skew_join
-from newsloom.operators.unify import labeled_candidates
+from newsloom.operators.skew import skew_join
+from newsloom.operators.unify import labeled_candidates, one_per_id
 
 
 def history_clicks(history: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def recency_vectors(clicks: DataFrame, vectors: DataFrame, at, tau_seconds: floa
     age = epoch_seconds(at) - epoch_seconds(F.col("click_time"))
     past = clicks.select("user_id", "article_id", age.alias("age")).where(F.col("age") >= 0)
     weights = past.groupBy("user_id", "article_id").agg(F.sum(decay(F.col("age"), tau_seconds)).alias("weight"))
-    rows = skew_join(weights, vectors.select("article_id", "embedding"), ["article_id"])
+    rows = skew_join(weights, one_per_id(vectors, "embedding"), ["article_id"])
     return mean_vectors(rows, "user_id", "embedding", "weight")
 
 
@@ -69,8 +69,8 @@ def history_leaks(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
 def future_candidates(impressions: DataFrame, articles: DataFrame) -> DataFrame:
     """Candidates with `leak` where the article was published after the impression."""
     cands = labeled_candidates(impressions, keep=("time", "split"))
-    published = articles.select("article_id", "published_time")
-    joined = skew_join(cands, published, ["article_id"], "left", hot=hot_keys(cands, ["article_id"]))
+    published = one_per_id(articles, "published_time")
+    joined = skew_join(cands, published, ["article_id"], "left")
     return joined.withColumn("leak", F.coalesce(F.col("published_time") > F.col("time"), F.lit(False)))
 
 

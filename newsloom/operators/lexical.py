@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import full_text, tokenize
-from newsloom.operators.skew import HotKeys, hot_keys, skew_join
-from newsloom.operators.unify import history_rows
+from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.unify import history_rows, one_per_id
 from newsloom.session import stage
 
 TEXT_COLS = ("title", "abstract")
@@ -27,13 +27,14 @@ class LexicalIndex:
 def history_text(users: DataFrame, articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
     """(user_id, article_id, text) for the distinct history entries that are in the catalog."""
     seen = history_rows(users).select("user_id", "article_id").distinct()
-    texts = articles.select("article_id", full_text(*text_cols).alias("text"))
+    texts = one_per_id(articles, *text_cols).select("article_id", full_text(*text_cols).alias("text"))
     return skew_join(seen, texts, ["article_id"])
 
 
-def doc_lengths(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
-    """(article_id, dl); articles without a token count with length 0."""
-    return articles.select("article_id", F.size(tokenize(full_text(*text_cols))).cast("bigint").alias("dl"))
+def doc_lengths(articles: DataFrame, terms: DataFrame) -> DataFrame:
+    """(article_id, dl) from the term counts, which carry it; articles without a token count with length 0."""
+    known = terms.groupBy("article_id").agg(F.max("dl").alias("dl"))
+    return articles.select("article_id").distinct().join(known, "article_id", "left").withColumn("dl", F.coalesce("dl", F.lit(0).cast("long")))
 
 
 def term_freq(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
@@ -57,7 +58,7 @@ def doc_freq(terms: DataFrame) -> DataFrame:
 def corpus_stats(articles: DataFrame, terms: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """One row (n, avgdl, k1, b). Empty articles count in n; token totals reuse the term counts."""
     total = terms.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("t")).scalar()
-    n = F.count(F.lit(1))
+    n = F.countDistinct("article_id")
     return articles.agg(n.alias("n"), F.when(n > 0, total / n).otherwise(F.lit(0.0)).alias("avgdl")).select(
         "n", "avgdl", F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"))
 
@@ -79,9 +80,10 @@ def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS
     An index is read by several steps, so `staged` (the default) writes the term counts and then the
     postings to the staging folder: text is tokenized once, and no reader recomputes the index.
 
-    Document frequencies are row counts of `terms` per term, so the terms that nearly every article
-    has are known before the join and are spread over tasks.
+    Of repeated article ids the last row counts. Document frequencies are row counts of `terms` per term, so the
+    terms that nearly every article has are known before the join and are spread over tasks.
     """
+    articles = one_per_id(articles, *text_cols)
     terms = term_freq(articles, text_cols)
     if staged:
         terms = stage(terms, "terms")
@@ -95,7 +97,7 @@ def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS
         bm25_weight(F.col("tf"), F.col("dl"), F.col("idf"), avgdl, k1, b).alias("weight"))
     if staged:
         postings = stage(postings, "postings")
-    return LexicalIndex(stats, doc_lengths(articles, text_cols), postings)
+    return LexicalIndex(stats, doc_lengths(articles, terms), postings)
 
 
 def recent_history(users: DataFrame, n: int) -> DataFrame:
@@ -116,25 +118,23 @@ def history_query(users: DataFrame, postings: DataFrame, recent: int | None = No
         "user_id", "term", "idf").distinct()
 
 
-def match_terms(pairs: DataFrame, query: DataFrame, postings: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def match_terms(pairs: DataFrame, query: DataFrame, postings: DataFrame) -> DataFrame:
     """(user_id, article_id, term, idf, tf, dl, weight) for the terms a pair shares.
 
     Postings are cut to the pairs' articles first. The second join is on (user_id, term), which
     spreads a very active user over as many tasks as they have terms.
     """
     wanted = postings.select("article_id", "term", "tf", "dl", "weight")
-    at_pairs = skew_join(pairs.select("user_id", "article_id"), wanted, ["article_id"], hot=hot)
+    at_pairs = skew_join(pairs.select("user_id", "article_id"), wanted, ["article_id"])
     return at_pairs.join(query.select("user_id", "term", "idf"), ["user_id", "term"])
 
 
-def bm25_score(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str = "score",
-               hot: HotKeys | None = None) -> DataFrame:
+def bm25_score(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str = "score") -> DataFrame:
     """Distinct (user_id, article_id) pairs with their BM25 score, 0.0 where nothing matches.
 
-    A zero row per pair joins the sum, which replaces an outer join back to the pairs. `hot` are the
-    hot articles of the pairs, if known.
+    A zero row per pair joins the sum, which replaces an outer join back to the pairs.
     """
-    hits = match_terms(pairs, query, postings, hot).select("user_id", "article_id", "weight")
+    hits = match_terms(pairs, query, postings).select("user_id", "article_id", "weight")
     floor = pairs.select("user_id", "article_id", F.lit(0.0).alias("weight"))
     return hits.unionByName(floor).groupBy("user_id", "article_id").agg(F.round(F.sum("weight"), 9).alias(name))
 
@@ -159,5 +159,4 @@ def tfidf_score(pairs: DataFrame, users: DataFrame, index: LexicalIndex, name: s
     floor = pairs.select("user_id", "article_id", F.lit(0.0).alias("part"))
     sums = hits.unionByName(floor).groupBy("user_id", "article_id").agg(F.sum("part").alias("part"))
     score = F.when(F.col("norm") > 0, F.round(F.col("part") / F.col("norm"), 9)).otherwise(0.0)
-    hot_users = hot_keys(pairs, ["user_id"])
-    return skew_join(sums, norms, ["user_id"], "left", hot=hot_users).select("user_id", "article_id", score.alias(name))
+    return skew_join(sums, norms, ["user_id"], "left").select("user_id", "article_id", score.alias(name))

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.operators.ranking import by_score
-from newsloom.operators.skew import HotKeys, skew_join
+from newsloom.operators.skew import skew_join
+from newsloom.operators.unify import one_per_id
 
 RECALL_CUTS = (50, 100, 200)  # Fixed values: default recall cut-offs.
 METRICS = ("auc", "mrr", "ndcg_5", "ndcg_10", "category_diversity_5")
 
 
-def attach_category(rows: DataFrame, articles: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Rows with the category of their article, "unknown" outside the catalog."""
-    joined = skew_join(rows, articles.select("article_id", "category"), ["article_id"], "left", hot=hot)
+def attach_category(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """Rows with the category of their article, the last one where ids repeat, "unknown" outside the catalog."""
+    joined = skew_join(rows, one_per_id(articles, "category"), ["article_id"], "left")
     return joined.withColumn("category", F.coalesce("category", F.lit("unknown")))
 
 
@@ -105,13 +106,9 @@ def ndcg_at(scored: DataFrame, ks: tuple[int, ...] = (5, 10), key: tuple[str, ..
     return ranking_metrics(scored, key, ks=ks, diversity_k=None).select(*key, *[f"ndcg_{k}" for k in ks])
 
 
-def category_diversity(ranked: DataFrame, articles: DataFrame, k: int = 5, key: tuple[str, ...] = ("row_id",),
-                       hot: HotKeys | None = None) -> DataFrame:
-    """Distinct categories over list length among the first k ranked candidates.
-
-    `hot` are the hot articles of the candidates, if known; without it the ranking runs once more to find them.
-    """
-    top = attach_category(ranked.where(F.col("rank") <= k), articles, hot)
+def category_diversity(ranked: DataFrame, articles: DataFrame, k: int = 5, key: tuple[str, ...] = ("row_id",)) -> DataFrame:
+    """Distinct categories over list length among the first k ranked candidates."""
+    top = attach_category(ranked.where(F.col("rank") <= k), articles)
     return top.groupBy(*key).agg(
         (F.size(F.collect_set("category")) / F.count(F.lit(1))).alias(f"category_diversity_{k}"))
 

@@ -6,16 +6,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Normalizer, Word2Vec
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import full_text, tokenize
 from newsloom.functions.vectors import from_ml_vector, l2_normalized, to_ml_vector, unit_dot
-from newsloom.operators.lexical import TEXT_COLS
-from newsloom.operators.skew import HotKeys, hot_keys, skew_join
-from newsloom.operators.unify import history_rows
+from newsloom.operators.lexical import TEXT_COLS, term_freq
+from newsloom.operators.skew import hot_keys, skew_join
+from newsloom.operators.unify import history_rows, one_per_id
+from newsloom.session import stage
 
 UNKNOWN_SCORE = -999.0  # Fixed value: score of a candidate without a vector in prediction files.
 
@@ -45,7 +46,7 @@ def user_vectors(users: DataFrame, vectors: DataFrame) -> DataFrame:
     without a known entry have no row; their scores are 0.0.
     """
     counted = history_rows(users).groupBy("user_id", "article_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = skew_join(counted, vectors.select("article_id", "embedding"), ["article_id"])
+    rows = skew_join(counted, one_per_id(vectors, "embedding"), ["article_id"])
     unit = Normalizer(inputCol="raw", outputCol="v", p=2.0)
     ready = unit.transform(rows.select("user_id", F.col("n").cast("double").alias("n"),
                                        to_ml_vector(F.col("embedding")).alias("raw")))
@@ -61,28 +62,24 @@ def all_user_vectors(users: DataFrame, vectors: DataFrame, dims: int) -> DataFra
         "user_id", F.coalesce("user_vector", zeros).alias("user_vector"))
 
 
-def attach_vectors(rows: DataFrame, vectors: DataFrame, unknown: str = "null", hot: HotKeys | None = None) -> DataFrame:
-    """Rows with the embedding of their article. `unknown`: null keeps rows without one, drop removes them."""
+def attach_vectors(rows: DataFrame, vectors: DataFrame, unknown: str = "null") -> DataFrame:
+    """Rows with the embedding of their article, the last one where ids repeat. `unknown`: null keeps rows without one, drop removes them."""
     how = {"null": "left", "drop": "inner"}[unknown]
-    return skew_join(rows, vectors.select("article_id", "embedding"), ["article_id"], how, hot=hot)
+    return skew_join(rows, one_per_id(vectors, "embedding"), ["article_id"], how)
 
 
 def semantic_score(pairs: DataFrame, user_vecs: DataFrame, vectors: DataFrame, unknown: str = "null",
-                   name: str = "score", hot_articles: HotKeys | None = None,
-                   hot_users: HotKeys | None = None) -> DataFrame:
+                   name: str = "score") -> DataFrame:
     """Cosine of user and article vector per pair, other pair columns kept.
 
     A user without a vector scores 0.0 everywhere. Candidates without a vector, by `unknown`: drop
     removes the pair, null gives a null score, last gives the fixed low score if the user has a vector.
-    Pairs meet the narrower float article vectors first; user vectors come to them in a second
-    shuffle whose hot users are counted on the bare pairs.
+    Pairs meet the narrower float article vectors first; user vectors come to them in a second shuffle.
     """
     if unknown not in ("drop", "null", "last"):
         raise ValueError(f"unknown policy: {unknown}")
-    hot_users = hot_keys(pairs, ["user_id"]) if hot_users is None else hot_users
-    spread = [c for c in pairs.columns if c != "user_id"]
-    with_article = attach_vectors(pairs, vectors, "drop" if unknown == "drop" else "null", hot_articles)
-    both = skew_join(with_article, user_vecs, ["user_id"], "left", hot=hot_users, spread=spread)
+    with_article = attach_vectors(pairs, vectors, "drop" if unknown == "drop" else "null")
+    both = skew_join(with_article, user_vecs, ["user_id"], "left")
     dot = F.round(unit_dot(F.col("user_vector"), F.col("embedding")), 9)
     missing = {"null": F.lit(None).cast("double"), "drop": F.lit(None).cast("double"),
                "last": F.when(F.col("user_vector").isNull(), 0.0).otherwise(UNKNOWN_SCORE)}[unknown]
@@ -90,14 +87,24 @@ def semantic_score(pairs: DataFrame, user_vecs: DataFrame, vectors: DataFrame, u
     return both.select(*pairs.columns, score.alias(name))
 
 
+def term_code(term: Column) -> Column:
+    """A number from the first 32 bits of the word's md5."""
+    return F.conv(F.substring(F.md5(term.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def dense(by_dim: str, dims: int) -> Column:
+    """The array of a map from axis to value, 0.0 where an axis is absent."""
+    return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.coalesce(F.element_at(by_dim, d), F.lit(0.0)))
+
+
 def hash_encoder_vectors(articles: DataFrame, dims: int = 64, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
     """Text vectors by signed feature hashing of tokens, for use without a model.
 
-    Token counts combine per article and dimension inside the map task, and at most `dims` values per
-    article are gathered into its vector.
+    Texts are spread by article once; counting per article and axis and gathering at most `dims` values per article
+    fit that partitioning. Of repeated article ids the last row counts.
     """
-    tokens = articles.select("article_id", F.explode_outer(tokenize(full_text(*text_cols))).alias("term"))
-    code = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    tokens = one_per_id(articles, *text_cols).select("article_id", F.explode_outer(tokenize(full_text(*text_cols))).alias("term"))
+    code = term_code(F.col("term"))
     cells = (
         tokens.select("article_id", (code % dims).cast("int").alias("dim"),
                       F.when((code / dims).cast("bigint") % 2 == 0, 1).otherwise(-1).alias("sign"))
@@ -105,9 +112,7 @@ def hash_encoder_vectors(articles: DataFrame, dims: int = 64, text_cols: tuple[s
     )
     packed = cells.groupBy("article_id").agg(F.map_from_entries(F.collect_list(
         F.when(F.col("dim").isNotNull(), F.struct("dim", "value")))).alias("by_dim"))
-    vector = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                         lambda d: F.coalesce(F.element_at("by_dim", d), F.lit(0.0)).cast("float"))
-    return packed.select("article_id", vector.alias("embedding"))
+    return packed.select("article_id", dense("by_dim", dims).cast("array<float>").alias("embedding"))
 
 
 def embed_articles(articles: DataFrame, make_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
@@ -129,20 +134,27 @@ def embed_articles(articles: DataFrame, make_encoder: Callable[[], Callable[[lis
     return texts.mapInPandas(run, "article_id string, embedding array<float>")
 
 
-def word_vectors(articles: DataFrame, dims: int = 32, seed: int = 7, min_count: int = 5, max_vocabulary: int = 2_000_000,
-                 text_cols: tuple[str, ...] = TEXT_COLS, partitions: int = 1, iterations: int = 1) -> DataFrame:
-    """Article vectors as means of Word2Vec word vectors.
+def word_vectors(articles: DataFrame, terms: DataFrame | None = None, dims: int = 32, text_cols: tuple[str, ...] = TEXT_COLS) -> DataFrame:
+    """Article vectors as means of word vectors, by random indexing.
 
-    The trainer keeps one vector per word on the driver, so the number of words that reach
-    `min_count` is checked first and a larger vocabulary is refused, never cut.
+    Every word has a fixed random direction: one of `dims` axes and a sign, both from its hash. A word's vector is the sum of
+    the directions of all words of the articles it occurs in, as often as they occur together; an article's vector is
+    the mean over its words. Two joins and two sums with partial sums in the map tasks: no vocabulary is held
+    anywhere, every word counts, and words that nearly every article has are spread over tasks. `terms` are the
+    term counts of the articles, if known. Articles without a word have a zero vector.
     """
-    docs = articles.select("article_id", tokenize(full_text(*text_cols)).alias("tokens"))
-    words = docs.select(F.explode("tokens").alias("term")).groupBy("term").count().where(F.col("count") >= min_count)
-    size = words.count()
-    if size > max_vocabulary:
-        raise ValueError(f"{size} words reach min_count={min_count}; raise it, or max_vocabulary if memory allows")
-    if size == 0:
-        raise ValueError(f"no word reaches min_count={min_count}")
-    model = Word2Vec(vectorSize=dims, minCount=min_count, seed=seed, inputCol="tokens", outputCol="v",
-                     numPartitions=partitions, maxIter=iterations).fit(docs)
-    return model.transform(docs).select("article_id", from_ml_vector(F.col("v")).alias("embedding"))
+    terms = stage(term_freq(one_per_id(articles, *text_cols), text_cols), "terms") if terms is None else terms
+    terms = terms.select("article_id", "dl", "term", "tf")
+    code = term_code(F.col("term"))
+    cells = terms.groupBy("article_id", (code % dims).cast("int").alias("dim")).agg(
+        F.sum(F.when((code / dims).cast("bigint") % 2 == 0, F.col("tf")).otherwise(-F.col("tf"))).cast("double").alias("value"))
+    sketch = cells.groupBy("article_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "value"))).alias("by_dim")).select(
+        "article_id", dense("by_dim", dims).alias("sketch"))
+    seen = terms.join(sketch, "article_id")
+    words = stage(seen.groupBy("term").agg(Summarizer.sum(to_ml_vector(F.col("sketch")), F.col("tf").cast("double")).alias("v")), "word-vectors")
+    hot = hot_keys(terms, ["term"], counts=terms.groupBy("term").agg(F.count(F.lit(1)).alias("_n")))
+    at = skew_join(terms, words, ["term"], hot=hot, spread=["article_id"])
+    means = at.groupBy("article_id").agg(Summarizer.mean(F.col("v"), F.col("tf").cast("double")).alias("m"))
+    zeros = F.array_repeat(F.lit(0.0), dims)
+    return articles.select("article_id").distinct().join(means, "article_id", "left").select(
+        "article_id", F.coalesce(from_ml_vector(F.col("m")), zeros).alias("embedding"))

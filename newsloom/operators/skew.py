@@ -52,14 +52,13 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
 
     Hot left rows get a slice number from a hash of their other columns (fixed for a row, so a re-run
     task repeats it); the matching right rows are copied once per slice. All other keys join as usual.
-    Without a hot key this is a plain join, and Spark picks the physical form by the sizes it sees at run
-    time. `hot` may come from any superset of the left rows. `how`: inner, left, left_semi or left_anti.
+    Without `hot` this is a plain join: nothing is counted ahead, Spark picks the physical form by the sizes it
+    sees at run time, and its adaptive skew join splits the partitions of frequent keys. Pass `hot` where the
+    counts exist anyway. It may come from any superset of the left rows. `how`: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if hot is None:
-        hot = hot_keys(left, on)
-    if hot.table is None:
+    if hot is None or hot.table is None:
         return left.join(right, on, how)
     if spread is None:
         spread = [f.name for f in left.schema.fields if f.name not in on and isinstance(f.dataType, _SPREADABLE)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.times import days
@@ -14,14 +14,28 @@ def max_time(df: DataFrame) -> DataFrame:
     return df.agg(F.max("time").alias("max_time"))
 
 
+def cuts(df: DataFrame, test_days: float = 1, val_days: float = 1) -> tuple[Column, Column]:
+    """(last time before the test days, last time before the validation days) as scalar subqueries.
+
+    The subtraction is inside the subquery, so a filter on `time` is a plain comparison that a scan can use.
+    """
+    return tuple(df.agg((F.max("time") - days(n)).alias("cut")).scalar() for n in (test_days, test_days + val_days))
+
+
+def one_split(df: DataFrame, split: str, test_days: float = 1, val_days: float = 1) -> DataFrame:
+    """The rows of one split with its name, by comparisons on `time` alone."""
+    test_from, val_from = cuts(df, test_days, val_days)
+    time = F.col("time")
+    kept = {"test": time > test_from, "val": (time > val_from) & (time <= test_from), "train": time <= val_from}[split]
+    return df.where(kept).withColumn("split", F.lit(split))
+
+
 def temporal_split(df: DataFrame, test_days: float = 1, val_days: float = 1) -> DataFrame:
     """`split` = test for the last days, val for the days before, train for the rest; null time gives null.
 
-    One pass: the greatest time enters as a scalar subquery. Lower bounds are exclusive.
+    One pass: the cuts enter as scalar subqueries. Lower bounds are exclusive.
     """
-    last = max_time(df).scalar()
-    test_from = last - days(test_days)
-    val_from = last - days(test_days + val_days)
+    test_from, val_from = cuts(df, test_days, val_days)
     split = (F.when(F.col("time") > test_from, "test").when(F.col("time") > val_from, "val")
              .when(F.col("time") <= val_from, "train"))
     return df.withColumn("split", split)
@@ -31,10 +45,6 @@ def split_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def split_bounds(df: DataFrame) -> DataFrame:
-    return df.groupBy("split").agg(F.min("time").alias("min_time"), F.max("time").alias("max_time"))
-
-
 def split_order(df: DataFrame) -> DataFrame:
     """One row per pair of neighbouring splits: `ok` unless the earlier one reaches past the later one.
 

@@ -33,11 +33,20 @@ def unify_articles(df: DataFrame, kind: str) -> DataFrame:
                      body.alias("body"), category.alias("category"))
 
 
-def last_articles(df: DataFrame, order: str) -> DataFrame:
-    """One row per article id, the one with the greatest `order`."""
-    cols = [c for c in df.columns if c != "article_id"]
-    best = df.groupBy("article_id").agg(F.max_by(F.struct(*cols), order).alias("row"))
-    return best.select("article_id", "row.*")
+SOURCE_ORDER = ("source_rank", "row_position")
+
+
+def one_per_id(df: DataFrame, *cols: str, key: str = "article_id") -> DataFrame:
+    """One row per id with `cols` (default: all others): the last one read.
+
+    Last is the greatest source rank, then row position, as far as `df` has these columns; rows that agree in them
+    are ordered by their values, so the choice never varies. Grouping by the id is the partitioning that a join on
+    it needs anyway.
+    """
+    order = [c for c in SOURCE_ORDER if c in df.columns]
+    cols = cols or tuple(c for c in df.columns if c != key and c not in order)
+    best = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order, *cols)).alias("row"))
+    return best.select(key, "row.*")
 
 
 def first_history(behaviors: DataFrame) -> DataFrame:
@@ -106,8 +115,3 @@ def labeled_candidates(impressions: DataFrame, distinct: bool = False, keep: tup
     return impressions.select(
         key.alias("row_id"), "user_id", *keep, F.posexplode(items).alias("pos", "item")).select(
         "row_id", "user_id", *keep, "pos", "item.article_id", "item.label")
-
-
-def candidate_rows(test: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per unlabeled candidate with its position."""
-    return test.select("row_id", "user_id", *keep, F.posexplode("candidates").alias("pos", "article_id"))

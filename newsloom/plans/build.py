@@ -11,7 +11,7 @@ from newsloom.operators.lexical import LexicalIndex, build_bm25_index
 from newsloom.operators.semantic import hash_encoder_vectors
 from newsloom.operators.splits import assert_split_order, temporal_split, union_all
 from newsloom.operators.unify import (
-    distinct_users, first_history, latest_users, unify_articles, unify_impressions_parquet, unify_impressions_tsv)
+    distinct_users, first_history, latest_users, one_per_id, unify_articles, unify_impressions_parquet, unify_impressions_tsv)
 from newsloom.sources.readers import (
     read_articles_parquet, read_behaviors_parquet, read_behaviors_tsv, read_history_parquet, read_news_tsv)
 from newsloom.sources.writers import missing_embeddings, path_exists, write_index, write_splits, write_table
@@ -27,7 +27,7 @@ def build_store(spark: SparkSession, root: str, dataset: str, articles: DataFram
                 impressions: DataFrame, embed: Callable[[DataFrame], DataFrame] = hash_encoder_vectors,
                 test_days: float = 1, val_days: float = 1) -> None:
     """Write all store tables of one dataset. Articles that have a stored vector are not embedded again."""
-    articles, users = build_feature_store(articles, user_frames)
+    articles, users = build_feature_store(one_per_id(articles), user_frames)
     write_table(articles, root, "articles", dataset)
     write_table(users, root, "users", dataset)
     write_splits(temporal_split(impressions, test_days, val_days), root, dataset)

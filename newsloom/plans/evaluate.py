@@ -12,7 +12,7 @@ from newsloom.operators.lexical import LexicalIndex, bm25_score, history_query
 from newsloom.operators.metrics import METRICS, attach_category, ranking_metrics, recall_at
 from newsloom.operators.ranking import rank_candidates
 from newsloom.operators.semantic import semantic_score, user_vectors
-from newsloom.operators.skew import HotKeys, hot_keys, skew_join
+from newsloom.operators.skew import skew_join
 from newsloom.operators.splits import only_labeled
 from newsloom.operators.unify import labeled_candidates
 from newsloom.session import stage
@@ -20,14 +20,14 @@ from newsloom.session import stage
 
 def attach_history(impressions: DataFrame, users: DataFrame) -> DataFrame:
     """Impressions with the user's history, empty for unknown users."""
-    joined = skew_join(impressions, users.select("user_id", "history"), ["user_id"], "left", spread=["impression_id"])
+    joined = skew_join(impressions, users.select("user_id", "history"), ["user_id"], "left")
     return joined.withColumn("history", F.coalesce("history", F.array().cast("array<string>")))
 
 
 def attach_hist_len(impressions: DataFrame, users: DataFrame) -> DataFrame:
     """Impressions with the length of the user's history, 0 for unknown users."""
     lengths = users.select("user_id", F.size("history").cast("bigint").alias("hist_len"))
-    joined = skew_join(impressions, lengths, ["user_id"], "left", spread=["impression_id"])
+    joined = skew_join(impressions, lengths, ["user_id"], "left")
     return joined.withColumn("hist_len", F.coalesce("hist_len", F.lit(0)))
 
 
@@ -43,39 +43,32 @@ def distinct_pairs(cands: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Candidates:
-    """Candidate rows and their distinct pairs, both written out, with the hot keys found on them.
-
-    Every scoring join needs the pairs and their hot keys. Reading them from a table keeps each join's
-    counting pass as cheap as a scan, instead of running the plan behind the candidates again.
-    """
+    """Candidate rows and their distinct pairs, both written out: several joins read each of them."""
 
     rows: DataFrame
     pairs: DataFrame
-    hot_articles: HotKeys
-    hot_users: HotKeys
 
     def attach(self, scores: DataFrame, how: str = "left") -> DataFrame:
-        """Pair scores back on the candidate rows. A pair repeated across many impressions is a hot key."""
-        return skew_join(self.rows, scores, ["user_id", "article_id"], how)
+        """Pair scores back on the candidate rows, in the partitioning by pair that the scores come in."""
+        return self.rows.join(scores, ["user_id", "article_id"], how)
 
 
 def prepare(cands: DataFrame) -> Candidates:
     rows = stage(cands, "candidates")
-    pairs = stage(distinct_pairs(rows), "pairs")
-    return Candidates(rows, pairs, hot_keys(pairs, ["article_id"]), hot_keys(pairs, ["user_id"]))
+    return Candidates(rows, stage(distinct_pairs(rows), "pairs"))
 
 
 def pair_lexical(c: Candidates, users: DataFrame, index: LexicalIndex, recent: int | None = None,
                  name: str = "score") -> DataFrame:
     query = history_query(wanted_users(users, c.pairs), index.postings, recent)
-    return bm25_score(c.pairs, query, index.postings, name, c.hot_articles)
+    return bm25_score(c.pairs, query, index.postings, name)
 
 
 def pair_semantic(c: Candidates, users: DataFrame, vectors: DataFrame, unknown: str = "null", name: str = "score",
                   pairs: DataFrame | None = None) -> DataFrame:
     """Semantic scores of the pairs, or of `pairs` that extend them by more columns."""
     vecs = user_vectors(wanted_users(users, c.pairs), vectors)
-    return semantic_score(c.pairs if pairs is None else pairs, vecs, vectors, unknown, name, c.hot_articles, c.hot_users)
+    return semantic_score(c.pairs if pairs is None else pairs, vecs, vectors, unknown, name)
 
 
 def score_lexical(cands: DataFrame, users: DataFrame, index: LexicalIndex, recent: int | None = None,
@@ -109,7 +102,7 @@ def score_both(impressions: DataFrame, users: DataFrame, articles: DataFrame, ve
     labeled = attach_hist_len(only_labeled(impressions, need_unclicked=True), users).where(F.col("hist_len") > 0)
     c = prepare(labeled_candidates(labeled, keep=("hist_len",)))
     # Category and article vector follow each other, as both joins need the pairs partitioned by article.
-    lexical = attach_category(pair_lexical(c, users, index, name="lexical"), articles, hot=c.hot_articles)
+    lexical = attach_category(pair_lexical(c, users, index, name="lexical"), articles)
     return all_candidates_known(c.attach(pair_semantic(c, users, vectors, "null", "semantic", pairs=lexical)))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.ranking import rank_candidates, ranks_to_list
 from newsloom.operators.semantic import semantic_score, user_vectors
-from newsloom.operators.skew import skew_join
 from newsloom.session import stage
 
 
@@ -25,5 +24,5 @@ def generate_predictions(test: DataFrame, vectors: DataFrame, users: DataFrame |
     pairs = rows.where(F.col("article_id").isNotNull()).select("user_id", "article_id").distinct()
     pairs = stage(pairs, "pairs")
     scores = semantic_score(pairs, user_vectors(users, vectors), vectors, "last")
-    scored = skew_join(rows, scores, ["user_id", "article_id"], "left")
+    scored = rows.join(scores, ["user_id", "article_id"], "left")
     return ranks_to_list(rank_candidates(scored), ("row_id", "impression_id"))
