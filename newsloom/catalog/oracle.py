@@ -118,6 +118,22 @@ PARTS: dict[str, str] = {
         FROM (SELECT e.user_id, e.event_id, h.history FROM c_ev e JOIN c_split s USING (event_id)
         LEFT JOIN c_histlist h USING (event_id) WHERE split = 'test') GROUP BY ALL""",
 }
+# Retrieved lists of depth 200 and the recall of test clicks in them, per user and per user and band.
+_DEEP = {
+    "c_vtop": PARTS["c_vtop"].replace("rank <= 10", "rank <= 200"),
+    "c_ltop": PARTS["c_ltop"].replace("rank <= 10", "rank <= 200"),
+    "c_levels": "SELECT clicks, (SELECT count(*) FROM c_pop p WHERE p.clicks > l.clicks) AS above FROM (SELECT DISTINCT clicks FROM c_pop) l",
+    "c_band": """SELECT article_id, clicks, CASE WHEN clicks >= (SELECT min(clicks) FROM c_levels
+        WHERE above <= (1 - 0.8::DOUBLE) * (SELECT count(*) FROM c_pop)) THEN 'head' ELSE 'tail' END AS band FROM c_pop""",
+    "c_clicked": """SELECT DISTINCT t.user_id, t.article_id, coalesce(u.hist_len, 0) AS hist_len, coalesce(b.band, 'tail') AS band
+        FROM c_test t LEFT JOIN c_users u ON u.user_id = t.user_id LEFT JOIN c_band b ON b.article_id = t.article_id WHERE label = 1""",
+    "c_tops": "SELECT 'lexical' AS model, user_id, article_id, rank FROM c_ltop UNION ALL SELECT 'semantic', user_id, article_id, rank FROM c_vtop",
+    "c_found": """SELECT m.model, c.user_id, c.hist_len, c.band, r.rank FROM c_clicked c CROSS JOIN (SELECT 'lexical' AS model UNION ALL SELECT 'semantic') m
+        LEFT JOIN c_tops r ON r.model = m.model AND r.user_id = c.user_id AND r.article_id = c.article_id""",
+    "c_deep": "SELECT model, user_id, hist_len, " + ", ".join(f"count(*) FILTER (rank <= {k}) / count(*) AS recall_{k}" for k in (50, 100, 200)) + " FROM c_found GROUP BY ALL",
+    "c_deepband": "SELECT model, user_id, band, " + ", ".join(f"count(*) FILTER (rank <= {k}) / count(*) AS recall_{k}" for k in (50, 100, 200)) + " FROM c_found GROUP BY ALL",
+    "c_bandlong": "UNPIVOT c_deepband ON recall_50, recall_100, recall_200 INTO NAME metric VALUE value",
+}
 _NAME = re.compile(r"\bc_[a-z0-9]+\b")
 
 
@@ -167,9 +183,9 @@ def _report(source: str, names) -> str:
         GROUP BY ALL""", {"c_long": f"UNPIVOT {source} ON {cols} INTO NAME metric VALUE value"}
 
 
-def _slices(source: str, names, extra: dict[str, str]) -> str:
+def _slices(source: str, names, extra: dict[str, str], more: str = "") -> str:
     body, long = _report(source, names)
-    return with_parts(body, extra | long)
+    return with_parts(body + more, extra | long)
 
 
 def _metrics_sql(body: str, source: str = "c_models") -> str:
@@ -488,5 +504,8 @@ def oracle_sql() -> dict[str, str]:
         "semantic_score_repeats": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
             FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS),
         "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES),
+        "retrieval_recall": w("SELECT model, round(avg(recall_50), 6) AS recall_50, round(avg(recall_100), 6) AS recall_100, round(avg(recall_200), 6) AS recall_200 FROM c_deep GROUP BY model", _DEEP),
+        "retrieval_recall_by_slice": _slices("c_deep", ("recall_50", "recall_100", "recall_200"), _DEEP,
+            " UNION ALL SELECT model, band, metric, round(avg(value), 6) FROM c_bandlong GROUP BY ALL"),
         "recent_query": w("""SELECT DISTINCT user_id, term FROM (SELECT user_id, article_id FROM c_hist JOIN c_users USING (user_id) WHERE pos >= hist_len - 3) JOIN c_tf USING (article_id)"""),
     }

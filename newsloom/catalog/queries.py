@@ -918,16 +918,51 @@ def compare_models(spark, sf):
 
 # Requirement operators -------------------------------------------------------------------------
 
-def lexical_top(spark, sf) -> DataFrame:
+def lexical_top(spark, sf, k: int = TOP) -> DataFrame:
     idx = index(spark, sf)
     readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
-    return stage(retrieval.bm25_retrieve(lexical.history_query(readers_, idx.postings), idx, TOP), "top")
+    query_ = stage(lexical.history_query(readers_, idx.postings), "query")
+    return stage(retrieval.bm25_retrieve(query_, idx, k), "top")
 
 
-def semantic_top(spark, sf) -> DataFrame:
+def semantic_top(spark, sf, k: int = TOP) -> DataFrame:
     readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
     vecs = semantic.user_vectors(readers_, t.vectors(spark, sf))
-    return stage(retrieval.vector_retrieve(vecs, t.vectors(spark, sf), TOP), "top")
+    return stage(retrieval.vector_retrieve(vecs, t.vectors(spark, sf), k), "top")
+
+
+def test_clicks(spark, sf) -> DataFrame:
+    """(user_id, article_id) clicked in the test day, with the length of the user's history and the article's band."""
+    clicks = test_candidates(spark, sf).where("label = 1").select("user_id", "article_id").distinct()
+    people = users(spark, sf).select("user_id", F.size("history").cast("bigint").alias("hist_len"))
+    bands = beyond.head_tail(train_popularity(spark, sf)).select("article_id", "band")
+    rows = clicks.join(people, "user_id", "left").join(bands, "article_id", "left")
+    return rows.withColumns({"hist_len": F.coalesce("hist_len", F.lit(0)), "band": F.coalesce("band", F.lit("tail"))})
+
+
+def catalog_recalls(spark, sf, key: tuple[str, ...]) -> DataFrame:
+    """recall_50, recall_100 and recall_200 per key for both models, over the whole catalog."""
+    deep, clicks = max(metrics.RECALL_CUTS), stage(test_clicks(spark, sf), "clicks")
+    tops = {"lexical": lexical_top(spark, sf, deep), "semantic": semantic_top(spark, sf, deep)}
+    return splits.union_all([metrics.retrieval_recall(top, clicks, key=key).withColumn("model", F.lit(m)) for m, top in tops.items()])
+
+
+DEEP_RECALLS = tuple(f"recall_{k}" for k in metrics.RECALL_CUTS)
+
+
+@query
+def retrieval_recall(spark, sf):
+    rows = catalog_recalls(spark, sf, ("user_id", "hist_len"))
+    return rounded(rows.groupBy("model").agg(*[F.avg(m).alias(m) for m in DEEP_RECALLS]), *DEEP_RECALLS)
+
+
+@query
+def retrieval_recall_by_slice(spark, sf):
+    people = metrics.recall_by_slice(catalog_recalls(spark, sf, ("user_id", "hist_len")), DEEP_RECALLS)
+    long = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in DEEP_RECALLS]))
+    bands = catalog_recalls(spark, sf, ("user_id", "band")).select("model", F.col("band").alias("slice"), long.alias("cell"))
+    bands = bands.groupBy("model", "slice", "cell.metric").agg(F.avg("cell.value").alias("value"))
+    return rounded(people.unionByName(bands), "value")
 
 
 def _top(df: DataFrame) -> DataFrame:

@@ -28,6 +28,18 @@ def recall_at(ranked: DataFrame, ks: tuple[int, ...] = RECALL_CUTS, key: tuple[s
     return sums.select(*key, *[(F.col(f"hits_{k}") / F.col("n_clicked")).alias(f"recall_{k}") for k in ks])
 
 
+def retrieval_recall(top: DataFrame, clicks: DataFrame, ks: tuple[int, ...] = RECALL_CUTS, key: tuple[str, ...] = ("user_id",)) -> DataFrame:
+    """recall_k per key: the share of the distinct clicked articles that are among the first k retrieved.
+
+    `top` has (user_id, article_id, rank), `clicks` has `key` (user_id included) and article_id. Users with a click
+    but without a retrieved list have recall 0.
+    """
+    wanted = clicks.select(*key, "article_id").distinct()
+    met = wanted.join(top.select("user_id", "article_id", "rank"), ["user_id", "article_id"], "left")
+    n = F.count(F.lit(1))
+    return met.groupBy(*key).agg(*[(F.count_if(F.col("rank") <= k) / n).alias(f"recall_{k}") for k in ks])
+
+
 def _tied_window(key: list[str], score: str):
     return Window.partitionBy(*key).orderBy(F.desc(score))
 
