@@ -272,6 +272,38 @@ BOOT_PARTS = {
     "c_replong": f"UNPIVOT c_reps ON {', '.join(BOOT_NAMES)} INTO NAME metric VALUE value",
 }
 
+
+
+def _intervals(source: str, key: str, names: tuple[str, ...], tag: str, b: int = 1000) -> dict[str, str]:
+    """Block c_ci<tag>: (model, slice, metric, value, low, high) over rows of `source` (model, hist_len, key, names)."""
+    return {
+        f"c_sl{tag}": f"""SELECT s.slice, r.* FROM {source} r JOIN ({_SLICES}) s ON r.hist_len BETWEEN s.lo AND s.hi""",
+        f"c_h{tag}": f"SELECT *, CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % {_P} AS h FROM c_sl{tag}",
+        f"c_xa{tag}": f"SELECT *, (h + (rep + 1) * 40503 + 7919) % {_P} AS x1 FROM c_h{tag}, range({b}) r(rep)",
+        f"c_xb{tag}": f"SELECT *, (x1 * x1 + 12345) % {_P} AS x2 FROM c_xa{tag}",
+        f"c_xc{tag}": f"SELECT *, (x2 * 48271 + rep) % {_P} AS x3 FROM c_xb{tag}",
+        f"c_xd{tag}": f"SELECT *, ((x3 * x3 + h) % {_P}) / {_P}.0::DOUBLE AS u FROM c_xc{tag}",
+        f"c_w{tag}": f"SELECT *, {_poisson('u')} AS w FROM c_xd{tag}",
+        f"c_rp{tag}": "SELECT model, slice, rep, " + ", ".join(f"sum(w * {m}) / sum(w) AS {m}" for m in names) + f" FROM c_w{tag} GROUP BY ALL",
+        f"c_rl{tag}": f"UNPIVOT c_rp{tag} ON {', '.join(names)} INTO NAME metric VALUE value",
+        f"c_mn{tag}": "SELECT model, slice, " + ", ".join(f"avg({m}) AS {m}" for m in names) + f" FROM c_sl{tag} GROUP BY ALL",
+        f"c_ml{tag}": f"UNPIVOT c_mn{tag} ON {', '.join(names)} INTO NAME metric VALUE value",
+        f"c_ci{tag}": f"""SELECT m.model, m.slice, m.metric, any_value(m.value) AS value, quantile_cont(r.value, 0.025) AS low, quantile_cont(r.value, 0.975) AS high
+            FROM c_ml{tag} m JOIN c_rl{tag} r ON r.model = m.model AND r.slice = m.slice AND r.metric = m.metric GROUP BY ALL""",
+    }
+
+
+_LISTS = {
+    "c_both10": """SELECT 'lexical' AS model, user_id, article_id FROM c_ltop UNION ALL SELECT 'semantic', user_id, article_id FROM c_vtop""",
+    "c_listed": "SELECT b.*, hist_len FROM c_both10 b JOIN c_users USING (user_id)",
+    "c_ild": """SELECT model, user_id, CASE WHEN n > 1 THEN 1 - (sum(s * s) - n) / (n * (n - 1)) ELSE 0 END AS ild FROM (
+        SELECT model, user_id, dim, count(*) AS n, sum(x) AS s FROM c_listed JOIN c_unit USING (article_id) GROUP BY ALL) GROUP BY model, user_id, n""",
+    "c_nov": """SELECT model, user_id, hist_len, avg(-log2((coalesce(clicks, 0) + 1) / ((SELECT sum(clicks) FROM c_pop) + (SELECT count(*) FROM documents)))) AS novelty
+        FROM c_listed LEFT JOIN c_pop USING (article_id) GROUP BY ALL""",
+    "c_lists": "SELECT n.model, n.user_id, n.hist_len, coalesce(ild, 0) AS ild, novelty FROM c_nov n LEFT JOIN c_ild i ON i.model = n.model AND i.user_id = n.user_id",
+    "c_cov": f"""SELECT model, slice, count(DISTINCT article_id) / (SELECT count(*) FROM documents) AS value FROM c_listed SEMI JOIN c_art USING (article_id)
+        JOIN ({_SLICES}) s ON hist_len BETWEEN s.lo AND s.hi GROUP BY ALL""",
+}
 _SEM_DOTS_USER = {
     "c_sd0": "SELECT user_id AS reader, dim, x FROM c_uvec",
     "c_sd": """SELECT reader, article_id, sum(u.x * v.x) AS s FROM (SELECT DISTINCT user_id AS reader, article_id FROM c_test)
@@ -477,6 +509,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'lexical' AS model, article_id FROM c_ltop UNION ALL SELECT 'semantic', article_id FROM c_vtop) SEMI JOIN c_art USING (article_id) GROUP BY model"""),
         "bootstrap_ci": w("""SELECT model, metric, round(quantile_cont(value, 0.025), 6) AS low, round(quantile_cont(value, 0.975), 6) AS high
             FROM c_replong GROUP BY ALL""", metric_parts("c_popmodel") | BOOT_PARTS),
+        "harness_report": w("""SELECT model, slice, metric, round(value, 6) AS value, round(low, 6) AS low, round(high, 6) AS high FROM (
+            SELECT * FROM c_ciimp UNION ALL SELECT * FROM c_cilist UNION ALL SELECT model, slice, 'coverage', value, NULL, NULL FROM c_cov)""",
+            metric_parts("c_models") | _LISTS | _intervals("c_metrics", "row_id", METRICS, "imp") | _intervals("c_lists", "user_id", ("ild", "novelty"), "list")),
         "head_tail": w("SELECT article_id, clicks, band FROM c_band", _BANDS),
         "hits_by_band": w("""SELECT 'semantic' AS model, coalesce(band, 'tail') AS band, CAST(sum(CASE WHEN rank <= 3 THEN 1 ELSE 0 END) AS BIGINT) AS n_hits, count(*) AS n_clicked
             FROM c_semrank LEFT JOIN c_band USING (article_id) WHERE label = 1 GROUP BY ALL""", _BANDS),

@@ -1012,6 +1012,16 @@ def bootstrap_ci(spark, sf):
     return rounded(beyond.bootstrap_ci(rows, ("auc", "mrr", "ndcg_5", "ndcg_10"), b=200), "low", "high")
 
 
+@query
+def harness_report(spark, sf):
+    people = users(spark, sf).select("user_id", F.size("history").cast("bigint").alias("hist_len"))
+    tops = splits.union_all([lexical_top(spark, sf).withColumn("model", F.lit("lexical")),
+                             semantic_top(spark, sf).withColumn("model", F.lit("semantic"))]).join(people, "user_id")
+    report = beyond.harness_report(stage(test_metrics(spark, sf), "metrics"), metrics.METRICS, tops, t.articles(spark, sf),
+                                   t.vectors(spark, sf), train_popularity(spark, sf), b=1000)
+    return rounded(report, "value", "low", "high")
+
+
 @query
 def head_tail(spark, sf):
     return beyond.head_tail(train_popularity(spark, sf)).select("article_id", "clicks", "band")

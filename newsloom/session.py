@@ -29,7 +29,9 @@ def get_session(app: str = "newsloom", master: str | None = None, **conf: str) -
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -63,6 +65,13 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+def unstage(spark: SparkSession) -> None:
+    """Delete what this session has staged; call it after the last reader of its results."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/newsloom/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet and read it back.
 
