@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Pieces of a quantile's bracket: a task orders about 4 / (accuracy * PIECES) of a column's distinct values.
+PIECES = 1000
+
+
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows per distinct value combination, most frequent first."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), *cols)
@@ -38,7 +42,8 @@ def exact_quantiles(df: DataFrame, cols: dict[str, Column], qs: tuple[float, ...
     """(column_name, q, value): interpolated quantiles, exact at any size.
 
     An approximate pass brackets each quantile, values are counted per distinct value across tasks, and
-    only the few values inside a bracket are ordered. The brackets are one row per column and quantile.
+    only the few values inside a bracket are ordered, in PIECES pieces of about the same size. Brackets and pieces are
+    a fixed number of rows per column and quantile.
     """
     long = _long(df, cols)
     eps = 2.0 / accuracy
@@ -60,8 +65,17 @@ def exact_quantiles(df: DataFrame, cols: dict[str, Column], qs: tuple[float, ...
     offset = wide.groupBy("column_name", "q").agg(
         F.sum(F.when(F.col("value") < start, F.col("c")).otherwise(0)).alias("offset"))
     inside = wide.where((F.col("value") >= start) & (F.col("value") <= F.coalesce("above", "high")))
-    running = Window.partitionBy("column_name", "q").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inside.withColumn("upto", F.sum("c").over(running)).join(F.broadcast(offset), ["column_name", "q"])
+    # Running counts in two steps: over the pieces of a bracket, then inside each piece.
+    steps = F.percentile_approx("value", F.array(*[F.lit(i / PIECES) for i in range(1, PIECES)]), accuracy)
+    cuts = F.broadcast(inside.groupBy("column_name", "q").agg(steps.alias("cuts")))
+    inside = inside.join(cuts, ["column_name", "q"]).withColumn(
+        "piece", F.size(F.filter("cuts", lambda x: x < F.col("value")))).drop("cuts")
+    before = F.sum("s").over(Window.partitionBy("column_name", "q").orderBy("piece")) - F.col("s")
+    starts = F.broadcast(inside.groupBy("column_name", "q", "piece").agg(F.sum("c").alias("s")).select(
+        "column_name", "q", "piece", before.alias("before")))
+    running = Window.partitionBy("column_name", "q", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = inside.withColumn("own", F.sum("c").over(running)).join(starts, ["column_name", "q", "piece"]).withColumn(
+        "upto", F.col("own") + F.col("before")).join(F.broadcast(offset), ["column_name", "q"])
     rank = F.col("q") * (F.col("n") - 1)
     reach = F.col("upto") + F.col("offset")
     ends = placed.groupBy("column_name", "q").agg(

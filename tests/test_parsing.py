@@ -47,8 +47,10 @@ def test_first_history_takes_the_earliest_parsed_time(spark):
 def test_latest_users_and_articles(spark):
     users = spark.createDataFrame([("u", ["a"], 0), ("u", ["b"], 2), ("v", ["c"], 1)], "user_id string, history array<string>, source_rank int")
     assert {r.user_id: r.history for r in unify.latest_users(users).collect()} == {"u": ["b"], "v": ["c"]}
-    arts = spark.createDataFrame([("1", "old", 1), ("1", "new", 2)], "article_id string, title string, v int")
-    assert [r.title for r in unify.last_articles(arts, "v").collect()] == ["new"]
+    arts = spark.createDataFrame([("1", "z old", 1, 0), ("1", "new", 2, 0), ("1", "newer", 2, 1)],
+                                 "article_id string, title string, source_rank int, row_position int")
+    assert [tuple(r) for r in unify.one_per_id(arts).collect()] == [("1", "newer")]
+    assert unify.one_per_id(arts.drop("source_rank", "row_position"), "title").first()["title"] == "z old"
 
 
 def test_numeric_category_becomes_text(spark):

@@ -186,3 +186,23 @@ def test_candidate_sets(spark):
     assert unify.candidate_set(df).first().candidates == ["a", "b"]
     assert [(r.pos, r.article_id, r.label) for r in unify.labeled_candidates(df).collect()] == [(0, "a", 1), (1, "a", 1), (2, "b", 0), (3, "a", 0)]
     assert [(r.article_id, r.label) for r in unify.labeled_candidates(df, distinct=True).collect()] == [("a", 1), ("b", 0)]
+
+
+def test_repeated_ids_count_once_and_the_last_row_wins(spark):
+    arts = spark.createDataFrame([("1", "a b", "", "x", 0), ("1", "a a", "", "y", 1), ("2", "c", "", "z", 0)],
+                                 "article_id string, title string, abstract string, category string, source_rank int")
+    idx = lexical.build_bm25_index(arts)
+    assert sorted((r.term, r.article_id, r.tf) for r in idx.postings.collect()) == [("a", "1", 2), ("c", "2", 1)]
+    assert idx.stats.first()["n"] == 2
+    assert sorted(tuple(r) for r in idx.docs.collect()) == [("1", 2), ("2", 1)]
+    vecs = spark.createDataFrame([("1", [1.0, 0.0], 0), ("1", [0.0, 1.0], 1)], "article_id string, embedding array<float>, source_rank int")
+    cands = spark.createDataFrame([("u", "1"), ("u", "2")], "user_id string, article_id string")
+    assert sorted((r.article_id, r.embedding) for r in semantic.attach_vectors(cands, vecs).collect()) == [("1", [0.0, 1.0]), ("2", None)]
+    assert sorted((r.article_id, r.category) for r in metrics.attach_category(cands, arts).collect()) == [("1", "y"), ("2", "z")]
+
+
+def test_retrieval_recall_counts_missing_lists_as_zero(spark):
+    top = spark.createDataFrame([("u", "1", 1), ("u", "2", 60)], "user_id string, article_id string, rank int")
+    clicks = spark.createDataFrame([("u", "1"), ("u", "2"), ("u", "2"), ("v", "1")], "user_id string, article_id string")
+    got = {r.user_id: (r.recall_50, r.recall_100) for r in metrics.retrieval_recall(top, clicks, (50, 100)).collect()}
+    assert got == {"u": (0.5, 1.0), "v": (0.0, 0.0)}
