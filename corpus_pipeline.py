@@ -15,10 +15,10 @@ from newsloom.session import ship_package, stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts that no learned language explains better than chance."""
+    """Rejects texts without a letter and those of which the best language explains less than a fifth of the trigrams."""
     ship_package(spark)
     model = language.train(docs.where(~held_out(F.col("doc_id"), 4)))
-    return language.identify(docs, model).where("lang_pred != 'und' AND lang_gain > 0").select(*docs.columns)
+    return language.identify(docs, model).where("lang_pred != 'und' AND lang_fit >= 0.2").select(*docs.columns)
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,13 +78,13 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
 
 def mixtures(owner: np.ndarray, slot: np.ndarray, docs: int, logs: np.ndarray, bits: int, rounds: int = 15):
-    """(shares, languages chosen, gain per trigram over equally likely slots) of each of `docs` texts."""
+    """(shares, languages chosen, share of trigrams likelier in the first language than by chance) of each of `docs` texts."""
     k = logs.shape[1]
     keys, times = np.unique(owner << bits | slot, return_counts=True)
     d, s, c = keys >> bits, keys & ((1 << bits) - 1), times.astype(np.float64)
-    shares, chosen, gain = np.full((docs, k), 1 / k), np.zeros((docs, k), bool), np.zeros(docs)
+    shares, chosen, fit_share = np.full((docs, k), 1 / k), np.zeros((docs, k), bool), np.zeros(docs)
     if not len(keys):
-        return shares, chosen, gain
+        return shares, chosen, fit_share
     like = np.exp(logs[s].astype(np.float64))
     starts = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
     who = d[starts]
@@ -104,26 +104,25 @@ def mixtures(owner: np.ndarray, slot: np.ndarray, docs: int, logs: np.ndarray, b
         some /= np.maximum(some.sum(1, keepdims=True), 1e-300)
         ll = np.add.reduceat(c * np.log(np.maximum((some[local] * like).sum(1), 1e-300)), starts)
         if m == 1:
-            gain[who] = ll / total
+            fit_share[who] = np.add.reduceat(c * ((some[local] * like).sum(1) > 2.0 ** -bits), starts) / total
         fit = ll - 0.5 * (m - 1) * np.log(total + 1) * 3
         size = np.where(fit > best, m, size)
         best = np.maximum(fit, best)
     picked = np.zeros_like(pi, bool)
     np.put_along_axis(picked, order, np.arange(k)[None, :] < size[:, None], axis=1)
     shares[who], chosen[who] = pi, picked
-    gain[who] += bits * np.log(2)
-    return shares, chosen, gain
+    return shares, chosen, fit_share
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, int], text_col: str = "text") -> DataFrame:
-    """`docs` with `lang_pred`, `lang_score` (its share), `langs` (the chosen set) and `lang_gain`.
+    """`docs` with `lang_pred`, `lang_score` (its share), `langs` (the chosen set) and `lang_fit`.
 
     `und` with score 0 for null texts, texts without a letter and an empty model. Ties go to the language first in
-    alphabetic order. `lang_gain` is the mean log-likelihood per trigram of the best language over that of slots at
-    random: below 0, no learned language explains the text. Columns of `docs` with these names are replaced.
+    alphabetic order. `lang_fit` is the share of trigrams that the best language makes likelier than a slot at random:
+    near 0, no learned language explains the text. Columns of `docs` with these names are replaced.
     """
     langs, logs, bits = model
-    docs = docs.drop("lang_pred", "lang_score", "langs", "lang_gain")
+    docs = docs.drop("lang_pred", "lang_score", "langs", "lang_fit")
     if text_col != "text" and "text" in docs.columns:
         raise ValueError("name the text column `text`, or drop the other column of that name")
     fields = docs.schema
@@ -131,27 +130,27 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, int], text_col
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
-            pred, score, sets, gains = [], [], [], []
+            pred, score, sets, fits = [], [], [], []
             for first, last, data, offsets in chunks(column):
                 owner, slot = trigrams(data, offsets, bits)
-                shares, chosen, gain = mixtures(owner, slot, last - first, logs, bits)
+                shares, chosen, fit = mixtures(owner, slot, last - first, logs, bits)
                 top = np.argmax(shares, axis=1)
                 pred += [langs[i] if langs else "und" for i in top]
                 score += shares[np.arange(last - first), top].tolist()
                 sets += [[langs[i] for i in np.flatnonzero(row)] if langs else [] for row in chosen]
-                gains += gain.tolist()
+                fits += fit.tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(sets, pa.list_(pa.string())), pa.array(gains, pa.float64())],
-                [*batch.schema.names, "lang_pred", "lang_score", "langs", "lang_gain"])
+                 pa.array(sets, pa.list_(pa.string())), pa.array(fits, pa.float64())],
+                [*batch.schema.names, "lang_pred", "lang_score", "langs", "lang_fit"])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    rated = docs.mapInArrow(judge, f"{out}, lang_pred string, lang_score double, langs array<string>, lang_gain double")
+    rated = docs.mapInArrow(judge, f"{out}, lang_pred string, lang_score double, langs array<string>, lang_fit double")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     known = letters & F.lit(bool(langs))
     return rated.withColumns({
         "lang_pred": F.when(known, F.col("lang_pred")).otherwise("und"),
         "lang_score": F.when(known, F.least(F.col("lang_score"), F.lit(1.0))).otherwise(0.0),
         "langs": F.when(known, F.col("langs")).otherwise(F.array().cast("array<string>")),
-        "lang_gain": F.when(known, F.col("lang_gain")).otherwise(0.0),
+        "lang_fit": F.when(known, F.col("lang_fit")).otherwise(0.0),
     })
