@@ -1,10 +1,11 @@
 """Jaccard join of word n-grams by prefix filters under several global token orders, and the groups it links.
 
 Two sets that are similar enough share a token among the first few of each under any order of all tokens, so a pair is
-a candidate only if its prefixes meet under every order. The first order finds pairs by an equi-join on tokens; tokens
-of crowded hash slots come last in it, which keeps common phrases out of prefixes. The others are looked at before a
-pair is verified on the whole sets. Equal sets are one class from the start. Pairs of a token's members with its
-cleanest member are verified first; after that only pairs of different components are, so a large group of copies
+a candidate only if its prefixes meet under every order. The first order finds pairs by an equi-join on tokens, with bounds by
+set size and position; tokens of crowded hash slots come last in it, which keeps common phrases out of prefixes. A
+bitmap of each set bounds what a pair can share, and the other orders are looked at before a pair is verified on the
+whole sets. Equal sets are one class from the start. Pairs of a token's members with its
+cleanest member are looked at first; after that only pairs of different components are, so a large group of copies
 is not expanded into all its pairs and no link between groups is lost.
 """
 
@@ -85,6 +86,37 @@ def in_order(s: np.ndarray, levels: np.ndarray, order: int, length: int) -> np.n
     return (s[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A bitmap of about twice as many bits as the set has tokens; halving the bits keeps the order of slots."""
+    bits = max(6, int(2 * len(s) - 1).bit_length()) if len(s) else 6
+    out = np.zeros(1 << bits, np.uint8)
+    out[(mix(s ^ np.uint64(_SEEDS[0])) >> np.uint64(64 - bits)).astype(np.int64)] = 1
+    return np.packbits(out).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes, n: int, m: int) -> int:
+    """At most so many tokens can two sets of n and m tokens share: a bit that only one has is a token that only it has."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) != len(y):
+        x, y = (z if len(z) == min(len(x), len(y)) else np.packbits(
+            np.unpackbits(z).reshape(8 * min(len(x), len(y)), -1).any(1)) for z in (x, y))
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+
+
+def sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (`a`, `b`) whose bitmaps leave room for enough shared tokens; only bitmaps move for this."""
+    a = sketches.selectExpr("row AS a", "n AS n_a", "sketch AS sketch_a")
+    b = sketches.selectExpr("row AS b", "n AS n_b", "sketch AS sketch_b")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, n, m = (batch.column(i).to_pylist() for i in (2, 3, 4, 5))
+            good = [(100 + percent) * overlap_bound(*z) >= percent * (z[2] + z[3]) for z in zip(x, y, n, m)]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(keep, "a long, b long")
+
+
 def may_link(percent: int) -> str:
     """SQL: sizes are close enough, and so is what is left of both sets from the shared token on."""
     need = f"({percent} * (l.n + r.n) + {99 + percent}) div {100 + percent}"
@@ -145,23 +177,24 @@ def linked(base: DataFrame, n: int, percent: int) -> DataFrame:
 
     def signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, one, two, heads = [], [], [], []
+            sizes, one, two, heads, maps = [], [], [], [], []
             for s in sets_of(batch.column(1), n):
                 sizes.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64)))
                 two.append(int(mix(s).sum(dtype=np.uint64)))
+                maps.append(sketch(s))
                 heads.append(in_order(s, levels, 0, prefix_length(len(s), percent)) if len(s) else np.zeros(0, np.int32))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in heads])]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(sizes, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)),
-                pa.array(np.array(two, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["row", "n", "h1", "h2", "prefix"])
+                pa.array(np.array(two, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                pa.array(maps, pa.binary())], ["row", "n", "h1", "h2", "prefix", "sketch"])
 
-    sets = stage(base.select("row", "text").mapInArrow(signature, "row long, n long, h1 long, h2 long, prefix array<int>"), "sets")
+    sets = stage(base.select("row", "text").mapInArrow(signature, "row long, n long, h1 long, h2 long, prefix array<int>, sketch binary"), "sets")
     kind = ["n", "h1", "h2"]
-    classes = stage(sets.where("n > 0").groupBy(*kind).agg(F.min(F.struct("row", "prefix")).alias("head")).select(
-        *kind, "head.row", "head.prefix"), "classes")
+    classes = stage(sets.where("n > 0").groupBy(*kind).agg(F.min(F.struct("row", "prefix", "sketch")).alias("head")).select(
+        *kind, "head.row", "head.prefix", "head.sketch"), "classes")
     postings = classes.select("row", "n", F.posexplode("prefix").alias("pos", "token"))
     groups = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("pos", "row", "n")).alias("lead")).where("size > 1")
     shared = stage(postings.join(groups, "token"), "postings")
@@ -170,7 +203,8 @@ def linked(base: DataFrame, n: int, percent: int) -> DataFrame:
     pair = [F.least("l.row", "r.row").alias("a"), F.greatest("l.row", "r.row").alias("b")]
     clean = shared.select(F.struct("row", "n", "pos").alias("l"), F.col("lead").alias("r")).where(
         f"l.row != r.row AND {may_link(percent)}").select(*pair).distinct()
-    first = verify(base, clean, homes, levels, n, percent)
+    sketches = classes.select("row", "n", "sketch")
+    first = verify(base, sketched(clean, sketches, percent), homes, levels, n, percent)
     labels = components(first)
     known = shared.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
         "token", "row", "n", "pos", "size", F.coalesce("component", "row").alias("component"))
@@ -181,7 +215,7 @@ def linked(base: DataFrame, n: int, percent: int) -> DataFrame:
     across = left.alias("l").join(right.alias("r"), F.expr(
         f"l.token = r.token AND l.slice = r.slice AND l.row < r.row AND l.component != r.component AND {may_link(percent)}")
     ).select(*pair).distinct()
-    second = verify(base, across, homes, levels, n, percent)
+    second = verify(base, sketched(across, sketches, percent), homes, levels, n, percent)
     labels = components(first.union(second))
     member = sets.join(classes.select(*kind, F.col("row").alias("head")), kind, "left").select("row", "n", F.coalesce("head", "row").alias("head"))
     return member.join(labels.withColumnRenamed("node", "head"), "head", "left").select("row", "n", F.coalesce("component", "head").alias("component"))

@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 from newsloom.llm import jaccard
-from newsloom.llm.jaccard import components, jaccard_groups
+from newsloom.llm.jaccard import components, jaccard_groups, overlap_bound, sketch
 
 
 def brute(docs, n, percent):
@@ -61,11 +62,20 @@ def test_odd_ids_and_empty_tables(spark, monkeypatch):
     text = "q w e r t y u i o p a s d f g h j k l z"
     rows = [(3, text), (3, text), (None, text + " x"), (9, "other words stand in this text"), (9, text + " b"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(map(tuple, jaccard_groups(df).collect()), key=repr)
+    got = sorted(map(tuple, jaccard_groups(df, 4, 85).collect()), key=repr)
     assert got == sorted([(3, 17, None), (3, 17, None), (None, 18, None), (9, 3, 9), (9, 18, None), (None, 0, None)], key=repr)
     assert jaccard_groups(df.limit(0)).collect() == []
 
 
+def test_bitmaps_never_rule_out_what_sets_share():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
+        shared = len(np.intersect1d(a, b))
+        assert shared <= overlap_bound(sketch(a), sketch(b), len(a), len(b)) <= min(len(a), len(b))
+
+
 def test_components_of_chains(spark):
     edges = [(i + 1, i) for i in range(0, 40)] + [(100, 90), (95, 100), (60, 61)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
