@@ -2,8 +2,9 @@
 
 1. Anchors. The anchor of a string of `length` bytes is its least hashed gram (the leftmost of equals), so equal
    strings have equal anchors wherever they stand. Starts that share an anchor are one segment.
-2. Segments whose anchor gram occurs only once hold nothing repeated. Of the others, equal segments are pre-aggregated:
-   all but the first are repeats as a whole, and only first segments of anchors with several contexts go on.
+2. Segments whose anchor gram occurs only once hold nothing repeated. Of equal segments, all but the first are repeats
+   as a whole (copies in one batch never leave their task for this), and only first segments of anchors with several
+   contexts go on.
 3. These are dealt to shards by anchor. Each shard builds its suffix array by induced sorting, takes the common
    prefixes in text order, and keeps of each run of suffixes with `length` common bytes the earliest start.
    Anchors with very many contexts are settled string by string with a pre-aggregated minimum instead.
@@ -102,7 +103,12 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int):
 
 
 def all_segments(docs: DataFrame, length: int) -> DataFrame:
-    """(`anchor`, `salt`, `body`, `row`, `l`, `r`) of all texts; a null row stands for two rows that were spread."""
+    """(`anchor`, `salt`, `times`, `body`, `row`, `span`) of all texts; `span` is first start · length + starts - 1.
+
+    Of equal segments in one Arrow batch only the earliest takes part in what follows: the others have a negative
+    salt and are repeats for certain. Anchors that are frequent in the batch have their rows spread by positive
+    salts. One row of each anchor keeps salt 0 and counts in `times` for those that do not.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,19 +116,25 @@ def all_segments(docs: DataFrame, length: int) -> DataFrame:
             parts = [(rows[first:last][who], *rest) for first, last, data, offsets in chunks(batch.column(1))
                      for who, *rest in [segments(data, offsets, length)]]
             row, anchor, body, l, r = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 5
-            keys, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
-            sure = times[back] >= SURE
-            salt = np.where(sure, 1 + (row * 31 + l) % 8191, 0)
-            marks = keys[times >= SURE]
-            none = np.zeros(len(marks), np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([anchor, marks]).astype(np.int64)), pa.array(np.concatenate([salt, none]).astype(np.int32)),
-                pa.array(np.concatenate([body, none]).astype(np.int64)),
-                pa.array(np.concatenate([row, none]).astype(np.int64), mask=np.arange(len(row) + len(marks)) >= len(row)),
-                pa.array(np.concatenate([l, none]).astype(np.int32)), pa.array(np.concatenate([r, none]).astype(np.int32)),
-            ], ["anchor", "salt", "body", "row", "l", "r"])
-
-    return docs.select("row", "text").mapInArrow(find, "anchor long, salt int, body long, row long, l int, r int")
+            order = np.lexsort((l, row, body, anchor))
+            row, anchor, body, l, r = (x[order].astype(np.int64) for x in (row, anchor, body, l, r))
+            new = np.ones(len(row), bool)
+            new[1:] = anchor[1:] != anchor[:-1]
+            again = ~new
+            again[1:] &= body[1:] == body[:-1]
+            heads = np.flatnonzero(new)
+            size = np.diff(np.append(heads, len(row)))
+            spread = ~new & (again | np.repeat(size >= SURE, size))
+            salt = np.where(spread, 1 + (row * 31 + l) % 8191, 0)
+            salt[again] *= -1
+            times = np.ones(len(row), np.int64)
+            if len(heads):
+                times[heads] += np.add.reduceat(spread, heads)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor), pa.array(salt.astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(body), pa.array(row), pa.array(l * length + r - l)],
+                ["anchor", "salt", "times", "body", "row", "span"])
+
+    return docs.select("row", "text").mapInArrow(find, "anchor long, salt int, times int, body long, row long, span long")
 
 
 def repeated_starts(row: np.ndarray, l: np.ndarray, parts: list[np.ndarray], length: int):
@@ -174,13 +186,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     shards = max(parts, size // SHARD + 1)
 
     found = all_segments(base, length)
-    counted = found.selectExpr("*", "count(1) OVER (PARTITION BY anchor, salt) AS n")
-    several = counted.where("row IS NOT NULL AND (n > 1 OR salt > 0)").select("anchor", "body", "row", "l", "r")
-    several = stage(several, "segments")
-    heads = several.groupBy("anchor", "body").agg(F.min(F.struct("row", "l", "r")).alias("head"), F.count(F.lit(1)).alias("n"))
-    copies = several.join(heads.where("n > 1"), ["anchor", "body"]).where(
-        "row != head.row OR l != head.l").select("row", F.col("l").alias("first"), F.col("r").alias("last"))
-    heads = stage(heads.select("anchor", "head.row", "head.l", "head.r"), "segment-heads")
+    several = found.selectExpr("*", "sum(times) OVER (PARTITION BY anchor, salt) AS n").where("n > 1 OR salt != 0")
+    marked = several.select("anchor", "body", "row", "span", F.least("salt", F.lit(0)).alias("aside"))
+    marked = marked.selectExpr("*", "min(struct(row, span)) OVER (PARTITION BY anchor, body, aside) AS head")
+    head = (F.col("aside") == 0) & (F.col("row") == F.col("head.row")) & (F.col("span") == F.col("head.span"))
+    start = F.expr(f"span div {length}")
+    marked = stage(marked.select(F.when(head, F.col("anchor")).alias("anchor"), "row", start.cast("int").alias("l"),
+                                 (start + F.col("span") % length).cast("int").alias("r")), "segments")
+    copies = marked.where("anchor IS NULL").select("row", F.col("l").alias("first"), F.col("r").alias("last"))
+    heads = marked.where("anchor IS NOT NULL")
     contexts = heads.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     mixed = heads.join(contexts, "anchor")
 
