@@ -2,7 +2,8 @@
 
 Texts are normalised to lower-case words; a line of w words has w + 1 bigrams, the two at its ends included. A line and a
 template of a and b bigrams cannot reach the wanted coefficient unless 200 · min(a, b) ≥ percent · (a + b), so most lines
-are dropped by their number of words. The others are reduced to distinct lines before they meet the templates.
+are dropped by their number of words, and nearly all others by how many of their bigrams any template has. The rest is
+reduced to distinct lines before it meets the templates.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import stage
+
 #: Notices as they are published, by SPDX name. Fixed values.
 TEMPLATES = [
     ("all-rights-reserved", "All rights reserved."),
@@ -62,12 +65,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent:
         F.count(F.lit(1)).alias("m"))
 
     body = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("body"))
-    units = body.select("id", F.posexplode(F.concat(F.array(F.translate("body", "\n", " ")), F.split("body", "\n"))).alias("unit", "line"))
+    units = body.select("id", F.posexplode(F.concat(F.array(F.regexp_replace("body", " ?\n[ \n]*", " ")), F.split("body", "\n"))).alias("unit", "line"))
     units = units.select("id", "unit", F.trim("line").alias("line")).where("line != ''")
     # Words of a line: its blanks and one more; so its bigrams are its blanks and two more.
     units = units.withColumn("a", F.length("line") - F.length(F.translate("line", " ", "")) + 2).where(F.col("a").isin(fitting))
-    # The whole text may hold runs of blanks where lines met.
-    units = units.withColumn("line", F.regexp_replace("line", " +", " "))
+    # Shared bigrams are known ones, and a template has at least as many as it shares: fewer known ones cannot do.
+    known = [r["gram"] for r in table.select("gram").distinct().collect()]
+    hits = F.size(F.filter(bigrams(F.col("line")), lambda g: g.isin(known)))
+    units = stage(units.where((200 - percent) * hits >= percent * F.col("a")), "license-lines")
     lines = units.select("line").distinct()
     grams = lines.select("line", F.size(bigrams(F.col("line"))).alias("a"), F.explode(bigrams(F.col("line"))).alias("gram"))
     grams = grams.groupBy("line", "a", "gram").agg(F.count(F.lit(1)).alias("n"))

@@ -7,7 +7,7 @@ TEXTS = [
     None, "", "\n\n", "All rights reserved.", "ALL  RIGHTS, reserved\nReleased under the MIT License.",
     "Some prose.\nLicensed under the Apache License, Version 2.0.\n\nMore prose that goes on.", "rights", "all rights",
     "This work is licensed under\nthe GNU General Public License, version 3.", "a " * 50000, "MIT MIT MIT MIT License License",
-    "Licensed under the Apache Licence, Version 2.0.", "Released under the MIT\tLicense", "Über alle Rechte\nAll rights reserved!",
+    "Licensed under the Apache Licence, Version 2.0.", "Released under the MIT\tLicense", "All rights\n\n \n\n\n\n.\n\n\n\nreserved", "Über alle Rechte\nAll rights reserved!",
 ]
 
 
@@ -20,5 +20,6 @@ def test_scan_matches_sql(spark):
         got = sorted(((r[0], r[1], r[2], round(r[3], 9)) for r in scan(df, percent=percent).collect()), key=repr)
         want = sorted(((r[0], r[1], r[2], round(r[3], 9)) for r in db.sql(scan_sql(percent=percent)).fetchall()), key=repr)
         assert got == want and got
+    assert (13, 0, "all-rights-reserved", 1.0) in got
     assert (3, 0, "all-rights-reserved", 1.0) in got and (8, 0, "GPL-3.0", 1.0) in got
     assert scan(df.limit(0)).collect() == [] and scan(df, []).collect() == []
