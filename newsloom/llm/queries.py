@@ -42,6 +42,10 @@ def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
 
 
+def op5_license_places(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.places(table(spark, sf, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "item_id", "edits", "end_word")
@@ -68,7 +72,7 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op5_license_scan, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
+    op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op5_license_scan, op5_license_places, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
@@ -79,4 +83,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 
 
 def oracle() -> dict[str, str]:
-    return {"op1_exact_dedup": _OP1, "op5_license_scan": licenses.scan_sql()}
+    return {"op1_exact_dedup": _OP1, "op5_license_scan": licenses.scan_sql(), "op5_license_places": licenses.places_sql()}
