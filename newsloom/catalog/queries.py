@@ -983,7 +983,7 @@ def vector_retrieve(spark, sf):
 def ann_retrieve(spark, sf):
     readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
     vecs = t.vectors(spark, sf)
-    return _top(retrieval.ann_retrieve(semantic.user_vectors(readers_, vecs), vecs, TOP, cells=8, probes=3))
+    return _top(retrieval.ann_retrieve(semantic.user_vectors(readers_, vecs), vecs, TOP, cells=8, probes=6))
 
 
 @query

@@ -115,6 +115,20 @@ def test_vector_retrieval_in_blocks_equals_brute_force(spark):
     assert len(fewer & {w[:2] for w in want}) > 0.5 * len(want)
 
 
+def test_ann_retrieve_finds_nine_tenths_and_full_lists(spark):
+    from newsloom.catalog.queries import QUERIES, TOP
+
+    sf = "/root/testdata/sf0.01"
+    want = {(r.user_id, r.article_id) for r in QUERIES["vector_retrieve"](spark, sf).collect()}
+    got = [(r.user_id, r.article_id) for r in QUERIES["ann_retrieve"](spark, sf).collect()]
+    assert len(want & set(got)) >= 0.9 * len(want) and len(got) == len(want) >= TOP
+    data, vecs = vectors(spark)
+    users = vecs.select("article_id", F.col("embedding").cast("array<double>").alias("user_vector")).withColumnRenamed("article_id", "user_id")
+    for k in (len(data) // 2, len(data) + 5):
+        lists = retrieval.ann_retrieve(users, vecs, k, cells=4, probes=1).groupBy("user_id").count().collect()
+        assert len(lists) == len(data) and {r["count"] for r in lists} == {min(k, len(data))}
+
+
 def test_term_kernel_dense_and_sparse_agree(spark, small):
     import pyarrow as pa
 
