@@ -46,3 +46,18 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
         assert out.columns == none.columns and out.collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, none, "").collect() == []
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_language_stage_rejects_unlearned_languages(spark):
+    sf = "/root/testdata/sf0.001"
+    base = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    foreign = [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, perché la diritta via era smarrita.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem."]
+    clean = ["the of and is in that", "the people", base.first()["text"][:60]]
+    rows = [(9000 + i, t, None, "x", 1) for i, t in enumerate(foreign)] + [(9100 + i, t, None, "x", 1) for i, t in enumerate(clean)]
+    docs = base.unionByName(spark.createDataFrame(rows, SCHEMA))
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, sf).collect()}
+    assert kept & {r[0] for r in rows} == {9100 + i for i in range(len(clean))}
+    assert base.where("text RLIKE '[a-z]'").where(~base["doc_id"].isin(list(kept))).count() == 0
