@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import audit, ctw, decontaminate, exact, jaccard, language, licenses, mixing, repeats, toxicity, urls
+from newsloom.llm import audit, ctw, decontaminate, exact, jaccard, language, licenses, mixing, repeats, search, toxicity, urls
 from newsloom.llm.common import held_out
 from newsloom.session import ship_package
 
@@ -71,13 +71,17 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return audit.interactions(audit.masks(table(spark, sf, "documents"), table(spark, sf, "labels")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op5_license_scan, op5_license_places, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id,
-    op13_filter_audit)}
+    op12_ranked_search, op13_filter_audit)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
@@ -89,4 +93,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 
 def oracle() -> dict[str, str]:
     return {"op1_exact_dedup": _OP1, "op5_license_scan": licenses.scan_sql(), "op5_license_places": licenses.places_sql(),
-            "op13_filter_audit": audit.SQL}
+            "op12_ranked_search": search.SQL, "op13_filter_audit": audit.SQL}
