@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import audit, ctw, decontaminate, exact, jaccard, language, licenses, mixing, repeats, search, toxicity, urls
+from newsloom.llm import audit, ctw, decontaminate, exact, jaccard, language, licenses, mixing, pages, repeats, search, toxicity, urls
 from newsloom.llm.common import held_out
 from newsloom.session import ship_package
 
@@ -71,6 +71,10 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.main_text(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     return search.ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -81,7 +85,7 @@ def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_mix, op3_jaccard_join, op4_toxicity, op5_license_scan, op5_license_places, op6_decontaminate, op7_context_tree, op8_suffix_array, op9_url_filter, op10_language_id,
-    op12_ranked_search, op13_filter_audit)}
+    op11_main_text, op12_ranked_search, op13_filter_audit)}
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents),
