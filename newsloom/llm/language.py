@@ -11,13 +11,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import LOWER, chunks
+from newsloom.llm.common import CHUNK, LOWER, chunks
 
-#: Model cells (languages × slots) that are sent to the tasks: 2**23 floats are 32 MB.
-CELLS = 1 << 23
+#: Slots of a language; the same for any number of languages, so that one language more changes no other.
+BITS = 16
+#: Languages that one model holds at most: 2**16 slots of 512 languages are 128 MB in a task.
+LANGUAGES = 512
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _BLANKED = np.where(_LETTER, LOWER, 32).astype(np.uint64)
@@ -44,12 +47,13 @@ def trigrams(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarr
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, int]:
     """(languages, log likelihood per slot and language, slot bits) from all rows of `labelled`.
 
-    Counts are summed in each task, then across tasks; the driver gets languages × slots numbers, at most `CELLS`.
+    Counts are summed in each task, then across tasks; the driver gets languages × 2^BITS numbers. More than `LANGUAGES`
+    labels raise an error, as they are no languages.
     """
-    langs = sorted(r[0] for r in labelled.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().collect())
-    bits = 16
-    while bits > 8 and len(langs) << bits > CELLS:
-        bits -= 1
+    names = labelled.where(F.col(lang_col).isNotNull()).select(lang_col).distinct().limit(LANGUAGES + 1).collect()
+    if len(names) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    langs, bits = sorted(r[0] for r in names), BITS
     place = {name: i for i, name in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,13 +72,14 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
                 [pa.array(np.full(len(slots), i, np.int32)), pa.array(slots.astype(np.int32)), pa.array(found[slots].astype(np.int64))],
                 ["lang", "slot", "n"])
 
-    table = np.zeros((1 << bits, max(len(langs), 1)))
+    table = np.zeros((1 << bits, max(len(langs), 1)), np.float32)
     if langs:
         rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, lang_col)
         sums = rows.mapInArrow(count, "lang int, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
         table[sums["slot"].to_numpy(), sums["lang"].to_numpy()] = sums["n"].to_numpy()
-    smoothed = table + 0.1
-    return langs, np.log(smoothed / smoothed.sum(0)).astype(np.float32), bits
+    total = table.sum(0, dtype=np.float64) + 0.1 * (1 << bits)
+    table += np.float32(0.1)
+    return langs, np.log(table, out=table) - np.log(total).astype(np.float32), bits
 
 
 def mixtures(owner: np.ndarray, slot: np.ndarray, docs: int, logs: np.ndarray, bits: int, rounds: int = 15):
@@ -97,7 +102,9 @@ def mixtures(owner: np.ndarray, slot: np.ndarray, docs: int, logs: np.ndarray, b
         pi = np.add.reduceat(part, starts, axis=0) / total[:, None]
     order = np.argsort(-pi, axis=1, kind="stable")
     best, size = np.full(len(starts), -np.inf), np.ones(len(starts), int)
-    for m in range(1, min(k, 4) + 1):
+    # No subset of languages has a likelihood above this one: each trigram by its best language.
+    full = np.add.reduceat(c * np.log(np.maximum(like.max(1), 1e-300)), starts)
+    for m in range(1, k + 1):
         mask = np.zeros_like(pi, bool)
         np.put_along_axis(mask, order[:, :m], True, axis=1)
         some = np.where(mask, pi, 0)
@@ -108,12 +115,20 @@ def mixtures(owner: np.ndarray, slot: np.ndarray, docs: int, logs: np.ndarray, b
         fit = ll - 0.5 * (m - 1) * np.log(total + 1) * 3
         size = np.where(fit > best, m, size)
         best = np.maximum(fit, best)
+        # The likelihood can't rise beyond that of all languages; when no text can make up for the penalty, stop.
+        if m < k and (full - 0.5 * m * np.log(total + 1) * 3 <= best).all():
+            break
     picked = np.zeros_like(pi, bool)
     np.put_along_axis(picked, order, np.arange(k)[None, :] < size[:, None], axis=1)
     shares[who], chosen[who] = pi, picked
     return shares, chosen, fit_share
 
 
+def piece(langs: list[str]) -> int:
+    """Bytes of text judged at a time: the likelihoods of a piece take up to 8 bytes per trigram and language."""
+    return min(CHUNK, max((1 << 23) // max(len(langs), 1), 1 << 16))
+
+
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, int], text_col: str = "text") -> DataFrame:
     """`docs` with `lang_pred`, `lang_score` (its share), `langs` (the chosen set) and `lang_fit`.
 
@@ -131,7 +146,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, int], text_col
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             pred, score, sets, fits = [], [], [], []
-            for first, last, data, offsets in chunks(column):
+            for first, last, data, offsets in chunks(column, piece(langs)):
                 owner, slot = trigrams(data, offsets, bits)
                 shares, chosen, fit = mixtures(owner, slot, last - first, logs, bits)
                 top = np.argmax(shares, axis=1)
@@ -154,3 +169,36 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, int], text_col
         "langs": F.when(known, F.col("langs")).otherwise(F.array().cast("array<string>")),
         "lang_fit": F.when(known, F.col("lang_fit")).otherwise(0.0),
     })
+
+
+def known(docs: DataFrame, model: tuple[list[str], np.ndarray, int], cut: float, loose: float, long: int, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text is in a learned language, with all their columns as they are.
+
+    A text of `long` code points needs a `lang_fit` of `cut`, a shorter one of `loose`. Null texts, texts without a
+    letter and, with an empty model, all texts go. Rows are judged one by one in the tasks that read them.
+    """
+    langs, logs, bits = model
+    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text_col))
+            fits = np.zeros(batch.num_rows)
+            for first, last, data, offsets in chunks(column, piece(langs)):
+                owner, slot = trigrams(data, offsets, bits)
+                fits[first:last] = mixtures(owner, slot, last - first, logs, bits)[2]
+            need = np.where(pc.utf8_length(column).to_numpy(zero_copy_only=False) >= long, cut, loose)
+            yield batch.filter(pa.array(fits >= need))
+
+    return docs.where(letter & F.lit(bool(langs))).mapInArrow(keep, docs.schema)
+
+
+def calibrated(labelled: DataFrame, model: tuple[list[str], np.ndarray, int], loose: float, long: int, text_col: str = "text",
+               lang_col: str = "lang") -> float:
+    """The cut for texts of `long` code points or more: halfway between `loose` and what 99 of 100 rows of `labelled` reach.
+
+    Only rows whose label the model agrees with count; without any the cut is `loose`.
+    """
+    own = labelled.where(F.col(lang_col).isNotNull() & (F.length(text_col) >= long)).select(F.col(text_col).alias("text"), F.col(lang_col).alias("label"))
+    low = identify(own, model).where("lang_pred = label").agg(F.percentile_approx("lang_fit", 0.01, 10000)).first()[0]
+    return loose if low is None else max(loose, (loose + low) / 2)

@@ -68,7 +68,7 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = language.train(docs.where(~held_out(F.col("doc_id"), 4)))
     return language.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+        "doc_id", held_out(F.col("doc_id"), 4).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.array_join("langs", " ").alias("langs"))
 
 
 def op11_main_text(spark: SparkSession, sf: str) -> DataFrame:

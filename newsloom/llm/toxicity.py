@@ -2,7 +2,7 @@
 
 Features of a text are the distinct slots of its words, pairs of neighbours and pairs with one word between. Each
 slot has its own learning rate, and the L1 term keeps most weights at zero, so the model is a small list of weights.
-It is fitted in one task on a bounded sample of labelled rows; scoring runs over all rows.
+It is fitted in one task on a bounded sample of labelled texts; scoring runs over all rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import PUNCTUATION, chunks, mix, words
@@ -20,6 +20,8 @@ from newsloom.llm.common import PUNCTUATION, chunks, mix, words
 BITS = 20
 #: Labelled rows that are fitted at most, those with the smallest hashed ids.
 SAMPLE = 12_000
+#: Text bytes of these rows at most; rows are taken in the order of their hashed ids as long as they fit.
+SAMPLE_BYTES = 64 << 20
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,17 +61,21 @@ class Ftrl:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passes: int = 6, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) learned from at most `sample` rows of `labels` (an id with several labels has the largest).
+    """(slots, weights) learned from at most `sample` texts of labelled ids (an id with several labels has the largest).
 
-    The sample is the rows with the smallest hashed ids, so it is the same for any partitioning; their texts are read
-    whole. Null labels and ids are left out; without rows the model is empty. The driver gets the weights only.
+    The sample is the ids with the smallest hashes, so it is the same for any partitioning; of an id that `docs` repeats
+    one text counts, the one of smallest hash. Texts are read whole, up to `SAMPLE_BYTES` together. Null labels and ids are
+    left out; without rows the model is empty. The driver gets the weights only.
     """
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(sample))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "id").select(F.xxhash64("id").alias("turn"), "text", F.col("label").cast("int").alias("label"))
-            .repartition(1).sortWithinPartitions("turn", "label", "text"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.octet_length("text"))).alias("text")
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(one)
+    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.orderBy("turn", "id").rowsBetween(Window.unboundedPreceding, 0))
+    rows = (rows.select(F.xxhash64("id").alias("turn"), "id", "text", F.col("label").cast("int").alias("label"))
+            .withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).select("turn", "text", "label"))
     end = 1 << BITS
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,6 +75,36 @@ def test_large_benchmarks_are_searched_in_passes(spark, monkeypatch):
     assert sorted(map(tuple, passages(d, b).collect())) == want == [(1, 0, 0, 3), (1, 3, 0, 3)]
 
 
+def test_item_ids_of_any_type_and_repeated_ids_at_any_pass_size(spark, monkeypatch):
+    from newsloom.llm import decontaminate
+    d = spark.createDataFrame([(1, "one two three four five six"), (2, "nine ten eleven")], "doc_id long, text string")
+    b = spark.createDataFrame([("a", "one two three"), ("a", "two three four"), ("a", "one two three"), (None, "nine ten"), ("b", "zero")], "item_id string, text string")
+    want = sorted([(1, "a", 0, 3), (1, "a", 0, 4), (1, "a", 0, 3), (2, None, 0, 2)], key=repr)
+    assert sorted(map(tuple, passages(d, b).collect()), key=repr) == want
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 14)
+    assert sorted(map(tuple, passages(d, b).collect()), key=repr) == want
+
+
+def test_a_piece_that_thousands_of_items_share_costs_no_verification(monkeypatch):
+    from newsloom.llm import decontaminate
+    rng = random.Random(5)
+    tail = lambda: " ".join(f"t{rng.randrange(10 ** 6)}" for _ in range(12))
+    items = ["what is the capital " + tail() for _ in range(2000)]
+    text = "what is the capital of it " * 120 + items[7] + " and so on " + items[9].replace("is", "was")
+    calls = []
+    monkeypatch.setattr(decontaminate, "best_match", lambda a, b: (calls.append(1), best_match(a, b))[1])
+    index = decontaminate.Index(items, BUDGET)
+    for bound in (1 << 22, 500):
+        monkeypatch.setattr(decontaminate, "HITS", bound)
+        calls.clear()
+        found = set()
+        for _, _, data, offsets in decontaminate.chunks(decontaminate.pa.array([text, "", "the capital " * 50])):
+            h, before = decontaminate.words(data, offsets, decontaminate.PUNCTUATION)
+            found |= {(t, n, e) for t, n, e, _ in index.search(h, before)}
+        assert {(t, n, min(e for u, m, e in found if (u, m) == (t, n))) for t, n, _ in found} == {(0, 7, 0), (0, 9, 1)}
+        assert len(calls) < 40
+
+
 @pytest.mark.parametrize("text,found", [("a b c d e", True), ("a b x d e", True), ("a x b x d e", False)])
 def test_budget_of_one_edit_in_five_words(spark, text, found):
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
