@@ -1,101 +1,129 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in hashed order, fill blocks of `block` bytes. Block j of a source that is to have the share w
-may start in slot ⌊j / w⌋ and must end by slot ⌈(j + 1) / w⌉; slots go to the released block of earliest deadline. Then no
-source is ever a whole block ahead of or behind its share. With whole-number weights the schedule repeats after as many
-slots as the weights add up to, so one period is planned and every document gets its slot by a join. When a source runs
-out, the others go on with their own weights.
+Each source's documents, in hashed order, fill blocks of `block` bytes, and w blocks of a source of weight w (or what it has
+left) belong to one round. A round in which the sources have W blocks takes W slots. Block q of the n that a source has in
+it may start in slot ⌊qW / n⌋ of the round and must end by slot ⌈(q + 1)W / n⌉; slots go to the released block of earliest
+deadline. Then no source is ever a whole block ahead of or behind its share, and at the end of a round all are level, so
+that rounds are planned apart from each other. When a source runs out, the others go on with their own weights.
+
+Sources that have equally many blocks in a round are interchangeable: a round is planned by classes (blocks of a source,
+number of such sources), and a member finds its slot by its rank in the class. So plans are as small as the weights, whatever
+the number of sources and blocks; all else is joins and windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import heapq
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.session import stage
 
-#: Sources that are planned one by one; each is a row on the driver.
-SOURCES = 10_000
-
-
-def period(weights: list[int]) -> list[int]:
-    """The source of each slot of one period: earliest deadline first among the released blocks, ties to the first."""
-    total = sum(weights)
-    done = [0] * len(weights)
-    out = []
-    for t in range(total):
-        best, choice = None, -1
-        for s, w in enumerate(weights):
-            if done[s] < w and done[s] * total // w <= t:
-                deadline = -(-(done[s] + 1) * total // w)
-                if best is None or deadline < best:
-                    best, choice = deadline, s
-        out.append(choice)
-        done[choice] += 1
-    return out
+#: Rounds, ranks or slots that one running sum or join key covers.
+SPAN = 4096
+_PLAN = "array<struct<n:long,last:int,q:long,first:long,count:long,slot:long>>"
+
 
+@lru_cache(4096)
+def round_plan(classes: tuple[tuple[int, int, int], ...]) -> list[tuple[int, int, int, int, int, int]]:
+    """(n, last, q, first rank, ranks, first slot): the slots of block q of the members of each class of a round.
 
-def phases(blocks: list[int], weights: list[int]) -> list[tuple[int, int, list[int]]]:
-    """(first slot, periods, weights in force) until all blocks are placed; at least one source ends per two phases."""
-    left, slot, out = list(blocks), 0, []
-    while any(left):
-        now = [min(w, n) for w, n in zip(weights, left)]
-        times = min(n // w for n, w in zip(left, now) if w)
-        out.append((slot, times, now))
-        slot += times * sum(now)
-        left = [n - times * w for n, w in zip(left, now)]
+    `classes` are (blocks of each member, whether it is the last round of the members, members). Earliest deadline first among
+    the released blocks, ties by class, then by block and rank; a class is cut where another block's release or deadline
+    comes between its members.
+    """
+    width = sum(n * m for n, _, m in classes)
+    jobs = sorted((q * width // n, -(-(q + 1) * width // n), n, last, q, m) for n, last, m in classes for q in range(n))
+    heap: list[list[int]] = []
+    out, slot, at = [], 0, 0
+    while slot < width:
+        while at < len(jobs) and jobs[at][0] <= slot:
+            _, deadline, n, last, q, m = jobs[at]
+            heapq.heappush(heap, [deadline, n, last, q, 0, m])
+            at += 1
+        _, n, last, q, first, m = heap[0]
+        count = min(m - first, (jobs[at][0] if at < len(jobs) else width) - slot)
+        out.append((n, last, q, first, count, slot))
+        slot += count
+        heap[0][4] += count
+        if heap[0][4] == m:
+            heapq.heappop(heap)
     return out
 
 
+def running(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """`df` with `name`, the sum of `value` over the rows of smaller `key` (a long from 0), in two steps of `SPAN`."""
+    part = df.withColumn("__g", F.floor(F.col(key) / SPAN).cast("long"))
+    groups = part.groupBy("__g").agg(F.sum(value).alias("__n"))
+    groups = groups.select("__g", (F.sum("__n").over(Window.orderBy("__g")) - F.col("__n")).alias("__g0"))
+    own = F.sum(value).over(Window.partitionBy("__g").orderBy(key)) - F.col(value)
+    return part.join(groups, "__g").withColumn(name, F.col("__g0") + own).drop("__g", "__g0")
+
+
+def weight_of(source: Column, weights: dict[str, int], default: int) -> Column:
+    out = F.lit(default)
+    for name, w in weights.items():
+        out = F.when(source.eqNullSafe(F.lit(name)), F.lit(w)).otherwise(out)
+    return out.cast("long")
+
+
+def rounds(sources: DataFrame) -> DataFrame:
+    """(`round`, `n`, `last`, `q`, `first`, `count`, `at`, `span`): the plans of all rounds, slots counted from the first.
+
+    `sources` has (`w`, `full`, `rest`): weight, rounds with all of it, and blocks in one more. Plans repeat a row for each
+    stretch of `SPAN` ranks that they cover, so that a key of the join with documents stays small.
+    """
+    spans = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("full") - 1) / SPAN).cast("long"))).alias("s")
+    each = F.explode(F.sequence(F.col("s") * SPAN, F.least(F.col("full"), F.col("s") * SPAN + SPAN) - 1)).alias("round")
+    whole = sources.where("full > 0").select("w", "full", spans).select(each, F.col("w").alias("n"), F.lit(0).alias("last"))
+    final = sources.where("rest > 0").select(F.col("full").alias("round"), F.col("rest").alias("n"), F.lit(1).alias("last"))
+    classes = whole.unionByName(final).groupBy("round", "n", "last").agg(F.count(F.lit(1)).alias("m"))
+    by_round = classes.groupBy("round").agg(F.sort_array(F.collect_list(F.struct("n", "last", "m"))).alias("classes"), F.sum(F.col("n") * F.col("m")).alias("width"))
+    planned = F.udf(lambda rows: round_plan(tuple(map(tuple, rows))), _PLAN)
+    table = running(by_round, "round", "width", "base").select("round", "base", F.explode(planned("classes")).alias("p"))
+    stretch = F.sequence(F.floor(F.col("p.first") / SPAN).cast("long"), F.floor((F.col("p.first") + F.col("p.count") - 1) / SPAN).cast("long"))
+    return table.select("round", "p.n", "p.last", "p.q", "p.first", "p.count", (F.col("base") + F.col("p.slot")).alias("at"), F.explode(stretch).alias("span"))
+
+
 def schedule(units: DataFrame, weights: dict[str, int], default: int, block: int, group: int) -> DataFrame:
     """`units` (`source`, `turn`, `rows`, `bytes`, …) with `mix_block`, `mix_slot` and `mix_position`.
 
     Units of a source follow one another in the order of `turn`, then of all their other columns.
     """
-    spark = units.sparkSession
     # A running sum per source in two steps: over ranges of the hashed order, then inside each range.
     bits = max(0, (units.count() // group).bit_length())
     cut = units.withColumn("cell", F.shiftright("turn", 64 - bits) if bits else F.lit(0).cast("long"))
-    cells = cut.groupBy("source", "cell").agg(F.sum("bytes").alias("upto"))
-    upto = F.sum("upto").over(Window.partitionBy("source").orderBy("cell"))
-    cells = cells.select(F.col("source").alias("s"), F.col("cell").alias("c"), (upto - F.col("upto")).alias("before"), upto.alias("upto"))
-    sizes = cells.groupBy("s").agg(F.max("upto").alias("bytes")).orderBy(F.asc_nulls_first("s")).limit(SOURCES + 1).collect()
-    if len(sizes) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources; map rare ones to one name first")
-    share = [int(weights.get(r["s"], default)) for r in sizes]
-    turns, ranges, done = [], [], [0] * len(sizes)
-    for number, (slot, times, now) in enumerate(phases([-(-r["bytes"] // block) for r in sizes], share)):
-        seen = [0] * len(sizes)
-        for t, s in enumerate(period(now)):
-            turns.append((number, s, seen[s], t))
-            seen[s] += 1
-        for s, w in enumerate(now):
-            if w:
-                ranges.append((s, number, done[s], done[s] + times * w, w, slot, sum(now)))
-                done[s] += times * w
-    # A row per source and phase, and per slot of a period: bounded by the weights and the number of sources.
-    names = spark.createDataFrame([(s, r["s"]) for s, r in enumerate(sizes)], "number int, name string")
-    ranges = spark.createDataFrame(ranges, "number int, phase int, low long, high long, w long, slot0 long, total long")
-    turns = spark.createDataFrame(turns, "phase int, number int, nth long, t long")
+    cells = cut.groupBy(F.col("source").alias("s"), F.col("cell").alias("c")).agg(F.sum("bytes").alias("upto"))
+    upto = F.sum("upto").over(Window.partitionBy("s").orderBy("c"))
+    cells = stage(cells.select("s", "c", (upto - F.col("upto")).alias("before"), upto.alias("upto")), "mix-cells")
+    # A row per source: its rounds, and its rank among those of its weight (longest first, so that those still in a round are
+    # the first ones) and among those that end alike.
+    blocks = F.ceil(F.col("bytes") / block).cast("long")
+    sources = cells.groupBy("s").agg(F.max("upto").alias("bytes")).withColumn("w", weight_of(F.col("s"), weights, default))
+    sources = sources.select("s", "w", F.floor(blocks / F.col("w")).cast("long").alias("full"), (blocks % F.col("w")).alias("rest"))
+    by_weight = Window.partitionBy("w").orderBy(F.desc("full"), F.asc_nulls_first("s"))
+    by_end = Window.partitionBy("full", "rest").orderBy(F.asc_nulls_first("s"))
+    sources = stage(sources.withColumns({"rank0": F.row_number().over(by_weight) - 1, "rank1": F.row_number().over(by_end) - 1}), "mix-sources")
+    cells = cells.drop("upto").join(sources.withColumnRenamed("s", "name"), F.col("s").eqNullSafe(F.col("name"))).drop("name")
     ties = [F.asc_nulls_first(c) for c in units.columns if c not in ("source", "turn")]
     inner = Window.partitionBy("source", "cell").orderBy("turn", *ties).rowsBetween(Window.unboundedPreceding, 0)
     placed = (cut.withColumn("own", F.sum("bytes").over(inner) - F.col("bytes"))
               .join(cells, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
               .withColumn("start", F.col("before") + F.col("own"))
-              .withColumn("mix_block", F.floor(F.col("start") / block).cast("long"))
-              .join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name"))).drop("name", "cell", "own", "s", "c", "before", "upto"))
-    placed = placed.alias("d").join(
-        F.broadcast(ranges).alias("r"), F.expr("d.number = r.number AND d.mix_block >= r.low AND d.mix_block < r.high")).selectExpr(
-        "d.*", "r.phase", "r.slot0 + (d.mix_block - r.low) div r.w * r.total AS base", "(d.mix_block - r.low) % r.w AS nth")
-    placed = placed.join(F.broadcast(turns), ["phase", "number", "nth"]).withColumn("mix_slot", F.col("base") + F.col("t"))
-    # Positions count rows in the order of slots: over groups of slots, over the slots of a group, inside a slot.
-    counts = placed.groupBy("mix_slot").agg(F.sum("rows").alias("n")).withColumn("g", F.floor(F.col("mix_slot") / 4096))
-    groups = counts.groupBy("g").agg(F.sum("n").alias("gn"))
-    groups = groups.select("g", (F.sum("gn").over(Window.orderBy("g")) - F.col("gn")).alias("g0"))
-    slots = counts.join(groups, "g").select(
-        F.col("mix_slot").alias("at"), (F.col("g0") + F.sum("n").over(Window.partitionBy("g").orderBy("mix_slot")) - F.col("n")).alias("s0"))
+              .withColumn("mix_block", F.floor(F.col("start") / block).cast("long")).drop("cell", "own", "s", "c", "before"))
+    placed = placed.withColumn("round", F.floor(F.col("mix_block") / F.col("w")).cast("long"))
+    last = F.col("round") >= F.col("full")
+    placed = placed.withColumns({"last": last.cast("int"), "n": F.when(last, F.col("rest")).otherwise(F.col("w")),
+                                 "q": F.col("mix_block") % F.col("w"), "rank": F.when(last, F.col("rank1")).otherwise(F.col("rank0"))})
+    plan = stage(rounds(sources), "mix-plan")
+    placed = placed.withColumn("span", F.floor(F.col("rank") / SPAN).cast("long")).join(plan, ["round", "n", "last", "q", "span"])
+    placed = placed.where("rank >= first AND rank < first + count").withColumn("mix_slot", F.col("at") + F.col("rank") - F.col("first"))
+    # Positions count rows in the order of slots, then inside a slot.
+    slots = running(placed.groupBy("mix_slot").agg(F.sum("rows").alias("n")), "mix_slot", "n", "s0").select(F.col("mix_slot").alias("slot"), "s0")
     within = F.sum("rows").over(Window.partitionBy("mix_slot").orderBy("start"))
-    return placed.withColumn("within", within).join(slots, F.col("mix_slot") == F.col("at")).withColumn(
+    return placed.withColumn("within", within).join(slots, F.col("mix_slot") == F.col("slot")).withColumn(
         "mix_position", F.col("s0") + F.col("within") - F.col("rows")).select(*units.columns, "mix_block", "mix_slot", "mix_position")
 
 
@@ -106,7 +134,7 @@ def mix(docs: DataFrame, weights: dict[str, int], default: int = 1, block: int =
     `weights` are whole numbers per source, `default` holds for others; null is a source of its own. A document
     belongs to the block in which its first byte falls (each text counts one byte more than it has, so empty and null
     texts have a place); one longer than a block takes up the slots of the blocks it covers. Rows that agree in id,
-    source and text have neighbouring places and share a block. Every row is kept once, in one place. Columns of
+    source and text have neighbouring places and share a block. There may be any number of sources. Every row is kept once, in one place. Columns of
     `docs` with the three new names are replaced. `group` is the number of rows that one task sorts.
     """
     if default < 1 or any(w < 1 or w != int(w) for w in weights.values()):

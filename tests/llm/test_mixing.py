@@ -1,51 +1,77 @@
 import random
+from collections import Counter
 
 import pytest
 
-from newsloom.llm.mixing import mix, period, phases
+from newsloom.llm import mixing
+from newsloom.llm.mixing import mix, round_plan
 
 
-@pytest.mark.parametrize("weights", [[1], [1, 1], [4, 3, 3, 2, 1, 1], [97, 1, 2], [5, 7, 11], [1] * 9 + [30]])
+def naive_slots(blocks, weights):
+    """Slot of (source, block): round by round and slot by slot, over single blocks in a list."""
+    sources = sorted(blocks, key=lambda s: (s is not None, s or ""))
+    out, base, v = {}, 0, 0
+    while True:
+        now = {s: min(weights[s], blocks[s] - v * weights[s]) for s in sources if blocks[s] > v * weights[s]}
+        if not now:
+            return out
+        width = sum(now.values())
+        full = {s: blocks[s] // weights[s] for s in sources}
+        jobs = []
+        for s, n in now.items():
+            last = int(v >= full[s])
+            rank = (0 if last else -full[s], sources.index(s))
+            jobs += [(q * width // n, -(-(q + 1) * width // n), n, last, q, rank, s) for q in range(n)]
+        for t in range(width):
+            job = min((j for j in jobs if j[0] <= t), key=lambda j: j[1:6])
+            jobs.remove(job)
+            assert t < job[1]
+            out[job[6], v * weights[job[6]] + job[4]] = base + t
+        base += width
+        v += 1
+
+
+@pytest.mark.parametrize("weights", [[1], [1, 1], [4, 3, 3, 2, 1, 1], [97, 1, 2], [5, 7, 11], [1] * 9 + [30], [3] * 50 + [2] * 70 + [40]])
 def test_a_source_is_never_a_block_off_its_share(weights):
-    order = period(weights)
-    total, done = sum(weights), [0] * len(weights)
-    assert len(order) == total
-    for t, s in enumerate(order, 1):
-        done[s] += 1
-        assert all(abs(d - t * w / total) < 1 for d, w in zip(done, weights))
-    assert done == weights
+    classes = tuple(sorted((n, 0, m) for n, m in Counter(weights).items()))
+    slots, total = {}, sum(weights)
+    for n, _, q, first, count, slot in round_plan(classes):
+        for i in range(count):
+            slots[slot + i] = (n, first + i, q)
+    assert sorted(slots) == list(range(total)) and len(set(slots.values())) == total
+    done = Counter()
+    members = [(n, r) for n, _, m in classes for r in range(m)]
+    for t in range(total):
+        n, rank, q = slots[t]
+        assert done[n, rank] == q
+        done[n, rank] += 1
+        if total < 400 or t % 17 == 0:
+            assert all(abs(done[x] - (t + 1) * x[0] / total) < 1 for x in members)
 
 
-def test_phases_place_every_block_once():
-    rng = random.Random(1)
-    for _ in range(100):
-        blocks, weights = [rng.randint(0, 40) for _ in range(6)], [rng.randint(1, 5) for _ in range(6)]
-        plan = phases(blocks, weights)
-        assert [sum(times * now[s] for _, times, now in plan) for s in range(6)] == blocks
-        assert len(plan) <= 12
-        slot = 0
-        for first, times, now in plan:
-            assert first == slot
-            slot += times * sum(now)
+def test_thousands_of_sources(spark):
+    rng = random.Random(2)
+    docs = [(i, f"s{i % 20000}", "x" * rng.randint(1, 200)) for i in range(24000)]
+    rows = mix(spark.createDataFrame(docs, "doc_id long, source string, text string"), {"s0": 5, "s1": 2}, block=64).collect()
+    assert sorted(r["mix_position"] for r in rows) == list(range(len(docs)))
+    size = Counter()
+    for _, s, t in docs:
+        size[s] += len(t) + 1
+    # Every source begins in the first round, whose width is the sum of what the sources have in it.
+    blocks = {s: -(-n // 64) for s, n in size.items()}
+    width = sum(min({"s0": 5, "s1": 2}.get(s, 1), n) for s, n in blocks.items())
+    assert all(r["mix_slot"] < width for r in rows if r["mix_block"] == 0)
+    assert max(r["mix_slot"] for r in rows) < sum(blocks.values())
 
 
 def brute(docs, weights, default, block):
-    """Block by block: the schedule over whole sources, without periods of SQL."""
-    out, slot_of = {}, {}
-    sources = sorted({s for _, s, _ in docs}, key=lambda s: (s is not None, s or ""))
-    size = {s: sum(len((t or "").encode()) + 1 for _, x, t in docs if x == s) for s in sources}
-    slot = 0
-    done = dict.fromkeys(sources, 0)
-    for _, times, now in phases([-(-size[s] // block) for s in sources], [weights.get(s, default) for s in sources]):
-        for _ in range(times):
-            for i in period(now):
-                slot_of[sources[i], done[sources[i]]] = slot
-                done[sources[i]] += 1
-                slot += 1
-    return slot_of
+    size = Counter()
+    for _, s, t in docs:
+        size[s] += len((t or "").encode()) + 1
+    return naive_slots({s: -(-n // block) for s, n in size.items()}, {s: weights.get(s, default) for s in size})
 
 
-def test_mixed_order(spark):
+def test_mixed_order(spark, monkeypatch):
     rng = random.Random(4)
     docs = [(i, rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, "", "x" * rng.randint(1, 90), "ß" * 200])) for i in range(400)]
     docs += [(400, "a", "same"), (400, "a", "same"), (None, "b", "q"), (None, None, None)]
@@ -62,7 +88,11 @@ def test_mixed_order(spark):
         assert r["mix_slot"] == slot_of[r["source"], r["mix_block"]]
         begun[r["source"]] += len((r["text"] or "").encode()) + 1
     assert [r["mix_slot"] for r in rows] == sorted(r["mix_slot"] for r in rows)
+    monkeypatch.setattr(mixing, "SPAN", 2)
     assert rows == sorted(mix(df.repartition(7), weights, block=64, group=1000).collect(), key=lambda r: r["mix_position"])
     assert mix(df.limit(0), weights).collect() == []
+    long = spark.createDataFrame([(1, "a", "y" * 1_000_000), (2, "a", "z"), (3, "b", "w")], "doc_id long, source string, text string")
+    got = mix(long, {}, block=1 << 16).collect()
+    assert {r["doc_id"]: r["mix_slot"] for r in got}[3] == 1 and sorted(r["mix_position"] for r in got) == [0, 1, 2]
     with pytest.raises(ValueError):
         mix(df, {"a": 0})
