@@ -22,38 +22,53 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Rejects texts without a letter and those of which the best language explains too few trigrams.
 
     The cut of texts of 40 characters or more lies halfway between a fifth and what all but a hundredth of the labelled
-    rows kept out of training reach when their label agrees; shorter ones need a fifth.
+    rows kept out of training reach when their label agrees; shorter ones need a fifth. Null and empty texts go; without any
+    label all texts go. Rows are judged one by one, so repeated rows fare alike; very long texts are judged whole, and
+    columns of any other name are passed on as they are.
     """
     ship_package(spark)
     apart = held_out(F.col("doc_id"), 4)
     model = language.train(docs.where(~apart))
-    own = language.identify(docs.where(apart & F.col("lang").isNotNull() & (F.length("text") >= LONG)).select("text", "lang"), model)
-    low = own.where("lang_pred = lang").agg(F.percentile_approx("lang_fit", 0.01, 10000)).first()[0]
-    cut = max(LOOSE, (LOOSE + low) / 2) if low is not None else LOOSE
-    fits = F.col("lang_fit") >= F.when(F.length("text") >= LONG, cut).otherwise(LOOSE)
-    return language.identify(docs, model).where((F.col("lang_pred") != "und") & fits).select(*docs.columns)
+    cut = language.calibrated(docs.where(apart), model, LOOSE, LONG)
+    return language.known(docs, model, cut, LOOSE, LONG)
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal without white space, the longest and then first stays."""
+    """Of texts that are equal without white space, the longest and then first stays.
+
+    Null counts as empty, so all null and empty texts are one group. Of rows that agree in id too, one stays. Texts are
+    compared whole; further columns come with the row that stays.
+    """
     ship_package(spark)
     return exact.without_copies(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a Jaccard similarity of 0.8 over five-word shingles, the document of smallest id stays."""
+    """Of each group linked by a Jaccard similarity of 0.8 over five-word shingles, the document of smallest id stays.
+
+    Null and empty texts link with nothing and stay; a null id counts as the smallest; rows with equal id and text stay or
+    go together. Whole texts are compared; further columns come with the row that stays.
+    """
     ship_package(spark)
     return jaccard.one_of_each(docs, n=5, percent=80)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, up to a fifth of its words edited, go."""
+    """Documents that hold a benchmark item, up to a fifth of its words edited, go.
+
+    Null and empty texts stay, repeated rows fare alike, very long texts are searched whole; an empty benchmark removes
+    nothing. All columns are passed on.
+    """
     ship_package(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their place in the mixed corpus."""
+    """All documents, with their place in the mixed corpus.
+
+    Null is a source of its own, null and empty texts have a place, rows that agree in id, source and text stand next to each
+    other, and a text longer than a block covers several. Only columns named like the three new ones are replaced.
+    """
     ship_package(spark)
     return mixing.mix(docs, TARGETS)
 
