@@ -134,6 +134,10 @@ _DEEP = {
     "c_deepband": "SELECT model, user_id, band, " + ", ".join(f"count(*) FILTER (rank <= {k}) / count(*) AS recall_{k}" for k in (50, 100, 200)) + " FROM c_found GROUP BY ALL",
     "c_bandlong": "UNPIVOT c_deepband ON recall_50, recall_100, recall_200 INTO NAME metric VALUE value",
 }
+# For queries over all impressions instead of the test day.
+ALL = {"c_test": "SELECT c.* FROM c_cands c"}
+# Blocks that are worth computing once where several others read them.
+_ONCE = {"c_ev", "c_cand0", "c_cands", "c_pop", "c_tf", "c_post", "c_unit", "c_pairs", "c_lex", "c_sem"}
 _NAME = re.compile(r"\bc_[a-z0-9]+\b")
 
 
@@ -146,7 +150,7 @@ def with_parts(body: str, extra: dict[str, str] | None = None) -> str:
         name = todo.pop()
         needed.add(name)
         todo |= (set(_NAME.findall(parts[name])) & set(parts)) - needed
-    ctes = ", ".join(f"{n} AS ({parts[n]})" for n in parts if n in needed)
+    ctes = ", ".join(f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}({parts[n]})" for n in parts if n in needed)
     return f"WITH {ctes} {body}" if ctes else body
 
 
@@ -193,7 +197,7 @@ def _metrics_sql(body: str, source: str = "c_models") -> str:
 
 
 def _metric(name: str) -> str:
-    return _metrics_sql(f"SELECT row_id, {name} FROM c_metrics", "c_popmodel")
+    return with_parts(f"SELECT row_id, {name} FROM c_metrics", metric_parts("c_popmodel") | ALL)
 
 
 def _recall(source: str, score: str, unknown: str = "") -> dict[str, str]:
@@ -405,10 +409,10 @@ def oracle_sql() -> dict[str, str]:
         "history_text": w("SELECT DISTINCT user_id, article_id, title || ' ' || abstract AS text FROM c_hist JOIN c_art USING (article_id)"),
         "known_history": w("SELECT user_id, article_id, count(*) AS n FROM c_hist JOIN c_norm USING (article_id) GROUP BY ALL"),
         "attach_vectors": w("""SELECT policy, row_id, article_id, norm IS NOT NULL AS known FROM c_test LEFT JOIN c_norm USING (article_id),
-            (SELECT 'null' AS policy UNION ALL SELECT 'drop') WHERE policy = 'null' OR norm IS NOT NULL"""),
-        "match_terms": w("SELECT user_id, article_id, term, tf, round(weight, 6) AS weight FROM c_match"),
+            (SELECT 'null' AS policy UNION ALL SELECT 'drop') WHERE policy = 'null' OR norm IS NOT NULL""", ALL),
+        "match_terms": w("SELECT user_id, article_id, term, tf, round(weight, 6) AS weight FROM c_match", ALL),
         "attach_popularity": w("SELECT row_id, article_id, coalesce(clicks, 0) AS clicks FROM c_cands LEFT JOIN c_pop USING (article_id)"),
-        "attach_category": w("SELECT row_id, article_id, coalesce(category, 'unknown') AS category FROM c_semrank LEFT JOIN c_art USING (article_id) WHERE rank <= 5"),
+        "attach_category": w("SELECT row_id, article_id, coalesce(category, 'unknown') AS category FROM c_semrank LEFT JOIN c_art USING (article_id) WHERE rank <= 5", ALL),
         "first_history": w("""SELECT CAST(user_id AS VARCHAR) AS user_id, arg_min(coalesce(history, ''), key) AS history FROM (
             SELECT e.user_id, history, {'late': k = 50, 'time': date_trunc('second', e.ts), 'id': CAST(event_id AS VARCHAR)} AS key
             FROM c_ev e LEFT JOIN c_histlist h USING (event_id)) GROUP BY user_id"""),
@@ -439,36 +443,36 @@ def oracle_sql() -> dict[str, str]:
             SELECT bin, round(a + (bin - 1) * wd, 6) AS low, round(a + bin * wd, 6) AS high, count(*) AS n_rows FROM p GROUP BY ALL""",
         "mean_vectors": w("SELECT CAST(grp AS BIGINT) AS label, dim, round(avg(raw), 6) AS value FROM c_dims GROUP BY ALL"),
         "ranks_to_list": w("""SELECT row_id, string_agg(rank, ' ' ORDER BY pos) AS ranks FROM (SELECT row_id, pos,
-            row_number() OVER (PARTITION BY row_id ORDER BY coalesce(clicks, 0) DESC, pos) AS rank FROM c_test LEFT JOIN c_pop USING (article_id)) GROUP BY row_id"""),
+            row_number() OVER (PARTITION BY row_id ORDER BY coalesce(clicks, 0) DESC, pos) AS rank FROM c_test LEFT JOIN c_pop USING (article_id)) GROUP BY row_id""", ALL),
         "split_sizes": w("SELECT split, count(*) AS n_rows FROM c_split GROUP BY split"),
         "mean_by_slice": report,
         "rank_by_popularity": w("""SELECT row_id, article_id, coalesce(clicks, 0) AS clicks, row_number() OVER (PARTITION BY row_id
             ORDER BY coalesce(clicks, 0) DESC, pos) AS rank FROM c_cands LEFT JOIN c_pop USING (article_id)"""),
-        "ranks_from_scores": w("SELECT row_id, article_id, rank FROM c_semrank"),
-        "order_by_score": w("SELECT row_id, string_agg(article_id, ' ' ORDER BY rank) AS ordered FROM c_lexrank GROUP BY row_id"),
+        "ranks_from_scores": w("SELECT row_id, article_id, rank FROM c_semrank", ALL),
+        "order_by_score": w("SELECT row_id, string_agg(article_id, ' ' ORDER BY rank) AS ordered FROM c_lexrank GROUP BY row_id", ALL),
         "tie_groups": w("""SELECT row_id, article_id, rank() OVER (PARTITION BY row_id ORDER BY c DESC) AS tie_rank, count(*) OVER (PARTITION BY row_id, c) AS tie_size,
             round(count(*) OVER (PARTITION BY row_id) - rank() OVER (PARTITION BY row_id ORDER BY c DESC) + 1
             - (count(*) OVER (PARTITION BY row_id, c) - 1) / 2, 6) AS avg_rank
-            FROM (SELECT t.*, coalesce(clicks, 0) AS c FROM c_test t LEFT JOIN c_pop USING (article_id))"""),
+            FROM (SELECT t.*, coalesce(clicks, 0) AS c FROM c_test t LEFT JOIN c_pop USING (article_id))""", ALL),
         "sort_by_time": w(same_imp),
         "top_n": w("SELECT article_id, clicks FROM c_popall ORDER BY clicks DESC, article_id LIMIT 10"),
-        "top_k": w("SELECT row_id, article_id, rank FROM c_semrank WHERE rank <= 5"),
+        "top_k": w("SELECT row_id, article_id, rank FROM c_semrank WHERE rank <= 5", ALL),
         "head": w("SELECT impression_id, user_id FROM c_imp ORDER BY time, impression_id LIMIT 5"),
         "union_all": w("SELECT split, count(*) * CASE WHEN split = 'test' THEN 2 ELSE 1 END AS n_rows FROM c_split GROUP BY split"),
         "candidate_set": w("SELECT impression_id, string_agg(article_id, ' ' ORDER BY pos) AS candidates FROM c_imp JOIN c_cands USING (event_id) GROUP BY ALL"),
         "labeled_candidates": w("SELECT row_id, user_id, pos, article_id, CAST(label AS BIGINT) AS label FROM c_cands"),
-        "hits": w("SELECT row_id, CAST(sum(CASE WHEN rank <= 3 THEN label ELSE 0 END) AS BIGINT) AS n_hits, CAST(sum(label) AS BIGINT) AS n_clicked FROM c_semrank GROUP BY row_id"),
+        "hits": w("SELECT row_id, CAST(sum(CASE WHEN rank <= 3 THEN label ELSE 0 END) AS BIGINT) AS n_hits, CAST(sum(label) AS BIGINT) AS n_clicked FROM c_semrank GROUP BY row_id", ALL),
         "list_minus": w("""SELECT e.event_id, coalesce(string_agg(aid, ' ' ORDER BY pos), '') AS not_in_view FROM c_ev e LEFT JOIN (
             SELECT event_id, aid, min(pos) AS pos FROM c_hist0 h WHERE NOT EXISTS (SELECT 1 FROM c_cand0 c WHERE c.event_id = h.event_id AND c.aid = h.aid)
             GROUP BY ALL) USING (event_id) GROUP BY ALL"""),
         "column_presence": w(_presence()),
         "build_bm25_index": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post"),
         "history_query": w("SELECT user_id, term FROM c_query"),
-        "bm25_score": w("SELECT row_id, article_id, round(lexical, 6) AS score FROM c_test JOIN c_lex USING (user_id, article_id)"),
+        "bm25_score": w("SELECT row_id, article_id, round(lexical, 6) AS score FROM c_test JOIN c_lex USING (user_id, article_id)", ALL),
         "l2_normalize": w("SELECT article_id, dim, round(x, 6) AS value FROM c_unit"),
         "user_vector": w("SELECT u.user_id, d.dim, round(coalesce(x, 0), 6) AS value FROM c_users u CROSS JOIN (SELECT CAST(dim AS BIGINT) AS dim FROM range(64) r(dim)) d LEFT JOIN c_uvec v ON v.user_id = u.user_id AND v.dim = d.dim"),
         "semantic_score": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
-            FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)"""),
+            FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", ALL),
         "popularity_score": w(POP_LINES),
         "embed_articles": w("""SELECT article_id, d.dim, CAST(CASE d.dim WHEN 0 THEN length(t) WHEN 1 THEN length(t) - length(replace(t, ' ', ''))
             ELSE length(t) - length(replace(t, 'e', '')) END AS DOUBLE) AS value FROM (SELECT article_id, title || ' ' || abstract AS t FROM c_art), (SELECT CAST(dim AS BIGINT) AS dim FROM range(3) r(dim)) d"""),
@@ -476,7 +480,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT article_id, {_CODE} % 32 AS dim, sum(CASE WHEN ({_CODE} // 32) % 2 = 0 THEN tf ELSE -tf END) AS v FROM c_tf GROUP BY ALL) h
             ON h.article_id = a.article_id AND h.dim = d.dim"""),
         "exact_vector_index": w("SELECT article_id, round(sqrt(sum(x * x)), 6) AS norm, true AS has_block FROM c_unit GROUP BY article_id"),
-        "rank_candidates": w("SELECT row_id, article_id, rank FROM c_lexrank"),
+        "rank_candidates": w("SELECT row_id, article_id, rank FROM c_lexrank", ALL),
         "generate_predictions": w(_semantic_lines("user_id", "c_sd"), _SEM_DOTS_USER),
         "generate_predictions_inline": w(_semantic_lines("row_id", "c_sd"), _SEM_DOTS_ROW),
         "temporal_split": w("SELECT CAST(event_id AS VARCHAR) AS impression_id, split FROM c_split"),
@@ -495,7 +499,7 @@ def oracle_sql() -> dict[str, str]:
         "mrr": _metric("round(mrr, 6) AS mrr"),
         "ndcg_at": _metric("round(ndcg_5, 6) AS ndcg_5, round(ndcg_10, 6) AS ndcg_10"),
         "category_diversity": w("""SELECT row_id, round(count(DISTINCT coalesce(category, 'unknown')) / count(*), 6) AS category_diversity_5
-            FROM c_semrank LEFT JOIN c_art USING (article_id) WHERE rank <= 5 GROUP BY row_id"""),
+            FROM c_semrank LEFT JOIN c_art USING (article_id) WHERE rank <= 5 GROUP BY row_id""", ALL),
         "evaluate_impressions": _metrics_sql("SELECT model, row_id, hist_len, " + ", ".join(f"round({m}, 6) AS {m}" for m in METRICS) + " FROM c_metrics"),
         "slice_report": report,
         "compare_models": f"SELECT slice, metric, max(value) FILTER (model = 'lexical') AS lexical, max(value) FILTER (model = 'semantic') AS semantic FROM ({report}) GROUP BY ALL",
@@ -508,13 +512,13 @@ def oracle_sql() -> dict[str, str]:
         "coverage": w("""SELECT model, round(count(DISTINCT article_id) / (SELECT count(*) FROM documents), 6) AS coverage FROM (
             SELECT 'lexical' AS model, article_id FROM c_ltop UNION ALL SELECT 'semantic', article_id FROM c_vtop) SEMI JOIN c_art USING (article_id) GROUP BY model"""),
         "bootstrap_ci": w("""SELECT model, metric, round(quantile_cont(value, 0.025), 6) AS low, round(quantile_cont(value, 0.975), 6) AS high
-            FROM c_replong GROUP BY ALL""", metric_parts("c_popmodel") | BOOT_PARTS),
+            FROM c_replong GROUP BY ALL""", metric_parts("c_popmodel") | BOOT_PARTS | ALL),
         "harness_report": w("""SELECT model, slice, metric, round(value, 6) AS value, round(low, 6) AS low, round(high, 6) AS high FROM (
             SELECT * FROM c_ciimp UNION ALL SELECT * FROM c_cilist UNION ALL SELECT model, slice, 'coverage', value, NULL, NULL FROM c_cov)""",
             metric_parts("c_models") | _LISTS | _intervals("c_metrics", "row_id", METRICS, "imp") | _intervals("c_lists", "user_id", ("ild", "novelty"), "list")),
         "head_tail": w("SELECT article_id, clicks, band FROM c_band", _BANDS),
         "hits_by_band": w("""SELECT 'semantic' AS model, coalesce(band, 'tail') AS band, CAST(sum(CASE WHEN rank <= 3 THEN 1 ELSE 0 END) AS BIGINT) AS n_hits, count(*) AS n_clicked
-            FROM c_semrank LEFT JOIN c_band USING (article_id) WHERE label = 1 GROUP BY ALL""", _BANDS),
+            FROM c_semrank LEFT JOIN c_band USING (article_id) WHERE label = 1 GROUP BY ALL""", _BANDS | ALL),
         "recency_features": w("SELECT user_id, count(*) AS n_clicks, round(min(age), 6) AS last_click_age, round(sum(exp(-age / 604800.0::DOUBLE)), 6) AS decay_sum FROM c_age GROUP BY user_id"),
         "recency_vectors": w("""SELECT user_id, dim, round(sum(wt * raw) / sum(wt), 6) AS value FROM (SELECT user_id, article_id, exp(-age / 604800.0::DOUBLE) AS wt FROM c_age)
             JOIN c_dims USING (article_id) GROUP BY ALL"""),
@@ -526,7 +530,7 @@ def oracle_sql() -> dict[str, str]:
             FROM c_cand0 c JOIN c_split USING (event_id) LEFT JOIN documents d ON d.doc_id = c.aid GROUP BY split"""),
         "serving_time_view": w("SELECT device_type, count(*) AS n_rows, CAST(sum(n_clicked) AS BIGINT) AS n_clicks, CAST(11 AS BIGINT) AS n_columns FROM c_log GROUP BY device_type"),
         "tfidf_score": w("""SELECT user_id, article_id, round(CASE WHEN norm > 0 THEN round(coalesce(s, 0) / norm, 9) ELSE 0 END, 7) AS score
-            FROM c_pairs LEFT JOIN c_th USING (user_id, article_id) LEFT JOIN c_tqn USING (user_id)""", _TFIDF),
+            FROM c_pairs LEFT JOIN c_th USING (user_id, article_id) LEFT JOIN c_tqn USING (user_id)""", _TFIDF | ALL),
         "recall_by_slice": _slices("c_recall", ("recall_1", "recall_3", "recall_5"), LEX_RECALL | SEM_RECALL | {
             "c_recall": """SELECT 'lexical' AS model, hist_len, recall_1, recall_3, recall_5 FROM c_reclexical JOIN c_users USING (user_id)
                 UNION ALL SELECT 'semantic', hist_len, recall_1, recall_3, recall_5 FROM c_recsemantic JOIN c_users USING (user_id)"""}),
@@ -537,8 +541,8 @@ def oracle_sql() -> dict[str, str]:
             "c_wv": "SELECT term, dim, sum(tf * v) AS v FROM c_tf JOIN c_wsketch USING (article_id) GROUP BY ALL"}),
         "build_bm25_index_repeats": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
         "semantic_score_repeats": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
-            FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS),
-        "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES),
+            FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS | ALL),
+        "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES | ALL),
         "retrieval_recall": w("SELECT model, round(avg(recall_50), 6) AS recall_50, round(avg(recall_100), 6) AS recall_100, round(avg(recall_200), 6) AS recall_200 FROM c_deep GROUP BY model", _DEEP),
         "retrieval_recall_by_slice": _slices("c_deep", ("recall_50", "recall_100", "recall_200"), _DEEP,
             " UNION ALL SELECT model, band, metric, round(avg(value), 6) FROM c_bandlong GROUP BY ALL"),

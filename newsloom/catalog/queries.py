@@ -85,8 +85,12 @@ def test_candidates(spark, sf) -> DataFrame:
     return unify.labeled_candidates(test_impressions(spark, sf))
 
 
-def test_pairs(spark, sf) -> DataFrame:
-    return evaluate.distinct_pairs(test_candidates(spark, sf))
+def all_candidates(spark, sf) -> DataFrame:
+    return unify.labeled_candidates(t.impressions(spark, sf))
+
+
+def all_pairs(spark, sf) -> DataFrame:
+    return evaluate.distinct_pairs(all_candidates(spark, sf))
 
 
 def unlabeled_test(spark, sf) -> DataFrame:
@@ -107,7 +111,7 @@ def late_histories(spark, sf) -> DataFrame:
 
 
 def semantic_ranked(spark, sf) -> DataFrame:
-    cands = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "drop")
+    cands = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "drop")
     return stage(ranking.rank_candidates(cands), "ranked")
 
 
@@ -472,7 +476,7 @@ def known_history(spark, sf):
 
 @query
 def attach_vectors(spark, sf):
-    cands = test_candidates(spark, sf)
+    cands = all_candidates(spark, sf)
     rows = [semantic.attach_vectors(cands, t.vectors(spark, sf), policy).select(
         F.lit(policy).alias("policy"), "row_id", "article_id", F.col("embedding").isNotNull().alias("known"))
         for policy in ("null", "drop")]
@@ -483,7 +487,7 @@ def attach_vectors(spark, sf):
 def match_terms(spark, sf):
     idx = index(spark, sf)
     asked = lexical.history_query(users(spark, sf), idx.postings)
-    return lexical.match_terms(stage(test_pairs(spark, sf), "pairs"), asked, idx.postings).select(
+    return lexical.match_terms(stage(all_pairs(spark, sf), "pairs"), asked, idx.postings).select(
         "user_id", "article_id", "term", "tf", r6("weight").alias("weight"))
 
 
@@ -626,7 +630,7 @@ def mean_vectors(spark, sf):
 @query
 def ranks_to_list(spark, sf):
     pop = train_popularity(spark, sf)
-    ranked = ranking.rank_by_popularity(popularity.attach_popularity(test_candidates(spark, sf), pop))
+    ranked = ranking.rank_by_popularity(popularity.attach_popularity(all_candidates(spark, sf), pop))
     return ranking.ranks_to_list(ranked).select("row_id", joined("ranks"))
 
 
@@ -655,14 +659,14 @@ def ranks_from_scores(spark, sf):
 
 @query
 def order_by_score(spark, sf):
-    ranked = ranking.rank_candidates(evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf)))
+    ranked = ranking.rank_candidates(evaluate.score_lexical(all_candidates(spark, sf), users(spark, sf), index(spark, sf)))
     ordered = ranked.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("rank", "article_id"))).alias("o"))
     return ordered.select("row_id", F.array_join(F.col("o.article_id"), " ").alias("ordered"))
 
 
 @query
 def tie_groups(spark, sf):
-    cands = popularity.attach_popularity(test_candidates(spark, sf), train_popularity(spark, sf))
+    cands = popularity.attach_popularity(all_candidates(spark, sf), train_popularity(spark, sf))
     return ranking.tie_groups(cands, "clicks").select(
         "row_id", "article_id", F.col("tie_rank").cast("bigint").alias("tie_rank"), "tie_size", r6("avg_rank").alias("avg_rank"))
 
@@ -739,7 +743,7 @@ def history_query(spark, sf):
 
 @query
 def bm25_score(spark, sf):
-    cands = evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf))
+    cands = evaluate.score_lexical(all_candidates(spark, sf), users(spark, sf), index(spark, sf))
     return cands.select("row_id", "article_id", r6("score").alias("score"))
 
 
@@ -759,7 +763,7 @@ def user_vector(spark, sf):
 
 @query
 def semantic_score(spark, sf):
-    cands = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "last")
+    cands = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "last")
     return cands.select("row_id", "article_id", r6("score").alias("score"))
 
 
@@ -793,7 +797,7 @@ def exact_vector_index(spark, sf):
 
 @query
 def rank_candidates(spark, sf):
-    cands = evaluate.score_lexical(test_candidates(spark, sf), users(spark, sf), index(spark, sf))
+    cands = evaluate.score_lexical(all_candidates(spark, sf), users(spark, sf), index(spark, sf))
     return ranking.rank_candidates(cands).select("row_id", "article_id", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -874,8 +878,8 @@ def mean_recall(spark, sf):
 
 
 def popularity_scored(spark, sf) -> DataFrame:
-    """All train-ranked test candidates by click count, which ties often."""
-    cands = unify.labeled_candidates(splits.only_labeled(test_impressions(spark, sf), True))
+    """All candidates by click count of the training part, which ties often."""
+    cands = unify.labeled_candidates(splits.only_labeled(t.impressions(spark, sf), True))
     return popularity.attach_popularity(cands, train_popularity(spark, sf)).withColumnRenamed("clicks", "score")
 
 
@@ -1075,7 +1079,7 @@ def serving_time_view(spark, sf):
 
 @query
 def tfidf_score(spark, sf):
-    cands = test_candidates(spark, sf)
+    cands = all_candidates(spark, sf)
     readers_ = evaluate.wanted_users(users(spark, sf), cands)
     pairs = stage(evaluate.distinct_pairs(cands), "pairs")
     scores = lexical.tfidf_score(pairs, readers_, index(spark, sf))
@@ -1123,13 +1127,13 @@ def build_bm25_index_repeats(spark, sf):
 
 @query
 def semantic_score_repeats(spark, sf):
-    scores = evaluate.score_semantic(test_candidates(spark, sf), users(spark, sf), repeated_vectors(spark, sf), "last")
+    scores = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), repeated_vectors(spark, sf), "last")
     return scores.select("row_id", "article_id", r6("score").alias("score"))
 
 
 @query
 def attach_category_repeats(spark, sf):
-    return metrics.attach_category(test_candidates(spark, sf), repeated_articles(spark, sf)).select("row_id", "pos", "article_id", "category")
+    return metrics.attach_category(all_candidates(spark, sf), repeated_articles(spark, sf)).select("row_id", "pos", "article_id", "category")
 
 
 @query
