@@ -340,6 +340,43 @@ _BANDS = {
 _LATE_ARTICLES = {"c_art": PARTS["c_art"].replace("split_part(text, chr(10), 1) AS title", "CASE WHEN doc_id % 3 = 0 THEN 'late ' ELSE '' END || split_part(text, chr(10), 1) AS title")
                   .replace("lang AS category", "CASE WHEN doc_id % 3 = 0 THEN 'late ' ELSE '' END || lang AS category")}
 _LATE_VECTORS = {"c_dims": PARTS["c_dims"].replace("unnest(embedding)", "unnest(CASE WHEN vec_id % 3 = 0 THEN list_reverse(embedding) ELSE embedding END)")}
+# Sides of fixed pseudo-random planes, and the buckets that follow from them.
+
+
+def _planes(tables: int, bits: int) -> str:
+    p = 2147483647
+    return f"""SELECT t // {bits * 64} AS tab, (t // 64) % {bits} AS bit, t % 64 AS dim, ((x3 * x3 + t) % {p}) / {p}.0::DOUBLE - 0.5 AS v FROM (
+        SELECT t, (x2 * 48271 + t) % {p} AS x3 FROM (SELECT t, (x1 * x1 + 12345) % {p} AS x2 FROM (
+        SELECT t, (t * 40503 + 7919) % {p} AS x1 FROM (SELECT CAST(range AS BIGINT) AS t FROM range({tables * bits * 64})))))"""
+
+
+_BALLS = {
+    "c_planes": _planes(1, 5),
+    "c_cell": """SELECT article_id, CAST(sum(CASE WHEN s > 0 THEN 1 << bit ELSE 0 END) AS BIGINT) AS cell FROM (
+        SELECT article_id, bit, sum(x * v) AS s FROM c_unit JOIN c_planes USING (dim) GROUP BY ALL) GROUP BY article_id""",
+    "c_cmean": "SELECT cell, dim, avg(x) AS m, count(*) AS n FROM c_unit JOIN c_cell USING (article_id) GROUP BY ALL",
+    "c_centre": """SELECT cell, dim, n, CASE WHEN l > 0 THEN m / l ELSE 0 END AS value FROM c_cmean
+        JOIN (SELECT cell, sqrt(sum(m * m)) AS l FROM c_cmean GROUP BY cell) USING (cell)""",
+    "c_angle": """SELECT article_id, cell, acos(greatest(least(sum(x * value), 1.0::DOUBLE), -1.0::DOUBLE)) AS angle, sqrt(sum(x * x)) AS norm
+        FROM c_unit JOIN c_cell USING (article_id) JOIN c_centre USING (cell, dim) GROUP BY ALL""",
+}
+_TABLES, _BITS, _PROBES = 48, 10, 8
+_ANN = {
+    "c_planes": _planes(_TABLES, _BITS),
+    "c_acode": """SELECT article_id, tab, sum(CASE WHEN s > 0 THEN 1 << bit ELSE 0 END)::BIGINT AS code FROM (
+        SELECT article_id, tab, bit, sum(x * v) AS s FROM c_unit JOIN c_planes USING (dim) GROUP BY ALL) GROUP BY ALL""",
+    "c_uside": """SELECT *, row_number() OVER (PARTITION BY user_id, tab ORDER BY abs(s), bit) - 1 AS place FROM (
+        SELECT user_id, tab, bit, sum(x * v) AS s FROM c_uvec JOIN c_readers USING (user_id) JOIN c_planes USING (dim) GROUP BY ALL)""",
+    "c_flips": f"""SELECT m FROM (SELECT CAST(range AS BIGINT) AS m FROM range({1 << _BITS}))
+        ORDER BY list_sum([(i + 1) * (i + 1) * ((m >> i) & 1) FOR i IN range({_BITS})]), m LIMIT {_PROBES}""",
+    "c_probe": """SELECT DISTINCT user_id, tab, code FROM (SELECT user_id, tab, m, sum(CASE WHEN (s > 0) <> ((m >> place) & 1 = 1) THEN 1 << bit ELSE 0 END)::BIGINT AS code
+        FROM c_uside, c_flips GROUP BY ALL)""",
+    "c_near": "SELECT DISTINCT user_id, article_id FROM c_probe JOIN c_acode USING (tab, code)",
+    "c_ann": """SELECT user_id, article_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, article_id) AS rank
+        FROM (SELECT user_id, article_id, round(sum(u.x * v.x), 9) AS score FROM c_near JOIN c_uvec u USING (user_id) JOIN c_unit v USING (article_id, dim) GROUP BY ALL)
+        QUALIFY rank <= 10""",
+    "c_enough": "SELECT user_id FROM c_ann WHERE rank = 10",
+}
 _CODE = "CAST('0x' || substr(md5(term), 1, 8) AS BIGINT)"
 
 
@@ -479,7 +516,9 @@ def oracle_sql() -> dict[str, str]:
         "hash_encoder_vectors": w(f"""SELECT a.article_id, d.dim, CAST(coalesce(v, 0) AS DOUBLE) AS value FROM c_art a CROSS JOIN (SELECT CAST(dim AS BIGINT) AS dim FROM range(32) r(dim)) d
             LEFT JOIN (SELECT article_id, {_CODE} % 32 AS dim, sum(CASE WHEN ({_CODE} // 32) % 2 = 0 THEN tf ELSE -tf END) AS v FROM c_tf GROUP BY ALL) h
             ON h.article_id = a.article_id AND h.dim = d.dim"""),
-        "exact_vector_index": w("SELECT article_id, round(sqrt(sum(x * x)), 6) AS norm, true AS has_block FROM c_unit GROUP BY article_id"),
+        "exact_vector_index": w("SELECT article_id, cell, round(angle, 6) AS angle, round(norm, 6) AS norm FROM c_angle", _BALLS),
+        "vector_cells": w("""SELECT cell, CAST(dim AS BIGINT) AS dim, round(value, 6) AS value, round(radius, 6) AS radius, n
+            FROM c_centre JOIN (SELECT cell, max(angle) AS radius FROM c_angle GROUP BY cell) USING (cell)""", _BALLS),
         "rank_candidates": w("SELECT row_id, article_id, rank FROM c_lexrank", ALL),
         "generate_predictions": w(_semantic_lines("user_id", "c_sd"), _SEM_DOTS_USER),
         "generate_predictions_inline": w(_semantic_lines("row_id", "c_sd"), _SEM_DOTS_ROW),
@@ -505,6 +544,7 @@ def oracle_sql() -> dict[str, str]:
         "compare_models": f"SELECT slice, metric, max(value) FILTER (model = 'lexical') AS lexical, max(value) FILTER (model = 'semantic') AS semantic FROM ({report}) GROUP BY ALL",
         "bm25_retrieve": w(f"{top} c_ltop"),
         "vector_retrieve": w(f"{top} c_vtop"),
+        "ann_retrieve": w(f"{top} c_ann WHERE user_id IN (SELECT user_id FROM c_enough) UNION ALL {top} c_vtop WHERE user_id NOT IN (SELECT user_id FROM c_enough)", _ANN),
         "intra_list_diversity": w("""SELECT user_id, round(CASE WHEN n > 1 THEN 1 - (sum(s * s) - n) / (n * (n - 1)) ELSE 0 END, 6) AS ild FROM (
             SELECT user_id, dim, count(*) AS n, sum(x) AS s FROM c_vtop JOIN c_unit USING (article_id) GROUP BY ALL) GROUP BY user_id, n"""),
         "novelty": w("""SELECT user_id, round(avg(-log2((coalesce(clicks, 0) + 1) / ((SELECT sum(clicks) FROM c_pop) + (SELECT count(*) FROM documents)))), 6) AS novelty

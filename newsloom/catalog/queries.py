@@ -81,6 +81,14 @@ def index(spark, sf) -> lexical.LexicalIndex:
     return stored(spark, sf, "index", lambda: lexical.build_bm25_index(t.articles(spark, sf)))
 
 
+def forward(spark, sf) -> DataFrame:
+    return stored(spark, sf, "forward", lambda: retrieval.forward_index(index(spark, sf).postings))
+
+
+def balls(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return stored(spark, sf, "balls", lambda: retrieval.exact_vector_index(t.vectors(spark, sf)))
+
+
 def test_candidates(spark, sf) -> DataFrame:
     return unify.labeled_candidates(test_impressions(spark, sf))
 
@@ -791,8 +799,15 @@ def hash_encoder_vectors(spark, sf):
 
 @query
 def exact_vector_index(spark, sf):
-    return retrieval.vector_blocks(t.vectors(spark, sf), 128).select(
-        "article_id", r6(l2_norm(F.col("embedding"))).alias("norm"), (F.col("block") >= 0).alias("has_block"))
+    return balls(spark, sf)[0].select(
+        "article_id", F.col("cell").cast("bigint").alias("cell"), r6("angle").alias("angle"), r6(l2_norm(F.col("embedding"))).alias("norm"))
+
+
+@query
+def vector_cells(spark, sf):
+    rows = balls(spark, sf)[1].select("cell", "radius", "n", F.posexplode("centre").alias("dim", "value"))
+    return rows.select(F.col("cell").cast("bigint").alias("cell"), F.col("dim").cast("bigint").alias("dim"),
+                       r6("value").alias("value"), r6("radius").alias("radius"), "n")
 
 
 @query
@@ -922,17 +937,18 @@ def compare_models(spark, sf):
 
 # Requirement operators -------------------------------------------------------------------------
 
+def test_readers(spark, sf) -> DataFrame:
+    return evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
+
+
 def lexical_top(spark, sf, k: int = TOP) -> DataFrame:
-    idx = index(spark, sf)
-    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
-    query_ = stage(lexical.history_query(readers_, idx.postings), "query")
-    return stage(retrieval.bm25_retrieve(query_, idx, k), "top")
+    query_ = stage(retrieval.history_terms(test_readers(spark, sf), forward(spark, sf)), "query")
+    return stage(retrieval.bm25_retrieve(query_, forward(spark, sf), k), "top")
 
 
 def semantic_top(spark, sf, k: int = TOP) -> DataFrame:
-    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
-    vecs = semantic.user_vectors(readers_, t.vectors(spark, sf))
-    return stage(retrieval.vector_retrieve(vecs, t.vectors(spark, sf), k), "top")
+    vecs = stage(semantic.user_vectors(test_readers(spark, sf), t.vectors(spark, sf)), "user-vectors")
+    return stage(retrieval.vector_retrieve(vecs, balls(spark, sf), k), "top")
 
 
 def test_clicks(spark, sf) -> DataFrame:
@@ -985,9 +1001,8 @@ def vector_retrieve(spark, sf):
 
 @query
 def ann_retrieve(spark, sf):
-    readers_ = evaluate.wanted_users(users(spark, sf), test_impressions(spark, sf))
-    vecs = t.vectors(spark, sf)
-    return _top(retrieval.ann_retrieve(semantic.user_vectors(readers_, vecs), vecs, TOP, cells=8, probes=6))
+    vecs = stage(semantic.user_vectors(test_readers(spark, sf), t.vectors(spark, sf)), "user-vectors")
+    return _top(retrieval.ann_retrieve(vecs, t.vectors(spark, sf), TOP, index=balls(spark, sf)))
 
 
 @query

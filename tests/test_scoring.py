@@ -28,8 +28,9 @@ def test_bm25_by_hand(spark, arts):
     assert got["u", "2"] == pytest.approx(weights["fox", "2"], abs=1e-8)
     assert got["u", "1"] == pytest.approx(sum(w for (_, a), w in weights.items() if a == "1"), abs=1e-8)
     assert got["u", "4"] == got["w", "1"] == got["u", "9"] == 0.0
-    one = lexical.history_query(users.where("user_id = 'u'"), index.postings)
-    top = retrieval.bm25_retrieve(one, index, k=5, user_block=1, article_block=1).collect()
+    forward = retrieval.forward_index(index.postings)
+    one = retrieval.history_terms(users.where("user_id = 'u'"), forward)
+    top = retrieval.bm25_retrieve(one, forward, k=5, user_block=1).collect()
     assert [(r.article_id, r.rank) for r in sorted(top, key=lambda r: r.rank)] == [("1", 1), ("2", 2)]
 
 
@@ -100,46 +101,102 @@ def test_user_vector_and_scores(spark):
     assert semantic.semantic_score(pairs, uv, vecs, "drop").count() == 3
 
 
-def test_vector_retrieval_in_blocks_equals_brute_force(spark):
-    data, vecs = vectors(spark)
-    users = vecs.select(F.concat(F.lit("u"), "article_id").alias("user_id"), F.col("embedding").cast("array<double>").alias("user_vector"))
+def brute_top(data, k):
     unit = data.astype("float32").astype("float64")
     unit = unit / np.where(np.linalg.norm(unit, axis=1) > 0, np.linalg.norm(unit, axis=1), 1)[:, None]
-    best = np.argsort(-np.round(data.astype("float32").astype("float64") @ unit.T, 9), axis=1, kind="stable")[:, :7]
-    want = {(f"ua{i:03d}", f"a{j:03d}", r + 1) for i, row in enumerate(best) for r, j in enumerate(row)}
-    got = retrieval.vector_retrieve(users, vecs, 7, user_block=16, article_block=11)
-    assert {(r.user_id, r.article_id, r.rank) for r in got.collect()} == want
-    near = retrieval.ann_retrieve(users, vecs, 7, cells=4, probes=4, user_block=16, article_block=11)
-    assert {(r.user_id, r.article_id, r.rank) for r in near.collect()} == want
-    fewer = {(r.user_id, r.article_id) for r in retrieval.ann_retrieve(users, vecs, 7, cells=4, probes=2).collect()}
-    assert len(fewer & {w[:2] for w in want}) > 0.5 * len(want)
+    best = np.argsort(-np.round(data.astype("float32").astype("float64") @ unit.T, 9), axis=1, kind="stable")[:, :k]
+    return {(f"ua{i:03d}", f"a{j:03d}", r + 1) for i, row in enumerate(best) for r, j in enumerate(row)}
 
 
-def test_ann_retrieve_finds_nine_tenths_and_full_lists(spark):
-    from newsloom.catalog.queries import QUERIES, TOP
+def test_vector_retrieval_by_balls_equals_brute_force(spark):
+    data, vecs = vectors(spark)
+    users = vecs.select(F.concat(F.lit("u"), "article_id").alias("user_id"), F.col("embedding").cast("array<double>").alias("user_vector"))
+    for bits in (0, 3):
+        index = retrieval.exact_vector_index(vecs, bits)
+        got = retrieval.vector_retrieve(users, index, 7, user_block=16, article_block=11)
+        assert {(r.user_id, r.article_id, r.rank) for r in got.collect()} == brute_top(data, 7)
+    near = retrieval.ann_retrieve(users, vecs, 7, tables=4, bits=3, probes=8)
+    assert {(r.user_id, r.article_id, r.rank) for r in near.collect()} == brute_top(data, 7)
+    sliced = retrieval.ann_retrieve(users, vecs, 7, tables=4, bits=3, probes=8, slices=3)
+    assert {(r.user_id, r.article_id, r.rank) for r in sliced.collect()} == brute_top(data, 7)
+    none = vecs.limit(0)
+    assert retrieval.vector_retrieve(users, retrieval.exact_vector_index(none), 3).collect() == []
+
+
+def test_balls_shut_out_far_clusters(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16)) * 10
+    data = np.concatenate([c + rng.normal(size=(40, 16)) * 0.3 for c in centres])
+    vecs = spark.createDataFrame([(f"a{i:03d}", [float(x) for x in row]) for i, row in enumerate(data)], "article_id string, embedding array<float>")
+    users = vecs.where("article_id LIKE '%7'").select(F.concat(F.lit("u"), "article_id").alias("user_id"), F.col("embedding").cast("array<double>").alias("user_vector"))
+    index = retrieval.exact_vector_index(vecs)
+    top, shipped = retrieval.vector_rounds(users, index, 5)
+    want = {(u, a, r) for u, a, r in brute_top(data, 5) if u.endswith("7")}
+    assert {(r.user_id, r.article_id, r.rank) for r in top.collect()} == want
+    assert shipped.count() < 0.4 * users.count() * index[1].count()
+
 
-    sf = "/root/testdata/sf0.01"
-    want = {(r.user_id, r.article_id) for r in QUERIES["vector_retrieve"](spark, sf).collect()}
-    got = [(r.user_id, r.article_id) for r in QUERIES["ann_retrieve"](spark, sf).collect()]
-    assert len(want & set(got)) >= 0.9 * len(want) and len(got) == len(want) >= TOP
+def test_ann_retrieve_finds_nine_tenths_and_full_lists(spark):
+    from newsloom.catalog import queries as q
+    from newsloom.operators.semantic import user_vectors
+    from newsloom.session import stage
+
+    sf = "/root/testdata/sf0.1"
+    vecs = q.t.vectors(spark, sf)
+    users = stage(user_vectors(q.users(spark, sf), vecs), "user-vectors")
+    index = retrieval.exact_vector_index(vecs)
+    want = {(r.user_id, r.article_id) for r in retrieval.vector_retrieve(users, index, 10).collect()}
+    got = [(r.user_id, r.article_id) for r in retrieval.ann_retrieve(users, vecs, 10, index=index).collect()]
+    assert len(want & set(got)) >= 0.9 * len(want) and len(got) == len(want)
     data, vecs = vectors(spark)
     users = vecs.select("article_id", F.col("embedding").cast("array<double>").alias("user_vector")).withColumnRenamed("article_id", "user_id")
     for k in (len(data) // 2, len(data) + 5):
-        lists = retrieval.ann_retrieve(users, vecs, k, cells=4, probes=1).groupBy("user_id").count().collect()
+        lists = retrieval.ann_retrieve(users, vecs, k, tables=4, bits=4, probes=1).groupBy("user_id").count().collect()
         assert len(lists) == len(data) and {r["count"] for r in lists} == {min(k, len(data))}
 
 
-def test_term_kernel_dense_and_sparse_agree(spark, small):
-    import pyarrow as pa
+def test_flip_patterns_and_planes():
+    assert retrieval.flip_patterns(6, 4) == [0, 1, 2, 3, 4, 5] and len(set(retrieval.flip_patterns(16, 4))) == 16
+    planes = retrieval.sign_planes(8, 8, 64)
+    assert abs(planes.mean()) < 0.01 and abs(planes).max() <= 0.5 and abs(np.corrcoef(planes.reshape(64, 64))[np.triu_indices(64, 1)]).max() < 0.6
+
+
+def lexical_fixture(spark, n=120):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"t{int(x)}" for x in rng.zipf(1.3, int(rng.integers(1, 80))) % 400) for _ in range(n)] + ["", "t1 t1"]
+    arts = spark.createDataFrame([(f"a{i:03d}", x, "") for i, x in enumerate(texts)], "article_id string, title string, abstract string")
+    users = spark.createDataFrame([(f"u{i}", [f"a{int(j):03d}" for j in rng.integers(0, n + 3, int(rng.integers(0, 6)))]) for i in range(30)], "user_id string, history array<string>")
+    return lexical.build_bm25_index(arts), users
 
-    rng = np.random.default_rng(0)
-    q = pa.table({"user_id": [f"u{i % 20}" for i in range(400)], "term": [f"t{i // 20}" for i in range(400)]})
-    docs = sorted({(f"t{rng.integers(25)}", f"d{rng.integers(30):02d}") for _ in range(400)})
-    p = pa.table({"term": [t for t, _ in docs], "article_id": [d for _, d in docs], "weight": rng.random(len(docs))})
-    a, b = retrieval._term_kernel(6, dense=0)(q, p).to_pandas(), retrieval._term_kernel(6, dense=10**9)(q, p).to_pandas()
-    assert a.equals(b) and len(a) == 120
-    want = q.to_pandas().merge(p.to_pandas(), on="term").groupby(["user_id", "article_id"])["weight"].sum().round(9)
-    assert all(want[r.user_id, r.article_id] == pytest.approx(r.score) for r in a.itertuples())
+
+def test_bm25_retrieval_in_two_rounds_equals_all_pairs(spark):
+    index, users = lexical_fixture(spark)
+    query = lexical.history_query(users, index.postings)
+    scores = query.join(index.postings.select("term", "article_id", "weight"), "term").groupBy("user_id", "article_id").agg(F.round(F.sum("weight"), 9).alias("score"))
+    want = {}
+    for r in scores.collect():
+        want.setdefault(r.user_id, []).append((-r.score, r.article_id))
+    want = {(u, a, n): -s for u, rows in want.items() for n, (s, a) in enumerate(sorted(rows)[:4], 1)}
+    for rows, bins, most in ((1 << 18, 4096, 1 << 14), (300, 64, 1 << 14), (100, 2, 1 << 14), (10, 64, 3)):
+        forward = retrieval.forward_index(index.postings, rows, bins, most)
+        asked = retrieval.history_terms(users, forward)
+        top, shipped = retrieval.bm25_rounds(asked, forward, 4, user_block=7)
+        assert {(r.user_id, r.article_id, r.rank): r.score for r in top.collect()} == pytest.approx(want)
+        assert shipped.count() == shipped.distinct().count() <= asked.count() * forward.select("block").distinct().count()
+    # Totals fall from block to block, and the numbers of terms are the whole numbers from 0.
+    tops = [r.top for r in retrieval.forward_index(index.postings, 300, 64).groupBy("block").agg(F.max("top").alias("top")).orderBy("block").collect()]
+    assert tops == sorted(tops, reverse=True) and len(tops) > 3
+    numbers = [r.number for r in retrieval.term_numbers(index.postings, 8).collect()]
+    assert sorted(numbers) == list(range(len(numbers)))
+
+
+def test_history_terms_are_those_of_the_query(spark):
+    index, users = lexical_fixture(spark, 40)
+    forward = retrieval.forward_index(index.postings)
+    names = {r.number: r.term for r in retrieval.term_numbers(index.postings).collect()}
+    for recent in (None, 2):
+        got = {(r.user_id, names[n]) for r in retrieval.history_terms(users, forward, recent).collect() for n in r.terms}
+        assert got == {(r.user_id, r.term) for r in lexical.history_query(users, index.postings, recent).collect()}
 
 
 def test_predictions(spark):
