@@ -144,13 +144,19 @@ _NAME = re.compile(r"\bc_[a-z0-9]+\b")
 def with_parts(body: str, extra: dict[str, str] | None = None) -> str:
     """`body` behind the building blocks it names, directly or through other blocks."""
     parts = PARTS | (extra or {})
-    needed: set[str] = set()
-    todo = set(_NAME.findall(body)) & set(parts)
-    while todo:
-        name = todo.pop()
-        needed.add(name)
-        todo |= (set(_NAME.findall(parts[name])) & set(parts)) - needed
-    ctes = ", ".join(f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}({parts[n]})" for n in parts if n in needed)
+    order: list[str] = []
+
+    def visit(text: str) -> None:
+        for name in dict.fromkeys(_NAME.findall(text)):
+            if name in parts and name not in order:
+                visit(parts[name])
+                if name not in order:
+                    order.append(name)
+
+    visit(body)
+    ctes = ", ".join(f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}({parts[n]})" for n in order)
+    if body.lstrip().startswith("WITH "):
+        return f"WITH {ctes}, {body.lstrip()[5:]}" if ctes else body
     return f"WITH {ctes} {body}" if ctes else body
 
 
@@ -380,6 +386,44 @@ _ANN = {
 _CODE = "CAST('0x' || substr(md5(term), 1, 8) AS BIGINT)"
 
 
+def _hashed(dims: int) -> str:
+    return f"""SELECT a.article_id, d.dim, coalesce(v, 0) AS raw FROM c_art a CROSS JOIN (SELECT CAST(dim AS BIGINT) AS dim FROM range({dims}) r(dim)) d
+        LEFT JOIN (SELECT article_id, {_CODE} % {dims} AS dim, sum(CASE WHEN ({_CODE} // {dims}) % 2 = 0 THEN tf ELSE -tf END) AS v FROM c_tf GROUP BY ALL) h
+        ON h.article_id = a.article_id AND h.dim = d.dim"""
+
+
+def _store(extra: dict[str, str]) -> str:
+    """(name, n_rows, digest) of the store tables; `extra` replaces building blocks of the default dataset."""
+    def million(e: str) -> str:
+        return f"CAST(round({e} * 1000000) AS BIGINT)"
+
+    stored = {
+        "articles": ("article_id, title, abstract, body, category", "c_art"), "users": ("user_id, history", "c_users"),
+        "impressions": (f"impression_id, user_id, strftime(time, {STAMP}), clicked, unclicked, split", "c_imp JOIN c_split USING (event_id)"),
+        "vectors": ("article_id, v", "(SELECT article_id, string_agg(CAST(round(raw * 1000) AS BIGINT), ' ' ORDER BY dim) AS v FROM c_dims GROUP BY article_id)"),
+        "postings": (f"term, article_id, tf, dl, df, {million('idf')}, {million('weight')}", "c_post"), "docs": ("article_id, dl", "c_dl"),
+        "stats": (f"n, {million('avgdl')}, 1500000, 750000", "c_stats")}
+    return with_parts(" UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {cols})), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM {source}"
+        for name, (cols, source) in stored.items()), extra)
+
+
+# The raw strings drop fractions of seconds and have unreadable times, which belong to no split.
+_TSV_STORE = {
+    "c_max": "SELECT max(date_trunc('second', ts)) AS mx FROM c_ev WHERE k <> 50",
+    "c_split": """SELECT event_id, CASE WHEN date_trunc('second', ts) > mx - INTERVAL 1 DAY THEN 'test' WHEN date_trunc('second', ts) > mx - INTERVAL 2 DAY
+        THEN 'val' ELSE 'train' END AS split FROM c_ev, c_max WHERE k <> 50""",
+    "c_art": "SELECT article_id, title, coalesce(abstract, '') AS abstract, '' AS body, category FROM c_news",
+    "c_users": """SELECT CAST(user_id AS VARCHAR) AS user_id, arg_min(coalesce(history, ''), key) AS history FROM (
+        SELECT e.user_id, history, {'late': k = 50, 'time': date_trunc('second', e.ts), 'id': CAST(event_id AS VARCHAR)} AS key
+        FROM c_ev e LEFT JOIN c_histlist h USING (event_id)) GROUP BY user_id"""}
+_LOG_STORE = {
+    "c_art": "SELECT CAST(doc_id AS VARCHAR) AS article_id, text AS title, source AS abstract, '' AS body, CAST(length(source) AS VARCHAR) AS category FROM documents",
+    "c_users": """SELECT CAST(user_id AS VARCHAR) AS user_id, array_to_string(arg_max(items, late), ' ') AS history FROM (
+        SELECT e.user_id, split <> 'train' AS late, max([CAST(x AS VARCHAR) FOR x IN coalesce(items, [])]) AS items FROM c_ev e JOIN c_split USING (event_id) LEFT JOIN c_histlist h USING (event_id) GROUP BY ALL)
+        GROUP BY user_id"""}
+
+
 def oracle_sql() -> dict[str, str]:
     w = with_parts
     same_imp = f"SELECT impression_id, strftime(time, {STAMP}) AS time FROM c_imp"
@@ -397,8 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "read_articles_parquet": "SELECT doc_id AS article_id, text AS title, '' AS subtitle, '' AS body, lang AS category_str FROM documents",
         "read_history_parquet": w(f"SELECT CAST(e.user_id AS VARCHAR) AS user_id, {hist_ids} AS history FROM c_ev e LEFT JOIN c_histlist h USING (event_id)"),
         "read_behaviors_parquet": w(f"SELECT impression_id, user_id, strftime(time, {STAMP}) AS time, inview, clicked FROM c_imp"),
-        "load_store": w("""SELECT 'articles' AS name, count(*) AS n_rows, CAST(sum(length(abstract)) AS BIGINT) AS size FROM c_art
-            UNION ALL SELECT 'users', count(*), CAST(sum(hist_len) AS BIGINT) FROM c_users"""),
+        "load_store": _store({}),
         "scan_many": "SELECT r AS source_rank, event_type, count(*) AS n_rows, max(event_id) AS last_id FROM events, (SELECT CAST(0 AS INTEGER) AS r UNION ALL SELECT 1) GROUP BY ALL",
         "read_all_datasets": w(f"SELECT 'logs_' || split AS dataset, impression_id, user_id, impressions {split_rows}"),
         "read_test_impressions": w("""SELECT impression_id, c_imp.user_id, coalesce(len(items), 0) AS n_history, inview AS candidates
@@ -408,7 +451,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'documents.parquet', count(*), 5 FROM documents UNION ALL SELECT 'embeddings.parquet', count(*), 3 FROM embeddings""",
         "write_table": w(f"SELECT 'one' AS dataset, impression_id, user_id, strftime(time, {STAMP}) AS time, clicked AS clicked_articles, unclicked AS unclicked_articles FROM c_imp"),
         "write_splits": w(f"SELECT 'one' AS dataset, split, count(*) AS n_rows, count(DISTINCT user_id) AS n_users {split_rows} GROUP BY ALL"),
-        "write_index": w("SELECT term, count(*) AS n_articles, CAST(sum(tf) AS BIGINT) AS total_tf, round(sum(weight), 6) AS total_weight FROM c_post GROUP BY term"),
+        "write_index": w("""SELECT term, article_id, tf, dl, round(weight, 6) AS weight, round(idf, 6) AS idf FROM c_post UNION ALL SELECT '', article_id, NULL, dl, NULL, NULL FROM c_dl
+            UNION ALL SELECT '', '', n, NULL, round(avgdl, 6), CAST(0.75 AS DOUBLE) FROM c_stats"""),
         "write_embeddings": w(norms),
         "write_metrics": report,
         "write_predictions": w(f"SELECT value FROM ({POP_LINES})"),
@@ -527,10 +571,8 @@ def oracle_sql() -> dict[str, str]:
             WHEN ts > mx - INTERVAL 8 DAY THEN 'val' ELSE 'train' END AS split FROM c_ev, c_max"""),
         "assert_split_order": "SELECT 'train' AS earlier, 'val' AS later, true AS ok UNION ALL SELECT 'val', 'test', true",
         "build_feature_store": w("SELECT coalesce(l.user_id, u.user_id) AS user_id, coalesce(l.history, u.history) AS history FROM c_late l FULL JOIN c_users u ON l.user_id = u.user_id"),
-        "build_all": w(f"""SELECT 'articles' AS name, count(*) AS n_rows FROM c_news UNION ALL SELECT 'vectors', count(*) FROM c_news
-            UNION ALL SELECT 'docs', count(*) FROM c_news UNION ALL SELECT 'stats', 1 UNION ALL SELECT 'users', count(DISTINCT user_id) FROM c_ev
-            UNION ALL SELECT 'impressions', count(*) FROM c_ev WHERE k <> 50 UNION ALL SELECT 'postings', count(*) FROM (
-            SELECT DISTINCT article_id, unnest(regexp_extract_all(lower(title || ' ' || coalesce(abstract, '')), '{WORD}')) AS term FROM c_news)"""),
+        "build_all": _store(_TSV_STORE | {"c_dims": _hashed(64)}),
+        "build_all_parquet": _store(_LOG_STORE | {"c_dims": _hashed(64)}),
         "lexical_recall": w(f"SELECT row_id, {R135} FROM c_reclexical", LEX_RECALL),
         "semantic_recall": w(f"SELECT row_id, {R135} FROM c_recsemantic", SEM_RECALL),
         "mean_recall": w("SELECT round(avg(recall_1), 6) AS recall_1, round(avg(recall_3), 6) AS recall_3, round(avg(recall_5), 6) AS recall_5 FROM c_recsemantic", SEM_RECALL),
@@ -562,6 +604,16 @@ def oracle_sql() -> dict[str, str]:
         "recency_features": w("SELECT user_id, count(*) AS n_clicks, round(min(age), 6) AS last_click_age, round(sum(exp(-age / 604800.0::DOUBLE)), 6) AS decay_sum FROM c_age GROUP BY user_id"),
         "recency_vectors": w("""SELECT user_id, dim, round(sum(wt * raw) / sum(wt), 6) AS value FROM (SELECT user_id, article_id, exp(-age / 604800.0::DOUBLE) AS wt FROM c_age)
             JOIN c_dims USING (article_id) GROUP BY ALL"""),
+        "recency_at_impression": w("""SELECT i.impression_id, i.user_id, count(click_time) AS n_clicks, round(min(epoch_us(time) / 1e6 - epoch_us(click_time) / 1e6), 6) AS last_click_age,
+            round(coalesce(sum(exp(-(epoch_us(time) / 1e6 - epoch_us(click_time) / 1e6) / 172800.0::DOUBLE)), 0), 6) AS decay_sum
+            FROM c_imp i LEFT JOIN c_clicks c ON c.user_id = i.user_id AND c.click_time < i.time GROUP BY i.impression_id, i.user_id"""),
+        "session_features": w("""WITH g AS (SELECT impression_id, user_id, epoch_us(time) / 1e6 AS t, (n_clicked > 0)::INTEGER AS clicked,
+                epoch_us(time) / 1e6 - lag(epoch_us(time) / 1e6) OVER (PARTITION BY user_id ORDER BY time, impression_id) AS gap FROM c_imp),
+            s AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 21600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t, impression_id ROWS UNBOUNDED PRECEDING) AS session FROM g)
+            SELECT impression_id, user_id, CAST(session AS BIGINT) AS session, row_number() OVER v AS position,
+                CAST(coalesce(sum(clicked) OVER (v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS n_before_clicked,
+                count(*) OVER a AS session_length, round(max(t) OVER a - min(t) OVER a, 6) AS session_seconds, round(avg(clicked) OVER a, 6) AS session_click_rate
+            FROM s WINDOW a AS (PARTITION BY user_id, session), v AS (PARTITION BY user_id, session ORDER BY t, impression_id)"""),
         "article_features": w("""SELECT article_id, category, subcategory, array_to_string(list_sort(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])), ' ') AS entities,
             CAST(len(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])) AS BIGINT) AS n_entities FROM c_news"""),
         "leakage_report": w("""SELECT 'history_at_or_after_impression' AS "check", split, count(*) AS n_rows, count_if(coalesce(last_click >= time, false))::BIGINT AS n_leaks

@@ -15,7 +15,7 @@ from newsloom.catalog import tables as t
 from newsloom.functions import lists, text, times
 from newsloom.functions.vectors import l2_norm
 from newsloom.operators import (
-    beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, unify)
+    beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, timeline, unify)
 from newsloom.plans import build, evaluate, predict
 from newsloom.session import stage, staging_path
 from newsloom.sources import readers, writers
@@ -140,6 +140,31 @@ def write_tsv(df: DataFrame, path: str) -> str:
     return path
 
 
+def store_digest(store: dict[str, DataFrame]) -> DataFrame:
+    """(name, n_rows, digest) of the seven store tables: the sum over rows of 32 bits of the md5 of a row's values as text.
+
+    Fractions count by their value in millionths, lists by their items; rows may come in any order.
+    """
+    def listed(c: str) -> Column:
+        return F.array_join(F.col(c).cast("array<string>"), " ")
+
+    def millionths(c: str) -> Column:
+        return F.round(F.col(c) * 1000000).cast("bigint")
+
+    texts = {
+        "articles": ["article_id", "title", "abstract", "body", "category"], "users": ["user_id", listed("history")],
+        "impressions": ["impression_id", "user_id", stamp("time"), listed("clicked_articles"), listed("unclicked_articles"), "split"],
+        "vectors": ["article_id", F.array_join(F.transform("embedding", lambda x: F.round(x * 1000).cast("bigint").cast("string")), " ")],
+        "postings": ["term", "article_id", "tf", "dl", "df", millionths("idf"), millionths("weight")], "docs": ["article_id", "dl"],
+        "stats": ["n", millionths("avgdl"), millionths("k1"), millionths("b")]}
+    out = []
+    for name, cols in texts.items():
+        row = F.md5(F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]).cast("binary"))
+        code = F.conv(F.substring(row, 1, 8), 16, 10).cast("bigint")
+        out.append(store[name].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(code).alias("digest")).select(F.lit(name).alias("name"), "n_rows", "digest"))
+    return splits.union_all(out)
+
+
 # Sources ---------------------------------------------------------------------------------------
 
 @query
@@ -188,12 +213,13 @@ def read_behaviors_parquet(spark, sf):
 @query
 def load_store(spark, sf):
     root = staging_path(spark, "store")
-    writers.write_table(t.articles(spark, sf), root, "articles", "one")
-    writers.write_table(users(spark, sf), root, "users", "one")
-    store = readers.load_store(spark, root, "one", ("articles", "users"))
-    a = store["articles"].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("abstract")).alias("size"))
-    u = store["users"].agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("history")).cast("bigint").alias("size"))
-    return a.select(F.lit("articles").alias("name"), "*").unionByName(u.select(F.lit("users").alias("name"), "*"))
+    idx, rows = index(spark, sf), splits.temporal_split(t.impressions(spark, sf))
+    for name, df in (("articles", t.articles(spark, sf)), ("users", users(spark, sf)), ("vectors", t.vectors(spark, sf))):
+        writers.write_table(df, root, name, "one")
+        writers.write_table(df.limit(1), root, name, "other")
+    writers.write_splits(rows, root, "one")
+    writers.write_index(idx, root, "one")
+    return store_digest(readers.load_store(spark, root, "one"))
 
 
 @query
@@ -258,11 +284,15 @@ def write_splits(spark, sf):
 
 @query
 def write_index(spark, sf):
+    """All values of the three stored tables in one shape: postings by term and article, lengths, and the statistics."""
     root = staging_path(spark, "index")
     writers.write_index(index(spark, sf), root, "one")
-    stored = build.index_from_store(readers.load_store(spark, root, "one", ("postings", "docs", "stats")))
-    return stored.postings.groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_articles"), F.sum("tf").alias("total_tf"), r6(F.sum("weight")).alias("total_weight"))
+    stored_ = build.index_from_store(readers.load_store(spark, root, "one", ("postings", "docs", "stats")))
+    none = F.lit(None).cast("double")
+    rows = stored_.postings.select("term", "article_id", "tf", "dl", r6("weight").alias("weight"), r6("idf").alias("idf"))
+    docs = stored_.docs.select(F.lit("").alias("term"), "article_id", F.lit(None).cast("bigint").alias("tf"), "dl", none.alias("weight"), none.alias("idf"))
+    stats = stored_.stats.select(F.lit("").alias("term"), F.lit("").alias("article_id"), "n", F.lit(None).cast("bigint").alias("dl"), r6("avgdl").alias("weight"), r6("b").alias("idf"))
+    return splits.union_all([rows, docs, stats.withColumnRenamed("n", "tf")])
 
 
 @query
@@ -863,10 +893,22 @@ def build_all(spark, sf):
     write_tsv(t.news(spark, sf), f"{raw}/news.tsv")
     write_tsv(t.behaviors(spark, sf), f"{raw}/behaviors.tsv")
     build.build_from_tsv(spark, raw, root, "one")
-    store = readers.load_store(spark, root, "one")
-    counts = [store[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows")
-              for n in readers.STORE_TABLES]
-    return splits.union_all(counts)
+    return store_digest(readers.load_store(spark, root, "one"))
+
+
+@query
+def build_all_parquet(spark, sf):
+    """The store of a Parquet click log: articles, and behaviors and histories in a training and a validation folder."""
+    raw, root = staging_path(spark, "raw"), staging_path(spark, "store")
+    docs = t.table(spark, sf, "documents")
+    docs.select(F.col("doc_id").cast("int").alias("article_id"), F.col("text").alias("title"), F.col("source").alias("subtitle"),
+                F.length("source").cast("smallint").alias("category")).write.parquet(f"{raw}/articles.parquet")
+    for part, kept in (("train", "split = 'train'"), ("validation", "split <> 'train'")):
+        for name, log in (("behaviors", t.inview_log(spark, sf)), ("history", t.history_log(spark, sf))):
+            rows = splits.temporal_split(log.withColumn("time", F.col("impression_time"))).where(kept).drop("time", "split")
+            rows.write.parquet(f"{raw}/{part}/{name}.parquet")
+    build.build_from_parquet(spark, raw, root, "one")
+    return store_digest(readers.load_store(spark, root, "one"))
 
 
 # Metrics ---------------------------------------------------------------------------------------
@@ -1071,6 +1113,20 @@ def recency_vectors(spark, sf):
         "user_id", F.col("dim").cast("bigint").alias("dim"), r6("value").alias("value"))
 
 
+@query
+def recency_at_impression(spark, sf):
+    clicks = features.history_clicks(t.history_log(spark, sf))
+    out = timeline.recency_at_impression(t.impressions(spark, sf), clicks, 86400.0 * 2)
+    return rounded(out.select("impression_id", "user_id", F.col("n_clicks").cast("bigint").alias("n_clicks"), "last_click_age", "decay_sum"), "last_click_age", "decay_sum")
+
+
+@query
+def session_features(spark, sf):
+    out = timeline.session_features(t.impressions(spark, sf), 6 * 3600.0)
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("session", "position", "n_before_clicked", "session_length")]
+    return rounded(out.select("impression_id", "user_id", *counts, "session_seconds", "session_click_rate"), "session_seconds", "session_click_rate")
+
+
 @query
 def article_features(spark, sf):
     return features.article_features(t.news(spark, sf)).select("article_id", "category", "subcategory", joined("entities"), "n_entities")
