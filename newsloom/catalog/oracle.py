@@ -424,6 +424,41 @@ _LOG_STORE = {
         GROUP BY user_id"""}
 
 
+def _solved(tag: str, names: list[str], source: str, ridge: float) -> dict[str, str]:
+    """Block c_fit<tag> (one column per name): the normal equations over `source`, solved by elimination step by step."""
+    n = len(names)
+    sums = [f"sum({a} * {b})" + (f" + {ridge}" if i == j else "") + f"::DOUBLE AS m{i}_{j}" for i, a in enumerate(names) for j, b in enumerate([*names, "label"])]
+    blocks = {f"c_el{tag}0": f"SELECT {', '.join(sums)} FROM {source}"}
+    for k in range(n):
+        cells = [f"m{i}_{j} / m{k}_{k} AS m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} / m{k}_{k} * m{k}_{j} AS m{i}_{j}" for i in range(n) for j in range(n + 1)]
+        blocks[f"c_el{tag}{k + 1}"] = f"SELECT {', '.join(cells)} FROM c_el{tag}{k}"
+    return blocks | {f"c_fit{tag}": f"SELECT {', '.join(f'm{i}_{n} AS w_{name}' for i, name in enumerate(names))} FROM c_el{tag}{n}"}
+
+
+_FEATURES = ["one", "pop", "seen", "logged"]
+_ABLATION = {
+    "c_feat": """SELECT c.row_id, c.pos, c.label, split, coalesce(hist_len, 0) AS hist_len, 1.0::DOUBLE AS one, ln(1 + coalesce(clicks, 0)::DOUBLE) AS pop,
+        CASE WHEN h.article_id IS NULL THEN 0.0::DOUBLE ELSE 1.0 END AS seen, CASE WHEN c.label = 1 THEN k::DOUBLE ELSE 0 END AS logged
+        FROM c_cands c JOIN c_split USING (event_id) JOIN c_ev e USING (event_id) LEFT JOIN c_pop p ON p.article_id = c.article_id
+        LEFT JOIN (SELECT DISTINCT user_id, article_id FROM c_hist) h ON h.user_id = c.user_id AND h.article_id = c.article_id
+        LEFT JOIN c_users u ON u.user_id = c.user_id""",
+    "c_learn": "SELECT * FROM c_feat WHERE split = 'train'",
+    "c_ablated": """SELECT 'all' AS model, row_id, hist_len, pos, label, '' AS category, round(one * w_one + pop * w_pop + seen * w_seen + logged * w_logged, 9) AS score FROM c_feat, c_fitall WHERE split = 'test'
+        UNION ALL SELECT 'serving', row_id, hist_len, pos, label, '', round(one * w_one + pop * w_pop + seen * w_seen, 9) FROM c_feat, c_fitserving WHERE split = 'test'""",
+    "c_valid": "SELECT * FROM c_metrics WHERE auc IS NOT NULL",
+} | _solved("all", _FEATURES, "c_learn", 0.001) | _solved("serving", _FEATURES[:3], "c_learn", 0.001)
+
+
+def _compared(one: str, two: str, tag: str) -> str:
+    """Means of two models side by side, their difference, and its interval over replicates that weight both alike."""
+    def both(source: str, keys: str) -> str:
+        return f"""SELECT {keys}, any_value(value) FILTER (model = '{one}') AS a, any_value(value) FILTER (model = '{two}') AS b FROM {source} GROUP BY ALL"""
+
+    return f"""SELECT m.slice, m.metric, round(m.a, 6) AS "{one}", round(m.b, 6) AS "{two}", round(m.a - m.b, 6) AS difference,
+        round(quantile_cont(r.a - r.b, 0.025), 6) AS low, round(quantile_cont(r.a - r.b, 0.975), 6) AS high
+        FROM ({both(f'c_ml{tag}', 'slice, metric')}) m JOIN ({both(f'c_rl{tag}', 'slice, metric, rep')}) r ON r.slice = m.slice AND r.metric = m.metric GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     w = with_parts
     same_imp = f"SELECT impression_id, strftime(time, {STAMP}) AS time FROM c_imp"
@@ -598,6 +633,8 @@ def oracle_sql() -> dict[str, str]:
         "harness_report": w("""SELECT model, slice, metric, round(value, 6) AS value, round(low, 6) AS low, round(high, 6) AS high FROM (
             SELECT * FROM c_ciimp UNION ALL SELECT * FROM c_cilist UNION ALL SELECT model, slice, 'coverage', value, NULL, NULL FROM c_cov)""",
             metric_parts("c_models") | _LISTS | _intervals("c_metrics", "row_id", METRICS, "imp") | _intervals("c_lists", "user_id", ("ild", "novelty"), "list")),
+        "compare_models_interval": w(_compared("lexical", "semantic", "imp"), metric_parts("c_models") | _intervals("c_metrics", "row_id", METRICS, "imp")),
+        "serving_time_ablation": w(_compared("all", "serving", "abl"), metric_parts("c_ablated") | _ABLATION | _intervals("c_valid", "row_id", BOOT_NAMES, "abl", 500)),
         "head_tail": w("SELECT article_id, clicks, band FROM c_band", _BANDS),
         "hits_by_band": w("""SELECT 'semantic' AS model, coalesce(band, 'tail') AS band, CAST(sum(CASE WHEN rank <= 3 THEN 1 ELSE 0 END) AS BIGINT) AS n_hits, count(*) AS n_clicked
             FROM c_semrank LEFT JOIN c_band USING (article_id) WHERE label = 1 GROUP BY ALL""", _BANDS | ALL),

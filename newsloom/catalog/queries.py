@@ -16,7 +16,7 @@ from newsloom.functions import lists, text, times
 from newsloom.functions.vectors import l2_norm
 from newsloom.operators import (
     beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, timeline, unify)
-from newsloom.plans import build, evaluate, predict
+from newsloom.plans import ablation, build, evaluate, predict
 from newsloom.session import stage, staging_path
 from newsloom.sources import readers, writers
 
@@ -1002,11 +1002,18 @@ def test_clicks(spark, sf) -> DataFrame:
     return rows.withColumns({"hist_len": F.coalesce("hist_len", F.lit(0)), "band": F.coalesce("band", F.lit("tail"))})
 
 
-def catalog_recalls(spark, sf, key: tuple[str, ...]) -> DataFrame:
-    """recall_50, recall_100 and recall_200 per key for both models, over the whole catalog."""
-    deep, clicks = max(metrics.RECALL_CUTS), stage(test_clicks(spark, sf), "clicks")
-    tops = {"lexical": lexical_top(spark, sf, deep), "semantic": semantic_top(spark, sf, deep)}
-    return splits.union_all([metrics.retrieval_recall(top, clicks, key=key).withColumn("model", F.lit(m)) for m, top in tops.items()])
+def catalog_lists(spark, sf) -> DataFrame:
+    """The 200 best articles per user and model, over the whole catalog."""
+    deep = max(metrics.RECALL_CUTS)
+    return stage(splits.union_all([lexical_top(spark, sf, deep).withColumn("model", F.lit("lexical")),
+                                   semantic_top(spark, sf, deep).withColumn("model", F.lit("semantic"))]), "lists")
+
+
+def catalog_recalls(spark, sf, lists_: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """recall_50, recall_100 and recall_200 per key for both models."""
+    clicks = stage(test_clicks(spark, sf), "clicks")
+    return splits.union_all([metrics.retrieval_recall(lists_.where(F.col("model") == m).drop("model"), clicks, key=key).withColumn("model", F.lit(m))
+                             for m in ("lexical", "semantic")])
 
 
 DEEP_RECALLS = tuple(f"recall_{k}" for k in metrics.RECALL_CUTS)
@@ -1014,15 +1021,16 @@ DEEP_RECALLS = tuple(f"recall_{k}" for k in metrics.RECALL_CUTS)
 
 @query
 def retrieval_recall(spark, sf):
-    rows = catalog_recalls(spark, sf, ("user_id", "hist_len"))
+    rows = catalog_recalls(spark, sf, catalog_lists(spark, sf), ("user_id", "hist_len"))
     return rounded(rows.groupBy("model").agg(*[F.avg(m).alias(m) for m in DEEP_RECALLS]), *DEEP_RECALLS)
 
 
 @query
 def retrieval_recall_by_slice(spark, sf):
-    people = metrics.recall_by_slice(catalog_recalls(spark, sf, ("user_id", "hist_len")), DEEP_RECALLS)
+    lists_ = catalog_lists(spark, sf)
+    people = metrics.recall_by_slice(catalog_recalls(spark, sf, lists_, ("user_id", "hist_len")), DEEP_RECALLS)
     long = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in DEEP_RECALLS]))
-    bands = catalog_recalls(spark, sf, ("user_id", "band")).select("model", F.col("band").alias("slice"), long.alias("cell"))
+    bands = catalog_recalls(spark, sf, lists_, ("user_id", "band")).select("model", F.col("band").alias("slice"), long.alias("cell"))
     bands = bands.groupBy("model", "slice", "cell.metric").agg(F.avg("cell.value").alias("value"))
     return rounded(people.unionByName(bands), "value")
 
@@ -1073,6 +1081,12 @@ def bootstrap_ci(spark, sf):
     return rounded(beyond.bootstrap_ci(rows, ("auc", "mrr", "ndcg_5", "ndcg_10"), b=200), "low", "high")
 
 
+@query
+def compare_models_interval(spark, sf):
+    out = beyond.compare_with_ci(stage(test_metrics(spark, sf), "metrics"), metrics.METRICS, ("lexical", "semantic"), b=1000)
+    return rounded(out, "lexical", "semantic", "difference", "low", "high")
+
+
 @query
 def harness_report(spark, sf):
     people = users(spark, sf).select("user_id", F.size("history").cast("bigint").alias("hist_len"))
@@ -1148,6 +1162,13 @@ def serving_time_view(spark, sf):
         F.lit(len(view.columns)).cast("bigint").alias("n_columns"))
 
 
+@query
+def serving_time_ablation(spark, sf):
+    rows = evaluate.attach_hist_len(splits.temporal_split(t.impressions(spark, sf)), users(spark, sf))
+    cands = ablation.candidate_features(rows, t.inview_log(spark, sf), users(spark, sf), train_popularity(spark, sf))
+    return rounded(ablation.serving_time_ablation(cands, b=500), "all", "serving", "difference", "low", "high")
+
+
 @query
 def tfidf_score(spark, sf):
     cands = all_candidates(spark, sf)
