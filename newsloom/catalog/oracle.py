@@ -545,6 +545,11 @@ def oracle_sql() -> dict[str, str]:
         "value_counts": "SELECT lang AS category, source AS subcategory, count(*) AS n_rows FROM documents GROUP BY ALL",
         "null_profile": w(_nulls(LOG_COLUMNS, "c_log")),
         "distinct_profile": w(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM c_log" for c in ("impression_id", "user_id", "session_id"))),
+        "distinct_profile_sketch": w(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS n, count(DISTINCT {c}) AS n_distinct, true AS within FROM c_log" for c in ("impression_id", "user_id", "session_id"))),
+        "distinct_profile_approx": w(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS within FROM c_log" for c in ("impression_id", "user_id", "session_id"))),
+        "quantile_sketch": w(" UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, CAST({q} AS DOUBLE) AS q, count(*) AS n, CAST(min({e}) AS DOUBLE) AS low, CAST(max({e}) AS DOUBLE) AS high, true AS within
+            FROM c_log WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""" for c, e in (("read_time", "read_time"), ("value", "impression_id")) for q in (0.1, 0.5, 0.95))),
         "summary_stats": w(_summary([("n_inview", "len(string_split(inview, ' '))"), ("n_clicked", "n_clicked"), ("read_time", "read_time"),
                                      ("scroll_percentage", "scroll_percentage")], "c_log")),
         "exact_quantiles": " UNION ALL ".join(
@@ -669,6 +674,8 @@ def oracle_sql() -> dict[str, str]:
             "c_wsketch": f"SELECT article_id, {_CODE} % 16 AS dim, sum(CASE WHEN ({_CODE} // 16) % 2 = 0 THEN tf ELSE -tf END)::DOUBLE AS v FROM c_tf GROUP BY ALL",
             "c_wv": "SELECT term, dim, sum(tf * v) AS v FROM c_tf JOIN c_wsketch USING (article_id) GROUP BY ALL"}),
         "build_bm25_index_repeats": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
+        "index_append": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
+        "index_compact": w("SELECT article_id, dl, n, round(avgdl, 6) AS avgdl FROM c_dl, c_stats", _LATE_ARTICLES),
         "semantic_score_repeats": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
             FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS | ALL),
         "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES | ALL),

@@ -15,7 +15,7 @@ from newsloom.catalog import tables as t
 from newsloom.functions import lists, text, times
 from newsloom.functions.vectors import l2_norm
 from newsloom.operators import (
-    beyond, features, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, timeline, unify)
+    beyond, features, growing, lexical, metrics, popularity, profile, ranking, retrieval, semantic, skew, splits, timeline, unify)
 from newsloom.plans import ablation, build, evaluate, predict
 from newsloom.session import stage, staging_path
 from newsloom.sources import readers, writers
@@ -625,6 +625,44 @@ def summary_stats(spark, sf):
     return rounded(out, "min_value", "max_value", "mean_value", "median_value")
 
 
+def log_sketches(spark, sf) -> DataFrame:
+    log = t.inview_log(spark, sf)
+    distinct = {c: F.col(c) for c in ("impression_id", "user_id", "session_id")}
+    return stored(spark, sf, "sketches", lambda: stage(profile.day_sketches(log, "impression_time", distinct, {"read_time": F.col("read_time"), "value": F.col("impression_id").cast("double")}), "sketches"))
+
+
+@query
+def distinct_profile_sketch(spark, sf):
+    """Distinct counts of all days from stored sketches, held against the exact ones: within four in a hundred."""
+    found = profile.distinct_from_sketches(log_sketches(spark, sf))
+    exact = profile.distinct_profile(t.inview_log(spark, sf), ["impression_id", "user_id", "session_id"])
+    return found.withColumnRenamed("n_distinct", "estimate").join(exact, "column_name").select(
+        "column_name", "n", "n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.04 * F.col("n_distinct")).alias("within"))
+
+
+@query
+def distinct_profile_approx(spark, sf):
+    """Distinct counts by one sketch per task, held against the exact ones: within one in ten."""
+    cols = ["impression_id", "user_id", "session_id"]
+    found = profile.distinct_profile(t.inview_log(spark, sf), cols, approx=True).withColumnRenamed("n_distinct", "estimate")
+    return found.join(profile.distinct_profile(t.inview_log(spark, sf), cols), "column_name").select(
+        "column_name", "n_distinct", (F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")).alias("within"))
+
+
+@query
+def quantile_sketch(spark, sf):
+    """Quantiles of half the month from stored sketches, held against the ranks in the log: within one in a hundred."""
+    first, last = "2024-01-05", "2024-01-20"
+    found = profile.quantiles_from_sketches(log_sketches(spark, sf), (0.1, 0.5, 0.95), first, last)
+    log = t.inview_log(spark, sf).where(F.to_date("impression_time").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), c.alias("x")) for n, c in (("read_time", F.col("read_time")), ("value", F.col("impression_id").cast("double")))]))
+    rows = log.select(cells.alias("c")).select("c.*").join(F.broadcast(found), "column_name")
+    ranks = rows.groupBy("column_name", "q", "n", "low", "high").agg(
+        (F.count_if(F.col("x") < F.col("value")) / F.count("x")).alias("under"), (F.count_if(F.col("x") <= F.col("value")) / F.count("x")).alias("upto"))
+    within = (F.col("under") <= F.col("q") + 0.01) & (F.col("upto") >= F.col("q") - 0.01)
+    return rounded(ranks.select("column_name", "q", "n", "low", "high", within.alias("within")), "q", "low", "high")
+
+
 @query
 def exact_quantiles(spark, sf):
     out = profile.exact_quantiles(t.table(spark, sf, "events"), {"value": F.col("value"), "event_id": F.col("event_id")}, (0.1, 0.5, 0.95))
@@ -1217,6 +1255,28 @@ def build_bm25_index_repeats(spark, sf):
     return rounded(lexical.build_bm25_index(repeated_articles(spark, sf)).postings, "idf", "weight")
 
 
+def grown_index(spark, sf) -> str:
+    """An index grown by two loads: three quarters of the articles, then the others and the later form of every third one."""
+    root, number = staging_path(spark, "segments"), F.col("article_id").cast("bigint")
+    rows = repeated_articles(spark, sf)
+    growing.append_segment(spark, root, rows.where((F.col("source_rank") == 0) & (number % 4 != 1)))
+    growing.append_segment(spark, root, rows.where((F.col("source_rank") == 1) | (number % 4 == 1)))
+    return root
+
+
+@query
+def index_append(spark, sf):
+    return rounded(growing.read_growing_index(spark, grown_index(spark, sf)).postings, "idf", "weight")
+
+
+@query
+def index_compact(spark, sf):
+    target = staging_path(spark, "compacted")
+    growing.compact(spark, grown_index(spark, sf), target)
+    found = growing.read_growing_index(spark, target)
+    return found.docs.select("article_id", "dl", found.stats.select("n").scalar().alias("n"), r6(found.stats.select("avgdl").scalar()).alias("avgdl"))
+
+
 @query
 def semantic_score_repeats(spark, sf):
     scores = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), repeated_vectors(spark, sf), "last")

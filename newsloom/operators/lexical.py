@@ -73,6 +73,15 @@ def bm25_weight(tf, dl, idf_col, avgdl, k1: float, b: float):
     return idf_col * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
 
 
+def weighted_postings(terms: DataFrame, dfs: DataFrame, stats: DataFrame, hot, k1: float, b: float) -> DataFrame:
+    """Term counts per article with document frequency, idf and BM25 weight; `hot` spreads the terms that most articles have."""
+    n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
+    joined = skew_join(terms, dfs.withColumn("idf", idf(F.col("df"), n)), ["term"], hot=hot, spread=["article_id"])
+    return joined.select(
+        "term", "article_id", "tf", "dl", "df", "idf",
+        bm25_weight(F.col("tf"), F.col("dl"), F.col("idf"), avgdl, k1, b).alias("weight"))
+
+
 def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS, k1: float = 1.5, b: float = 0.75,
                      staged: bool = True) -> LexicalIndex:
     """Index tables of the given text columns.
@@ -90,11 +99,7 @@ def build_bm25_index(articles: DataFrame, text_cols: tuple[str, ...] = TEXT_COLS
     stats = corpus_stats(articles, terms, k1, b)
     dfs = doc_freq(terms)
     hot = hot_keys(terms, ["term"], counts=dfs.withColumnRenamed("df", "_n"))
-    n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    joined = skew_join(terms, dfs.withColumn("idf", idf(F.col("df"), n)), ["term"], hot=hot, spread=["article_id"])
-    postings = joined.select(
-        "term", "article_id", "tf", "dl", "df", "idf",
-        bm25_weight(F.col("tf"), F.col("dl"), F.col("idf"), avgdl, k1, b).alias("weight"))
+    postings = weighted_postings(terms, dfs, stats, hot, k1, b)
     if staged:
         postings = stage(postings, "postings")
     return LexicalIndex(stats, doc_lengths(articles, terms), postings)
