@@ -7,9 +7,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.session import stage
+
 #: Bytes of text that a Python task holds as arrays at a time; a single longer text is a chunk of its own.
 CHUNK = 1 << 20
 #: The white space of the contracts: blank and the bytes 09 to 0D.
@@ -34,7 +36,8 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(`row`, `id`, `text`) of `docs`, with a distinct long `row` per document that rises with the id.
 
     Where ids are whole numbers, not null and not repeated, `row` is the id itself. Else rows are counted in the
-    order (id, hash of the text), nulls first; rows that agree in both share a number and hence every result.
+    order (id, hash of the text), nulls first; rows that agree in both share a number and hence every result. The numbered
+    rows are then written once, as they have several readers.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     whole = dict(slim.dtypes)["id"] in ("tinyint", "smallint", "int", "bigint")
@@ -45,10 +48,14 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             return slim.select(F.col("id").cast("long").alias("row"), "id", "text")
     keyed = slim.withColumn("h", F.xxhash64("text"))
     keys = keyed.select("id", "h").distinct().orderBy(F.asc_nulls_first("id"), "h")
-    order = keys.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF(
-        f"id {dict(slim.dtypes)['id']}, h long, row long")
-    same = keyed["id"].eqNullSafe(order["id"]) & (keyed["h"] == order["h"])
-    return keyed.join(order, same).select(order["row"], keyed["id"], keyed["text"])
+    # The place within a range of the order is part of the written key, so a lost task can't change it.
+    keys = stage(keys.withColumn("place", F.monotonically_increasing_id()), "row-keys")
+    cut = keys.withColumns({"range": F.shiftright("place", 33), "at": F.col("place").bitwiseAND((1 << 33) - 1)})
+    sizes = cut.groupBy("range").agg((F.max("at") + 1).alias("n"))
+    before = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    order = cut.join(F.broadcast(before), "range").select(F.col("id").alias("key"), F.col("h").alias("hash"), (F.col("before") + F.col("at")).alias("row"))
+    found = keyed.join(order, F.col("id").eqNullSafe(F.col("key")) & (F.col("h") == F.col("hash"))).select("row", "id", "text")
+    return stage(found, "numbered")
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,10 +1,14 @@
-"""Suffix arrays by induced sorting, in array form: a bucket's frontier is moved at once, not one suffix at a time."""
+"""Suffix arrays by induced sorting.
+
+Over few symbols the induced scans run in array form, where a bucket's frontier is moved at once. Names of substrings are many
+symbols with few suffixes each, so for them the scans go suffix by suffix. Both forms give the same order.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Above this many symbols a scan bucket by bucket costs more than doubling ranks.
+#: Above this many symbols the scans go suffix by suffix instead of bucket by bucket.
 SYMBOLS = 4096
 
 
@@ -78,40 +82,42 @@ def induce(s: np.ndarray, kind: np.ndarray, seeds: np.ndarray, symbols: int) ->
     return sa
 
 
-def doubled(s: np.ndarray) -> np.ndarray:
-    """Suffix order by doubling ranks, for strings over many symbols; only unsettled suffixes are sorted again."""
-    n, step = len(s), 1
-    order = np.argsort(s)
-    ordered = s[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(first, np.diff(np.append(first, n)))
-    places = np.flatnonzero(np.repeat(np.diff(np.append(first, n)) > 1, np.diff(np.append(first, n))))
-    while len(places):
-        items = order[places]
-        after = items + step
-        key = rank[items] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        turn = np.argsort(key)
-        items, key = items[turn], key[turn]
-        order[places] = items
-        # Unsettled groups are contiguous runs of places, so a new rank is the place of its group's first suffix.
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(items)))
-        rank[items] = np.repeat(places[first], size)
-        places = places[np.repeat(size > 1, size)]
-        step *= 2
-    return order
+def induce_singly(s: np.ndarray, kind: np.ndarray, seeds: np.ndarray, symbols: int) -> np.ndarray:
+    """`induce` suffix by suffix; the cost follows the length of `s`, not the number of buckets."""
+    sizes = np.bincount(s, minlength=symbols)
+    ends = np.cumsum(sizes)
+    text, smaller = s.tolist(), kind.tolist()
+    sa = [-1] * len(text)
+    at = ends.tolist()
+    for i in reversed(seeds.tolist()):
+        at[text[i]] -= 1
+        sa[at[text[i]]] = i
+    at = (ends - sizes).tolist()
+    for i in sa:  # the scan reads what it has just placed further on
+        if i > 0 and not smaller[i - 1]:
+            c = text[i - 1]
+            sa[at[c]] = i - 1
+            at[c] += 1
+    at = ends.tolist()
+    last = len(text) - 1
+    sa[0], at[text[last]] = last, 0
+    for place in range(len(sa) - 1, -1, -1):
+        i = sa[place]
+        if i > 0 and smaller[i - 1]:
+            c = text[i - 1]
+            at[c] -= 1
+            sa[at[c]] = i - 1
+    return np.array(sa, np.int64)
 
 
 def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     """Order of all suffixes of `s`, whose last symbol is 0 and occurs nowhere else."""
     if len(s) <= 2:
         return np.arange(len(s))[::-1].copy()
-    if symbols > SYMBOLS:
-        return doubled(s)
+    scan = induce if symbols <= SYMBOLS else induce_singly
     kind, left = classify(s)
     # Sort the substrings between leftmost-smaller positions by inducing from them in bucket order.
-    order = induce(s, kind, left[np.argsort(s[left], kind="stable")], symbols)
+    order = scan(s, kind, left[np.argsort(s[left], kind="stable")], symbols)
     is_left = np.zeros(len(s), bool)
     is_left[left] = True
     order = order[is_left[order]]
@@ -134,7 +140,7 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
     if names[-1] + 1 < len(left):
         reduced = name_at[left]
         order = left[suffix_array(reduced, int(names[-1]) + 1)]
-    return induce(s, kind, order, symbols)
+    return scan(s, kind, order, symbols)
 
 
 def shared_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
