@@ -527,6 +527,7 @@ def oracle_sql() -> dict[str, str]:
         "attach_vectors": w("""SELECT policy, row_id, article_id, norm IS NOT NULL AS known FROM c_test LEFT JOIN c_norm USING (article_id),
             (SELECT 'null' AS policy UNION ALL SELECT 'drop') WHERE policy = 'null' OR norm IS NOT NULL""", ALL),
         "match_terms": w("SELECT user_id, article_id, term, tf, round(weight, 6) AS weight FROM c_match", ALL),
+        "match_terms_stored": w("SELECT user_id, article_id, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS total_tf, round(sum(weight), 6) AS weight FROM c_match GROUP BY ALL", ALL),
         "attach_popularity": w("SELECT row_id, article_id, coalesce(clicks, 0) AS clicks FROM c_cands LEFT JOIN c_pop USING (article_id)"),
         "attach_category": w("SELECT row_id, article_id, coalesce(category, 'unknown') AS category FROM c_semrank LEFT JOIN c_art USING (article_id) WHERE rank <= 5", ALL),
         "first_history": w("""SELECT CAST(user_id AS VARCHAR) AS user_id, arg_min(coalesce(history, ''), key) AS history FROM (
@@ -658,6 +659,13 @@ def oracle_sql() -> dict[str, str]:
             FROM s WINDOW a AS (PARTITION BY user_id, session), v AS (PARTITION BY user_id, session ORDER BY t, impression_id)"""),
         "article_features": w("""SELECT article_id, category, subcategory, array_to_string(list_sort(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])), ' ') AS entities,
             CAST(len(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])) AS BIGINT) AS n_entities FROM c_news"""),
+        "entity_vectors": w("""WITH e AS (SELECT DISTINCT article_id, unnest(list_distinct([length(source), doc_id % 7])) AS id FROM c_news),
+            k AS (SELECT article_id, count(*) AS n_known FROM e JOIN c_norm v ON v.article_id = CAST(e.id AS VARCHAR) GROUP BY ALL)
+            SELECT e.article_id, n_known, dim, round(avg(raw), 6) AS value FROM e JOIN c_dims d ON d.article_id = CAST(e.id AS VARCHAR) JOIN k ON k.article_id = e.article_id GROUP BY ALL""".replace("article_id, count(*)", "e.article_id, count(*)")),
+        "store_features": w("""SELECT article_id AS id, array_to_string(list_sort(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])), ' ') AS entities,
+            CAST(len(list_distinct(['Q' || length(source), 'Q' || doc_id % 7])) AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS last_click_age, CAST(NULL AS DOUBLE) AS decay_sum FROM c_news
+            UNION ALL SELECT 'user ' || user_id, '', count(*), round(min(age), 6), round(sum(exp(-age / 604800.0::DOUBLE)), 6) FROM (
+                SELECT user_id, epoch_us(mx - INTERVAL 2 DAY) / 1e6 - epoch_us(click_time) / 1e6 AS age FROM c_clicks, c_max WHERE click_time <= mx - INTERVAL 2 DAY) GROUP BY user_id"""),
         "leakage_report": w("""SELECT 'history_at_or_after_impression' AS "check", split, count(*) AS n_rows, count_if(coalesce(last_click >= time, false))::BIGINT AS n_leaks
             FROM c_imp JOIN c_split USING (event_id) LEFT JOIN (SELECT user_id, max(click_time) AS last_click FROM c_clicks GROUP BY user_id) USING (user_id) GROUP BY split
             UNION ALL SELECT 'candidate_published_later', split, count(*), count_if(coalesce(TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (n_chars % 720) > c.ts, false))::BIGINT

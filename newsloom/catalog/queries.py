@@ -529,6 +529,20 @@ def match_terms(spark, sf):
         "user_id", "article_id", "term", "tf", r6("weight").alias("weight"))
 
 
+def stored_postings(spark, sf) -> DataFrame:
+    """The postings in buckets of the article, as a store keeps them."""
+    path = stored(spark, sf, "buckets", lambda: writers.write_bucketed(
+        index(spark, sf).postings, staging_path(spark, "store"), "postings", "article_id"))
+    return readers.read_bucketed(spark, path)
+
+
+@query
+def match_terms_stored(spark, sf):
+    idx = index(spark, sf)
+    rows = lexical.match_terms(stage(all_pairs(spark, sf), "pairs"), lexical.history_query(users(spark, sf), idx.postings), stored_postings(spark, sf))
+    return rows.groupBy("user_id", "article_id").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("total_tf"), r6(F.sum("weight")).alias("weight"))
+
+
 @query
 def attach_popularity(spark, sf):
     cands = unify.labeled_candidates(t.impressions(spark, sf))
@@ -934,10 +948,9 @@ def build_all(spark, sf):
     return store_digest(readers.load_store(spark, root, "one"))
 
 
-@query
-def build_all_parquet(spark, sf):
-    """The store of a Parquet click log: articles, and behaviors and histories in a training and a validation folder."""
-    raw, root = staging_path(spark, "raw"), staging_path(spark, "store")
+def log_folders(spark, sf) -> str:
+    """A raw Parquet click log: articles, and behaviors and histories in a training and a validation folder."""
+    raw = staging_path(spark, "raw")
     docs = t.table(spark, sf, "documents")
     docs.select(F.col("doc_id").cast("int").alias("article_id"), F.col("text").alias("title"), F.col("source").alias("subtitle"),
                 F.length("source").cast("smallint").alias("category")).write.parquet(f"{raw}/articles.parquet")
@@ -945,7 +958,13 @@ def build_all_parquet(spark, sf):
         for name, log in (("behaviors", t.inview_log(spark, sf)), ("history", t.history_log(spark, sf))):
             rows = splits.temporal_split(log.withColumn("time", F.col("impression_time"))).where(kept).drop("time", "split")
             rows.write.parquet(f"{raw}/{part}/{name}.parquet")
-    build.build_from_parquet(spark, raw, root, "one")
+    return raw
+
+
+@query
+def build_all_parquet(spark, sf):
+    root = staging_path(spark, "store")
+    build.build_from_parquet(spark, log_folders(spark, sf), root, "one")
     return store_digest(readers.load_store(spark, root, "one"))
 
 
@@ -1184,6 +1203,33 @@ def article_features(spark, sf):
     return features.article_features(t.news(spark, sf)).select("article_id", "category", "subcategory", joined("entities"), "n_entities")
 
 
+@query
+def entity_vectors(spark, sf):
+    """Mean vectors of the entities of news articles, from a .vec file of them."""
+    path = staging_path(spark, "entities")
+    line = F.concat_ws("\t", F.concat(F.lit("Q"), "article_id"), F.array_join(F.col("embedding").cast("array<string>"), "\t"))
+    t.vectors(spark, sf).select(line.alias("value")).write.text(path)
+    out = features.entity_vectors(features.article_features(t.news(spark, sf)), readers.read_vec(spark, path, 64))
+    return out.select("article_id", "n_known", F.posexplode("embedding").alias("dim", "value")).select(
+        "article_id", "n_known", F.col("dim").cast("bigint").alias("dim"), r6("value").alias("value"))
+
+
+@query
+def store_features(spark, sf):
+    """The feature tables that both builds leave in the store: entities of articles, recency of users."""
+    raw, one, two = staging_path(spark, "raw"), staging_path(spark, "store"), staging_path(spark, "store")
+    write_tsv(t.news(spark, sf), f"{raw}/news.tsv")
+    write_tsv(t.behaviors(spark, sf), f"{raw}/behaviors.tsv")
+    build.build_from_tsv(spark, raw, one, "one")
+    build.build_from_parquet(spark, log_folders(spark, sf), two, "one")
+    none = F.lit(None).cast("double")
+    arts = readers.load_store(spark, one, "one", ("article_features",))["article_features"].select(
+        F.col("article_id").alias("id"), F.array_join("entities", " ").alias("entities"), F.col("n_entities").alias("n"), none.alias("last_click_age"), none.alias("decay_sum"))
+    people = readers.load_store(spark, two, "one", ("user_recency",))["user_recency"].select(
+        F.concat(F.lit("user "), "user_id").alias("id"), F.lit("").alias("entities"), F.col("n_clicks").alias("n"), r6("last_click_age").alias("last_click_age"), r6("decay_sum").alias("decay_sum"))
+    return arts.unionByName(people)
+
+
 @query
 def leakage_report(spark, sf):
     rows = splits.temporal_split(t.impressions(spark, sf))

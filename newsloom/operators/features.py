@@ -55,6 +55,18 @@ def article_features(news: DataFrame, entity_cols: tuple[str, ...] = ("title_ent
                        F.size(ids).cast("bigint").alias("n_entities"))
 
 
+def entity_vectors(features: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(article_id, n_known, embedding): the mean vector of each article's entities that have one.
+
+    `features` is as of `article_features`, `vectors` as of `read_vec`. Articles without a known entity have no row. An
+    entity of very many articles is a hot key on the side of the articles, where it is spread.
+    """
+    named = features.select("article_id", F.explode("entities").alias("entity_id"))
+    rows = skew_join(named, one_per_id(vectors, "embedding", key="entity_id"), ["entity_id"])
+    known = rows.groupBy("article_id").agg(F.count(F.lit(1)).alias("n_known"))
+    return mean_vectors(rows, "article_id").join(known, "article_id").select("article_id", "n_known", "embedding")
+
+
 def history_leaks(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     """Impressions whose user has a history click at or after them.
 

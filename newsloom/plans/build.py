@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.operators.features import article_features, history_clicks, recency_features
 from newsloom.operators.lexical import LexicalIndex, build_bm25_index
 from newsloom.operators.semantic import hash_encoder_vectors
 from newsloom.operators.splits import assert_split_order, temporal_split, union_all
@@ -25,8 +26,11 @@ def build_feature_store(articles: DataFrame, user_frames: list[DataFrame]) -> tu
 
 def build_store(spark: SparkSession, root: str, dataset: str, articles: DataFrame, user_frames: list[DataFrame],
                 impressions: DataFrame, embed: Callable[[DataFrame], DataFrame] = hash_encoder_vectors,
-                test_days: float = 1, val_days: float = 1) -> None:
-    """Write all store tables of one dataset. Articles that have a stored vector are not embedded again."""
+                test_days: float = 1, val_days: float = 1, features: dict[str, DataFrame] | None = None) -> None:
+    """Write all store tables of one dataset, and those of `features` beside them.
+
+    Articles that have a stored vector are not embedded again.
+    """
     articles, users = build_feature_store(one_per_id(articles), user_frames)
     write_table(articles, root, "articles", dataset)
     write_table(users, root, "users", dataset)
@@ -36,6 +40,8 @@ def build_store(spark: SparkSession, root: str, dataset: str, articles: DataFram
     stored = spark.read.parquet(f"{root}/articles").where(mine).drop("dataset")
     write_index(build_bm25_index(stored), root, dataset)
     write_embeddings_once(spark, root, dataset, stored, embed)
+    for name, df in (features or {}).items():
+        write_table(df, root, name, dataset)
 
 
 def write_embeddings_once(spark: SparkSession, root: str, dataset: str, articles: DataFrame,
@@ -48,20 +54,27 @@ def write_embeddings_once(spark: SparkSession, root: str, dataset: str, articles
 
 
 def build_from_tsv(spark: SparkSession, raw_dir: str, root: str, dataset: str, **options) -> None:
-    """Store of a news.tsv and behaviors.tsv folder."""
-    behaviors = read_behaviors_tsv(spark, f"{raw_dir}/behaviors.tsv")
-    build_store(spark, root, dataset, unify_articles(read_news_tsv(spark, f"{raw_dir}/news.tsv"), "tsv"),
-                [first_history(behaviors)], unify_impressions_tsv(behaviors), **options)
+    """Store of a news.tsv and behaviors.tsv folder, with the categories and entities of the articles as `article_features`."""
+    behaviors, news = read_behaviors_tsv(spark, f"{raw_dir}/behaviors.tsv"), read_news_tsv(spark, f"{raw_dir}/news.tsv")
+    build_store(spark, root, dataset, unify_articles(news, "tsv"), [first_history(behaviors)], unify_impressions_tsv(behaviors),
+                features={"article_features": article_features(news)}, **options)
 
 
 def build_from_parquet(spark: SparkSession, raw_dir: str, root: str, dataset: str,
-                       parts: tuple[str, ...] = ("train", "validation"), **options) -> None:
-    """Store of an articles.parquet with one folder of behaviors and history per part; later parts win for users."""
+                       parts: tuple[str, ...] = ("train", "validation"), tau_seconds: float = 86400.0 * 7, test_days: float = 1, val_days: float = 1,
+                       **options) -> None:
+    """Store of an articles.parquet with one folder of behaviors and history per part; later parts win for users.
+
+    `user_recency` has each user's clicks up to the end of the training part, so that it holds nothing of what is predicted.
+    """
     articles = unify_articles(read_articles_parquet(spark, f"{raw_dir}/articles.parquet"), "parquet")
     users = [distinct_users(read_history_parquet(spark, f"{raw_dir}/{p}/history.parquet")) for p in parts]
     impressions = union_all([unify_impressions_parquet(
         read_behaviors_parquet(spark, f"{raw_dir}/{p}/behaviors.parquet")) for p in parts])
-    build_store(spark, root, dataset, articles, users, impressions, **options)
+    clicks = union_all([history_clicks(spark.read.parquet(f"{raw_dir}/{p}/history.parquet")) for p in parts])
+    end = impressions.agg((F.max("time") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit((test_days + val_days) * 86400.0))).alias("end")).scalar()
+    build_store(spark, root, dataset, articles, users, impressions, test_days=test_days, val_days=val_days,
+                features={"user_recency": recency_features(clicks, end, tau_seconds)}, **options)
 
 
 def index_from_store(tables: dict[str, DataFrame]) -> LexicalIndex:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.lists import ids_to_string, rename_and_default
 from newsloom.functions.text import parse_candidates, parse_history
+from newsloom.sources.writers import bucket_table
 
 # Column order of the headerless TSV files.
 NEWS_SCHEMA = (
@@ -165,5 +166,15 @@ def load_store(spark: SparkSession, root: str, dataset: str, tables: tuple[str,
     return {t: spark.read.parquet(f"{root}/{t}").where(F.col("dataset") == dataset).drop("dataset") for t in tables}
 
 
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `write_bucketed` left at `path`; declared to the catalog if this session doesn't know it yet."""
+    table = bucket_table(path)
+    if not spark.catalog.tableExists(table):
+        key, buckets = path.rsplit("_by_", 1)[1].rsplit("_", 1)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def _as_list(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,23 @@ def write_index(index, root: str, dataset: str) -> None:
     write_table(index.stats, root, "stats", dataset)
 
 
+def bucket_table(path: str) -> str:
+    """Name in the catalog of the bucketed table at `path`."""
+    return "bucketed_" + hashlib.md5(path.encode()).hexdigest()[:16]
+
+
+def write_bucketed(df: DataFrame, root: str, name: str, key: str, buckets: int | None = None) -> str:
+    """A store table in hash buckets of `key`, sorted in each; joins on the key read it without a shuffle of its side.
+
+    The default is as many buckets as a shuffle has partitions, so that the other side of a join comes to the buckets. One
+    task writes one bucket. The number of buckets is part of the path, so that a session that finds the files can declare the table.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{root}/{name}_by_{key}_{buckets}"
+    df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(bucket_table(path))
+    return path
+
+
 def write_embeddings(df: DataFrame, root: str, dataset: str) -> DataFrame:
     """Append the vectors of articles that the store lacks, and return the rows written."""
     spark = df.sparkSession

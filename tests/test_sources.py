@@ -86,3 +86,46 @@ def test_entry_has_rows(spark):
 
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() == 30
+
+
+def test_bucketed_postings_join_without_a_shuffle_of_their_side(spark, tmp_path):
+    from newsloom.operators import lexical
+
+    arts = spark.createDataFrame([(f"a{i}", f"t{i % 7} t{i % 5} x", "") for i in range(60)], "article_id string, title string, abstract string")
+    postings = lexical.build_bm25_index(arts).postings
+    path = writers.write_bucketed(postings, str(tmp_path), "postings", "article_id")
+    stored = readers.read_bucketed(spark, path)
+    assert sorted(map(tuple, stored.select(postings.columns).collect())) == sorted(map(tuple, postings.collect()))
+    spark.sql(f"DROP TABLE {writers.bucket_table(path)}")  # a session that finds only the files declares the table again
+    stored = readers.read_bucketed(spark, path)
+    pairs = spark.createDataFrame([(f"u{i % 4}", f"a{i}") for i in range(0, 60, 2)], "user_id string, article_id string")
+    query = spark.createDataFrame([(f"u{i}", "t1", 1.0) for i in range(4)], "user_id string, term string, idf double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        matched = lexical.match_terms(pairs, query, stored)
+        plan = matched._jdf.queryExecution().sparkPlan().toString()
+        executed = matched._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, matched.collect()))
+        above = executed.split("FileScan parquet")[0].splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(tuple, lexical.match_terms(pairs, query, postings).collect()))
+    # Of the two sides of the join on the article only the pairs are exchanged.
+    scan = next(i for i, line in enumerate(executed.splitlines()) if "FileScan" in line and "Bucketed: true" in line)
+    depth = executed.splitlines()[scan].find("FileScan")
+    parents = []
+    for line in reversed(executed.splitlines()[:scan]):
+        at = next((i for i, c in enumerate(line) if c.isalpha()), 0)
+        if at < depth:
+            parents.append(line.strip(" :+-*()0123456789"))
+            depth = at
+    assert plan and above and "SortMergeJoin" in " ".join(parents)
+    assert not any(p.startswith("Exchange") for p in parents[:next(i for i, p in enumerate(parents) if "SortMergeJoin" in p)])
+
+
+def test_profile_files_has_the_bytes_of_each_file(spark, tmp_path):
+    import os
+    spark.range(100).repartition(3).write.parquet(f"{tmp_path}/t")
+    got = readers.profile_files(spark.read.parquet(f"{tmp_path}/t")).collect()
+    assert sum(r.n_rows for r in got) == 100 and len(got) == 3
+    assert all(r.n_bytes == os.path.getsize(r.file_path.removeprefix("file:").replace("///", "/")) for r in got)
