@@ -5,8 +5,8 @@ has a Krichevsky-Trofimov estimate in every context of 0 to `DEPTH` preceding by
 are mixed with the weights that the training counts give them. Contexts and counts come from all training texts.
 
 Training counts (context, symbol) pairs in the map tasks and sums them in one shuffle. Scoring works in blocks of
-texts: a block asks for the values of its own distinct keys, packed by key bucket; every bucket answers; the block
-adds up its texts. Neither a task nor the driver ever holds the whole model: the driver gets the two lowest depths.
+texts: a block asks for the values of its own distinct keys, packed by key bucket; every bucket answers, `ASKERS` blocks at
+a time; the block adds up its texts. Neither a task nor the driver ever holds the whole model: the driver gets the two lowest depths.
 """
 
 from __future__ import annotations
@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import buffers, chunks, numbered
 from newsloom.session import stage
 
-#: Bytes of context. With four, one context pair of bytes has at most 2**16 · 257 keys, which bounds a group.
+#: Bytes of context. With four, one pair of bytes has at most 2**16 · 257 keys, which bounds a group.
 DEPTH = 4
 END = 256
 #: Text bytes per scoring block.
 BLOCK = 4 << 20
 #: Distinct keys that a counting task holds before it passes them on.
 HELD = 1 << 20
+#: Keys whose trees are held at a time, about a kB each, and keys of a group of byte pairs.
+KEYS = 1 << 17
+#: Blocks whose requests to a bucket are answered together.
+ASKERS = 2048
 
 
 def keys_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +103,7 @@ def decisions(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Subtrees:
-    """Nodes of depth 2 to `DEPTH` of the keys of whole depth-2 contexts, with counts and mixture weights."""
+    """Nodes of depth 3 to `DEPTH` of the keys of whole depth-3 contexts, with counts and mixture weights."""
 
     def __init__(self, keys: np.ndarray, times: np.ndarray):
         at, node, bit = decisions(keys & 511)
@@ -110,46 +114,93 @@ class Subtrees:
             ids, back = np.unique((context & ((1 << 8 * depth) - 1)) << 8 | node, return_inverse=True)
             n1 = np.bincount(back, n * bit, len(ids))
             n0 = np.bincount(back, n, len(ids)) - n1
-            kt = log_kt(n0, n1)
-            if below is None:
-                mixed = kt
-            else:
+            children = np.zeros(len(ids))
+            if below is not None:
                 parent = (below >> 8 & ((1 << 8 * depth) - 1)) << 8 | below & 255
                 children = np.bincount(np.searchsorted(ids, parent), self.mixed[depth + 1], len(ids))
-                mixed = math.log(0.5) + np.logaddexp(kt, children)
+            if depth == 2:
+                self.above = ids, n0, n1, children
+                break
+            kt = log_kt(n0, n1)
+            mixed = kt if below is None else math.log(0.5) + np.logaddexp(kt, children)
             self.ids[depth], self.n0[depth], self.n1[depth], self.kt[depth], self.mixed[depth] = ids, n0, n1, kt, mixed
             below = ids
 
+
+class Forest:
+    """The trees of a set of keys of whole depth-2 contexts, some whole depth-3 contexts of about `KEYS` keys at a time.
+
+    Depth 2 is held for all of them: at most 256 nodes for each pair of bytes.
+    """
+
+    def __init__(self, keys: np.ndarray, times: np.ndarray):
+        triple = keys >> 9 & 0xFFFFFF
+        order = np.argsort(triple, kind="stable")
+        self.keys, self.times, self.triple = keys[order], times[order], triple[order]
+        starts = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), self.triple[1:] != self.triple[:-1]]))
+        run = starts // KEYS
+        self.cuts = starts[np.concatenate([np.ones(min(len(run), 1), bool), run[1:] != run[:-1]])]
+        parts, self.tree = [], None
+        for i in range(len(self.cuts)):
+            self.tree = self.part(i)
+            parts.append(self.tree.above)
+        columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] + [np.zeros(0)] * 3
+        self.ids, back = np.unique(columns[0], return_inverse=True)
+        self.n0, self.n1, below = (np.bincount(back, c, len(self.ids)) for c in columns[1:])
+        self.kt = log_kt(self.n0, self.n1)
+        self.mixed = self.kt if DEPTH == 2 else math.log(0.5) + np.logaddexp(self.kt, below)
+
+    def part(self, i: int) -> Subtrees:
+        if self.tree is not None and len(self.cuts) == 1:
+            return self.tree
+        at = slice(self.cuts[i], self.cuts[i + 1] if i + 1 < len(self.cuts) else None)
+        return Subtrees(self.keys[at], self.times[at])
+
     def log_probability(self, keys: np.ndarray, stop: np.ndarray, acc: np.ndarray, rest: np.ndarray) -> np.ndarray:
         """Natural log of P(symbol | context) per key, given the mixture of depths 0 and 1 per (byte, node).
 
         A context that training never saw ends the path: the deepest one seen gets the weight that is left.
         """
+        out = np.zeros(len(keys))
+        first = self.triple[self.cuts] if len(self.cuts) else np.zeros(0, np.int64)
+        part = np.maximum(np.searchsorted(first, keys >> 9 & 0xFFFFFF, side="right") - 1, 0)
+        for i in range(max(len(self.cuts), 1)):
+            mine = np.flatnonzero(part == i)
+            if len(mine):
+                # Trees are built again if there are several, so that one is held at a time.
+                out[mine] = self._of(keys[mine], self.part(i) if len(self.cuts) else None, stop, acc, rest)
+        return out
+
+    def _of(self, keys: np.ndarray, tree: Subtrees | None, stop: np.ndarray, acc: np.ndarray, rest: np.ndarray) -> np.ndarray:
         at, node, bit = decisions(keys & 511)
         context = (keys >> 9)[at]
         near = context & 255
         p, sure, left = stop[near, node], acc[near, node].copy(), rest[near, node].copy()
         live = np.arange(len(at))
         for depth in range(2, DEPTH + 1):
-            ids = self.ids[depth]
+            if depth == 2:
+                ids, n0, n1, kt, mixed = self.ids, self.n0, self.n1, self.kt, self.mixed
+            elif tree is None:
+                break
+            else:
+                ids, n0, n1, kt, mixed = (x[depth] for x in (tree.ids, tree.n0, tree.n1, tree.kt, tree.mixed))
             if not len(ids):
                 break
             want = (context[live] & ((1 << 8 * depth) - 1)) << 8 | node[live]
             found = np.minimum(np.searchsorted(ids, want), len(ids) - 1)
             seen = ids[found] == want
             live, found = live[seen], found[seen]
-            n0, n1 = self.n0[depth][found], self.n1[depth][found]
-            one = (n1 + 0.5) / (n0 + n1 + 1)
+            one = (n1[found] + 0.5) / (n0[found] + n1[found] + 1)
             p[live] = sure[live] + left[live] * one
-            weight = np.ones(len(live)) if depth == DEPTH else np.minimum(
-                np.exp(math.log(0.5) + self.kt[depth][found] - self.mixed[depth][found]), 1.0)
+            weight = np.ones(len(live)) if depth == DEPTH else np.minimum(np.exp(math.log(0.5) + kt[found] - mixed[found]), 1.0)
             sure[live] += left[live] * weight * one
             left[live] *= 1 - weight
         return np.bincount(at, np.log(np.where(bit == 1, p, 1 - p)), len(keys))
 
 
-def near_pair(key: Column) -> Column:
-    return F.shiftright(key, 9).bitwiseAND(0xFFFF).cast("int")
+def pair_group(key: Column, groups: int) -> Column:
+    """The group of the two bytes before a symbol; keys of one pair are in one group."""
+    return F.pmod(F.xxhash64(F.shiftright(key, 9).bitwiseAND(0xFFFF)), F.lit(groups)).cast("int")
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -176,19 +227,19 @@ def train(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def roots(model: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def roots(model: DataFrame, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per (last byte, node): P(1) if the path ends at depth 1, the settled part of the mixture, the weight left.
 
     The driver gets one row per last byte and node at most: 2**16.
     """
 
     def top(batch: pa.Table) -> pa.Table:
-        tree = Subtrees(batch.column("key").to_numpy(), batch.column("n").to_numpy())
-        ids = tree.ids[2]
-        return pa.table({"near": (ids >> 8 & 255).astype(np.int32), "node": (ids & 255).astype(np.int32),
-                         "n0": tree.n0[2], "n1": tree.n1[2], "mixed": tree.mixed[2]})
+        forest = Forest(batch.column("key").to_numpy(), batch.column("n").to_numpy())
+        at, back = np.unique((forest.ids >> 8 & 255) << 8 | forest.ids & 255, return_inverse=True)
+        n0, n1, mixed = (np.bincount(back, x, len(at)) for x in (forest.n0, forest.n1, forest.mixed))
+        return pa.table({"near": (at >> 8).astype(np.int32), "node": (at & 255).astype(np.int32), "n0": n0, "n1": n1, "mixed": mixed})
 
-    found = (model.groupBy(near_pair(F.col("key")).alias("pair"))
+    found = (model.groupBy(pair_group(F.col("key"), groups).alias("pair"))
              .applyInArrow(top, "near int, node int, n0 double, n1 double, mixed double")
              .groupBy("near", "node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("mixed").alias("mixed")).toPandas())
     n0, n1, below = (np.zeros((256, 256)) for _ in range(3))
@@ -243,7 +294,10 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     size, trained = base.agg(F.sum(F.octet_length("text")), F.sum(F.col("learn").cast("long"))).first()
     trained, blocks = trained or 0, max(1, (size or 0) // BLOCK + 1)
     model = stage(train(base.where("learn")), "ctw-counts")
-    stop, acc, rest = roots(model)
+    groups = max(parts, model.count() // KEYS + 1)
+    stop, acc, rest = roots(model, groups)
+    slices = blocks // ASKERS + 1
+    salt = (F.col("block") % slices).cast("int")
     dealt = base.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).repartition(parts, "block")
 
     def ask_tokens(batch: pa.Table) -> pa.Table:
@@ -257,18 +311,22 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
             "tokens": pa.array([b"\n".join(x) for x in found.values()], pa.binary()),
             "n": pa.array([np.array([learned[t] for t in x], np.int64).tobytes() for x in found.values()], pa.binary())})
 
-    def answer_tokens(batch: pa.Table) -> pa.Table:
+    def sum_tokens(batch: pa.Table) -> pa.Table:
+        """One row for a bucket: its tokens of the rows given, and their counts added up."""
         total: Counter = Counter()
-        asked = [x.split(b"\n") for x in batch.column("tokens").to_pylist()]
-        for tokens, n in zip(asked, batch.column("n").to_pylist()):
-            for token, k in zip(tokens, np.frombuffer(n, np.int64).tolist()):
+        for tokens, n in zip(batch.column("tokens").to_pylist(), batch.column("n").to_pylist()):
+            for token, k in zip(tokens.split(b"\n"), np.frombuffer(n, np.int64).tolist()):
                 total[token] += k
-        known = sum(1 for k in total.values() if k)
-        first = np.arange(len(asked)) == 0
-        return pa.table({
-            "block": batch.column("block"), "bucket": batch.column("bucket"), "kind": np.zeros(len(asked), np.int32),
-            "values": pa.array([np.array([total[t] for t in x], np.int64).tobytes() for x in asked], pa.binary()),
-            "distinct": np.where(first, known, 0), "total": np.where(first, sum(total.values()), 0)})
+        counts = np.fromiter(total.values(), np.int64, len(total))
+        return pa.table({"bucket": batch.column("bucket").slice(0, 1), "tokens": pa.array([b"\n".join(total)], pa.binary()),
+                         "n": pa.array([counts.tobytes()], pa.binary()), "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())]})
+
+    def answer_tokens(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        total: dict[bytes, int] = {}
+        for tokens, n in zip(counted.column("tokens").to_pylist(), counted.column("n").to_pylist()):
+            total.update(zip(tokens.split(b"\n"), np.frombuffer(n, np.int64).tolist()))
+        packs = [np.array([total[t] for t in x.split(b"\n")], np.int64).tobytes() for x in asked.column("tokens").to_pylist()]
+        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "kind": np.zeros(len(packs), np.int32), "values": pa.array(packs, pa.binary())})
 
     def ask_keys(batch: pa.Table) -> pa.Table:
         found = [tally(keys_of(data, offsets)[1])[0] for _, _, data, offsets in chunks(batch.column("text").combine_chunks())]
@@ -285,31 +343,38 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     def rate(batch: pa.Table) -> pa.Table:
         keys, n, asked = (batch.column(x).to_numpy() for x in ("key", "n", "asked"))
         learned = n > 0
-        tree, wish = Subtrees(keys[learned], n[learned]), keys[asked > 0]
+        wish = keys[asked > 0]
         if not len(wish):
             return pa.table({"bucket": np.zeros(0, np.int64), "key": wish, "value": np.zeros(0)})
         wish, bucket = key_buckets(wish, blocks)
-        return pa.table({"bucket": bucket, "key": wish, "value": tree.log_probability(wish, stop, acc, rest)})
+        return pa.table({"bucket": bucket, "key": wish, "value": Forest(keys[learned], n[learned]).log_probability(wish, stop, acc, rest)})
 
     def answer_keys(asked: pa.Table, rated: pa.Table) -> pa.Table:
         keys, value = rated.column("key").to_numpy(), rated.column("value").to_numpy()
         order = np.argsort(keys)
         keys, value = keys[order], value[order]
         packs = [value[np.searchsorted(keys, np.frombuffer(x, np.int64))].tobytes() for x in asked.column("keys").to_pylist()]
-        none = np.zeros(len(packs), np.int64)
-        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "kind": np.ones(len(packs), np.int32),
-                         "values": pa.array(packs, pa.binary()), "distinct": none, "total": none})
-
-    answer = "block long, bucket long, kind int, values binary, distinct long, total long"
-    token_answers = (dealt.groupBy("block").applyInArrow(ask_tokens, "bucket long, block long, tokens binary, n binary")
-                     .groupBy("bucket").applyInArrow(answer_tokens, answer))
-    asked = dealt.groupBy("block").applyInArrow(ask_keys, "bucket long, block long, keys binary").repartition(parts, "bucket")
-    wanted = asked.groupBy("bucket").applyInArrow(wanted_keys, "key long")
+        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "kind": np.ones(len(packs), np.int32), "values": pa.array(packs, pa.binary())})
+
+    def to_all(df: DataFrame) -> DataFrame:
+        """A bucket's rows for each slice of the blocks that ask it."""
+        return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+
+    answer, slice_ = "block long, bucket long, kind int, values binary", ["bucket", "salt"]
+    asked_tokens = stage(dealt.groupBy("block").applyInArrow(ask_tokens, "bucket long, block long, tokens binary, n binary").withColumn("salt", salt), "ctw-tokens")
+    packed = "bucket long, tokens binary, n binary, distinct long, total long"
+    counted = asked_tokens.groupBy(*slice_).applyInArrow(sum_tokens, packed)
+    if slices > 1:
+        counted = counted.groupBy("bucket").applyInArrow(sum_tokens, packed)
+    counted = stage(counted, "ctw-words")
+    token_answers = asked_tokens.groupBy(*slice_).cogroup(to_all(counted).groupBy(*slice_)).applyInArrow(answer_tokens, answer)
+    asked = dealt.groupBy("block").applyInArrow(ask_keys, "bucket long, block long, keys binary").withColumn("salt", salt).repartition(parts, *slice_)
+    wanted = asked.groupBy(*slice_).applyInArrow(wanted_keys, "key long")
     rated = (model.select("key", "n", F.lit(0).alias("asked")).unionByName(wanted.select("key", F.lit(0).cast("long").alias("n"), F.lit(1).alias("asked")))
              .groupBy("key").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
-             .groupBy(near_pair(F.col("key")).alias("pair")).applyInArrow(rate, "bucket long, key long, value double"))
-    key_answers = asked.groupBy("bucket").cogroup(rated.groupBy("bucket")).applyInArrow(answer_keys, answer)
-    answers = token_answers.select("block", "bucket", "kind", "values").unionByName(key_answers.select("block", "bucket", "kind", "values"))
+             .groupBy(pair_group(F.col("key"), groups).alias("pair")).applyInArrow(rate, "bucket long, key long, value double"))
+    key_answers = asked.groupBy(*slice_).cogroup(to_all(rated).groupBy(*slice_)).applyInArrow(answer_keys, answer)
+    answers = token_answers.unionByName(key_answers)
 
     def add_up(texts: pa.Table, found: pa.Table) -> pa.Table:
         column = texts.column("text").combine_chunks()
@@ -343,7 +408,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     kind = dict(base.dtypes)["id"]
     summed = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         add_up, f"id {kind}, n_tokens long, n_known long, logs double, score double")
-    totals = token_answers.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).select(
+    totals = counted.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).select(
         (F.col("total") + trained).alias("train_tokens"), (F.col("distinct") + int(trained > 0)).alias("vocabulary"))
     return summed.join(F.broadcast(totals)).select(
         F.col("id").alias(id_col), "n_tokens", "n_known", "train_tokens",

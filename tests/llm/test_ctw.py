@@ -81,6 +81,9 @@ def base(train, text):
 @pytest.mark.parametrize("block", [1 << 22, 300])
 def test_scores_match_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(ctw, "BLOCK", block)
+    if block < 1000:  # several trees per group, several slices of the asking blocks
+        monkeypatch.setattr(ctw, "KEYS", 5)
+        monkeypatch.setattr(ctw, "ASKERS", 2)
     rng = random.Random(block)
     docs = [(i, " ".join(rng.choice(["ab", "Ab", "ébc", "cab", "x\ty"]) for _ in range(rng.randint(0, 30)))) for i in range(40)]
     docs += [(40, None), (41, ""), (42, docs[3][1]), (43, "\0\0")]
@@ -109,7 +112,7 @@ def test_no_training_texts_and_empty_tables(spark):
 def test_every_context_has_probabilities_that_add_up_to_one():
     import numpy as np
     keys, times = ctw.tally(ctw.keys_of(np.frombuffer(b"abracadabra", np.uint8), np.array([0, 11]))[1])
-    tree = ctw.Subtrees(keys, times)
+    tree = ctw.Forest(keys, times)
     near = [np.full((256, 256), x) for x in (0.5, 0.1, 0.8)]
     every = (keys[3] >> 9 << 9) | np.arange(257)
     assert np.exp(tree.log_probability(every, *near)).sum() == pytest.approx(1)
