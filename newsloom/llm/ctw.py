@@ -286,7 +286,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     the whole text and its end; `base_score` that of its words and one end under word counts with one added. Null
     counts as an empty text, which has one token, its end. Repeated ids and texts are counted and scored row by row,
     but rows that agree in id and text share a number and appear once per row. Without training texts every decision
-    has probability one half. Further columns are not read.
+    has probability one half. Texts of any length are scored whole, in one block. Further columns are not read.
     """
     spark = docs.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

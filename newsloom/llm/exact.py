@@ -59,8 +59,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Of texts that are equal without white space, the row with the most code points and then the smallest id stays.
     Null and empty texts are one group. Rows that repeat id, text and length are one row each in the result, and of
-    them only one is `kept`. A null id is the largest. Further columns of `docs` are not read. An empty table gives
-    an empty result.
+    them only one is `kept`. A null id is the largest. Texts of any length are compared whole. Further columns of `docs` are
+    not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     text = normalised(F.col(text_col))

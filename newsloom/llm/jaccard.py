@@ -227,7 +227,9 @@ def jaccard_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     Sets are the distinct n-word shingles of the whole text, A-Z lower-cased; a text of fewer words is one shingle, null and
     empty texts and those without words have none and are linked with nothing. Documents link when
     100 · |intersection| ≥ `percent` · |union|. Equal sets always link. A null id is the smallest; rows that agree in id and text
-    are rows of one document. Further columns are not read. An empty table gives an empty result.
+    are rows of one document. Texts of any length are cut into shingles whole; shingles are equal when 64 bits of their
+    hashes are. Further columns are not
+    read. An empty table gives an empty result.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent is above 0 and at most 100")

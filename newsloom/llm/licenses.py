@@ -148,8 +148,10 @@ def places(docs: DataFrame, templates: list[tuple[str, str]] = NOTICES, percent:
 
     A window is a run of words, line breaks being blanks, that begins and ends in a bigram of a template (no marks at the
     ends). All windows that reach `percent` count; those of a licence that share a bigram make one place, from the first
-    word to the last (from 1), with the best coefficient. Each row of `docs` has its own places. Templates have two words
-    at least.
+    word to the last (from 1), with the best coefficient. Each row of `docs` has its own places, so rows that repeat an id
+    repeat them. Null and empty texts hold nothing, very long ones are searched whole; equal coefficients make one place all
+    the same. Further columns are not read, whatever their names; an empty table gives an empty result. Templates have two
+    words at least.
     """
     spark = docs.sparkSession
     rows, anchors, longest = [], {}, 1

@@ -177,7 +177,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     A byte goes if a string of `length` bytes around it also starts earlier: in a document of smaller id, or earlier in
     the same one. Null counts as empty; texts shorter than `length` stay whole. Documents of null id come first, rows
     of one id are ordered by a hash of their text, and rows equal in both count as one document and get the same
-    result. Further columns are not read. An empty table gives an empty result.
+    result. Texts of any length are judged whole. Strings of a segment are compared byte by byte; whole segments, and the
+    strings of anchors with more than `crowded` contexts, are equal when 128 bits of two hashes are. Further columns are not
+    read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
