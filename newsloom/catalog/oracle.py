@@ -590,10 +590,10 @@ def oracle_sql() -> dict[str, str]:
         "column_presence": w(_presence()),
         "build_bm25_index": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post"),
         "history_query": w("SELECT user_id, term FROM c_query"),
-        "bm25_score": w("SELECT row_id, article_id, round(lexical, 6) AS score FROM c_test JOIN c_lex USING (user_id, article_id)", ALL),
+        "bm25_score": w("SELECT row_id, article_id, lexical AS score FROM c_test JOIN c_lex USING (user_id, article_id)", ALL),
         "l2_normalize": w("SELECT article_id, dim, round(x, 6) AS value FROM c_unit"),
         "user_vector": w("SELECT u.user_id, d.dim, round(coalesce(x, 0), 6) AS value FROM c_users u CROSS JOIN (SELECT CAST(dim AS BIGINT) AS dim FROM range(64) r(dim)) d LEFT JOIN c_uvec v ON v.user_id = u.user_id AND v.dim = d.dim"),
-        "semantic_score": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
+        "semantic_score": w("""SELECT row_id, article_id, CAST(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END) AS DOUBLE) AS score
             FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", ALL),
         "popularity_score": w(POP_LINES),
         "embed_articles": w("""SELECT article_id, d.dim, CAST(CASE d.dim WHEN 0 THEN length(t) WHEN 1 THEN length(t) - length(replace(t, ' ', ''))
@@ -684,7 +684,7 @@ def oracle_sql() -> dict[str, str]:
         "build_bm25_index_repeats": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
         "index_append": w("SELECT term, article_id, tf, dl, df, round(idf, 6) AS idf, round(weight, 6) AS weight FROM c_post", _LATE_ARTICLES),
         "index_compact": w("SELECT article_id, dl, n, round(avgdl, 6) AS avgdl FROM c_dl, c_stats", _LATE_ARTICLES),
-        "semantic_score_repeats": w("""SELECT row_id, article_id, round(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END), 6) AS score
+        "semantic_score_repeats": w("""SELECT row_id, article_id, CAST(coalesce(semantic, CASE WHEN k.user_id IS NULL THEN 0 ELSE -999 END) AS DOUBLE) AS score
             FROM c_test JOIN c_sem USING (user_id, article_id) LEFT JOIN c_known k USING (user_id)""", _LATE_VECTORS | ALL),
         "attach_category_repeats": w("SELECT row_id, pos, article_id, coalesce(category, 'unknown') AS category FROM c_test LEFT JOIN c_art USING (article_id)", _LATE_ARTICLES | ALL),
         "retrieval_recall": w("SELECT model, round(avg(recall_50), 6) AS recall_50, round(avg(recall_100), 6) AS recall_100, round(avg(recall_200), 6) AS recall_200 FROM c_deep GROUP BY model", _DEEP),

@@ -834,7 +834,7 @@ def history_query(spark, sf):
 @query
 def bm25_score(spark, sf):
     cands = evaluate.score_lexical(all_candidates(spark, sf), users(spark, sf), index(spark, sf))
-    return cands.select("row_id", "article_id", r6("score").alias("score"))
+    return cands.select("row_id", "article_id", "score")
 
 
 @query
@@ -854,7 +854,7 @@ def user_vector(spark, sf):
 @query
 def semantic_score(spark, sf):
     cands = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), t.vectors(spark, sf), "last")
-    return cands.select("row_id", "article_id", r6("score").alias("score"))
+    return cands.select("row_id", "article_id", "score")
 
 
 @query
@@ -1326,7 +1326,7 @@ def index_compact(spark, sf):
 @query
 def semantic_score_repeats(spark, sf):
     scores = evaluate.score_semantic(all_candidates(spark, sf), users(spark, sf), repeated_vectors(spark, sf), "last")
-    return scores.select("row_id", "article_id", r6("score").alias("score"))
+    return scores.select("row_id", "article_id", "score")
 
 
 @query
