@@ -6,7 +6,7 @@ import pytest
 
 from newsloom.llm.repeats import remove_repeats
 from newsloom.llm import suffixes
-from newsloom.llm.suffixes import induce, induce_singly, suffix_array
+from newsloom.llm.suffixes import doubled, suffix_array
 
 SCHEMA = "doc_id long, text string, source string, row int, n string"
 
@@ -68,20 +68,21 @@ def test_suffix_arrays_match_sorting():
         s = np.append(rng.integers(1, rng.integers(2, 6), rng.integers(1, 80)), 0)
         want = sorted(range(len(s)), key=lambda i: s[i:].tolist())
         assert suffix_array(s, int(s.max()) + 1).tolist() == want
+        assert doubled(s).tolist() == want
 
 
-def test_long_strings_recurse_and_both_scans_agree(monkeypatch):
+def test_long_strings_with_and_without_doubling(monkeypatch):
     rng = random.Random(12)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(4000)]
     text = " ".join(rng.choice(words) for _ in range(9000)).encode()[:40_000]
     text += text[:5000]
     s = np.concatenate([np.frombuffer(text, np.uint8).astype(np.int64) + 1, [0]])
     want = [len(text)] + sorted(range(len(text)), key=lambda i: text[i:])
-    for most, forms in ((4096, {"induce", "induce_singly"}), (0, {"induce_singly"}), (1 << 30, {"induce"})):
+    for most, deep in ((1000, 2), (1 << 30, 3)):
         monkeypatch.setattr(suffixes, "SYMBOLS", most)
-        used = []
-        for form in (induce, induce_singly):
-            monkeypatch.setattr(suffixes, form.__name__, lambda s, *rest, form=form: (used.append((form.__name__, len(s))), form(s, *rest))[1])
-        assert suffix_array(s, 257).tolist() == want
-        # Three strings at least were sorted: the text, its substrings' names, and the names of those.
-        assert len({n for _, n in used}) >= 3 and {f for f, _ in used} == forms
+        sorted_, array = [], suffixes.suffix_array
+        monkeypatch.setattr(suffixes, "suffix_array", lambda s, k: (sorted_.append(len(s)), array(s, k))[1])
+        assert suffixes.suffix_array(s, 257).tolist() == want
+        monkeypatch.setattr(suffixes, "suffix_array", array)
+        # The text and its substrings' names at least; without doubling the names of those as well.
+        assert len(sorted_) >= deep
