@@ -366,7 +366,7 @@ _BALLS = {
     "c_angle": """SELECT article_id, cell, acos(greatest(least(sum(x * value), 1.0::DOUBLE), -1.0::DOUBLE)) AS angle, sqrt(sum(x * x)) AS norm
         FROM c_unit JOIN c_cell USING (article_id) JOIN c_centre USING (cell, dim) GROUP BY ALL""",
 }
-_TABLES, _BITS, _PROBES = 48, 10, 8
+_TABLES, _BITS, _PROBES = 48, 10, 9
 _ANN = {
     "c_planes": _planes(_TABLES, _BITS),
     "c_acode": """SELECT article_id, tab, sum(CASE WHEN s > 0 THEN 1 << bit ELSE 0 END)::BIGINT AS code FROM (
