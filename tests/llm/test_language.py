@@ -70,3 +70,19 @@ def test_held_out_accuracy(spark):
     n, good = right.agg(F.count("*"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int"))).first()
     assert n > 200 and good / n > 0.97
     assert got.where(held_out(F.col("doc_id"), 4) != F.col("held_out")).count() == 0
+
+
+def test_six_mixed_languages_and_as_many_slots_for_any_number(spark):
+    rng = __import__("random").Random(4)
+    words = {f"l{i}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[3 * i:3 * i + 6]) for _ in range(6)) for _ in range(40)] for i in range(7)}
+    labelled = spark.createDataFrame([(" ".join(w * 3), name) for name, w in words.items()], "text string, lang string")
+    model = language.train(labelled)
+    assert model[2] == language.BITS and language.train(labelled.where("lang < 'l2'"))[2] == language.BITS
+    mixed = " ".join(" ".join(words[f"l{i}"]) for i in range(6))
+    docs = spark.createDataFrame([(mixed, [1], "kept")], "text string, langs array<int>, lang_fit string")
+    row = language.identify(docs.drop("langs", "lang_fit"), model).first()
+    assert sorted(row["langs"]) == [f"l{i}" for i in range(6)] and row["lang_pred"] in row["langs"]
+    # The filter leaves columns of any name as they are.
+    one = spark.createDataFrame([(" ".join(words["l3"]), [1], "kept"), ("12", [2], "gone")], docs.schema)
+    assert [r["lang_fit"] for r in language.known(one, model, 0.3, 0.2, 40).collect()] == ["kept"]
+    assert language.known(one, model, 0.3, 0.2, 40).columns == one.columns

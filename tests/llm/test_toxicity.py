@@ -92,3 +92,13 @@ def test_the_sample_bounds_the_rows(spark):
     d, l = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
     small = toxicity.train(d, l, sample=20)
     assert len(small[0]) < len(toxicity.train(d, l)[0])
+
+
+def test_a_labelled_id_that_docs_repeat_is_one_text_of_the_sample(spark, monkeypatch):
+    docs, labels = corpus()
+    once = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    again = spark.createDataFrame(docs + [docs[0]] * 500, DOCS)
+    many = toxicity.train(again, spark.createDataFrame(labels, LABELS))
+    assert all((x == y).all() for x, y in zip(once, many))
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2000)
+    assert len(toxicity.train(again, spark.createDataFrame(labels, LABELS))[0]) < len(once[0])
