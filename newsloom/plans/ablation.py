@@ -6,11 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.functions.lists import empty_ids
 from newsloom.operators.beyond import compare_with_ci
 from newsloom.operators.metrics import ranking_metrics
 from newsloom.operators.popularity import attach_popularity
 from newsloom.operators.skew import skew_join
-from newsloom.operators.unify import history_rows, labeled_candidates
+from newsloom.operators.unify import labeled_candidates
 from newsloom.session import stage
 
 FEATURES = ("one", "popularity", "seen", "logged_read")
@@ -21,14 +22,20 @@ ABSENT = ("logged_read",)
 def candidate_features(impressions: DataFrame, log: DataFrame, users: DataFrame, pop: DataFrame) -> DataFrame:
     """Candidates of split impressions with FEATURES: popularity in training, whether the user has read the article, and the read
     time that the log has for it (`log`: impression_id, article_id, read_time), which is known only after the click."""
-    cands = labeled_candidates(impressions, keep=("split", "hist_len"))
-    known = history_rows(users).select("user_id", "article_id").distinct().withColumn("seen", F.lit(1.0))
-    after = log.where(F.col("article_id").isNotNull()).select(
-        F.col("impression_id").cast("string").alias("row_id"), F.col("article_id").cast("string").alias("article_id"), F.col("read_time").alias("logged_read"))
-    rows = skew_join(attach_popularity(cands, pop), known, ["user_id", "article_id"], "left")
-    rows = rows.join(after.groupBy("row_id", "article_id").agg(F.max("logged_read").alias("logged_read")), ["row_id", "article_id"], "left")
-    return rows.select("row_id", "user_id", "split", "hist_len", "pos", "label", F.lit(1.0).alias("one"), F.log1p(F.col("clicks").cast("double")).alias("popularity"),
-                       F.coalesce("seen", F.lit(0.0)).alias("seen"), F.coalesce(F.col("logged_read").cast("double"), F.lit(0.0)).alias("logged_read"))
+    key = "row_id" if "row_id" in impressions.columns else "impression_id"
+    listed = F.concat(F.coalesce("clicked_articles", empty_ids()), F.coalesce("unclicked_articles", empty_ids()))
+    before = users.groupBy("user_id").agg(F.flatten(F.collect_list(F.coalesce("history", empty_ids()))).alias("before"))
+    after = log.where(F.col("article_id").isNotNull()).groupBy(F.col("impression_id").cast("string").alias(key)).agg(
+        F.collect_list(F.struct(F.col("article_id").cast("string").alias("article_id"), "read_time")).alias("after"))
+    # History and read times meet the impression, which is a tenth of its candidates' rows; its candidates become rows afterwards.
+    rows = skew_join(impressions, before, ["user_id"], "left").withColumn("before", F.array_intersect(listed, "before"))
+    cands = labeled_candidates(rows.join(after, key, "left"), keep=("split", "hist_len", "before", "after"))
+    read = F.array_max(F.transform(F.filter("after", lambda x: x["article_id"] == F.col("article_id")), lambda x: x["read_time"]))
+    cands = cands.select("row_id", "user_id", "split", "hist_len", "pos", "article_id", "label", read.cast("double").alias("logged_read"),
+                         F.array_contains("before", F.col("article_id")).cast("double").alias("seen"))
+    return attach_popularity(cands, pop).select(
+        "row_id", "user_id", "split", "hist_len", "pos", "label", F.lit(1.0).alias("one"), F.log1p(F.col("clicks").cast("double")).alias("popularity"),
+        F.coalesce("seen", F.lit(0.0)).alias("seen"), F.coalesce("logged_read", F.lit(0.0)).alias("logged_read"))
 
 
 def normal_equations(rows: DataFrame, features: tuple[str, ...], label: str = "label") -> tuple[np.ndarray, np.ndarray]:
