@@ -12,7 +12,7 @@ from newsloom.operators.lexical import LexicalIndex, build_bm25_index
 from newsloom.operators.semantic import hash_encoder_vectors
 from newsloom.operators.splits import assert_split_order, temporal_split, union_all
 from newsloom.operators.unify import (
-    distinct_users, first_history, latest_users, one_per_id, unify_articles, unify_impressions_parquet, unify_impressions_tsv)
+    distinct_users, first_history, latest_users, settle_repeats, unify_articles, unify_impressions_parquet, unify_impressions_tsv)
 from newsloom.sources.readers import (
     read_articles_parquet, read_behaviors_parquet, read_behaviors_tsv, read_history_parquet, read_news_tsv)
 from newsloom.sources.writers import missing_embeddings, path_exists, write_index, write_splits, write_table
@@ -24,21 +24,27 @@ def build_feature_store(articles: DataFrame, user_frames: list[DataFrame]) -> tu
     return articles, latest_users(union_all(ranked))
 
 
+def embed_unique(articles: DataFrame) -> DataFrame:
+    """`hash_encoder_vectors` of a table with one row per id."""
+    return hash_encoder_vectors(articles, unique=True)
+
+
 def build_store(spark: SparkSession, root: str, dataset: str, articles: DataFrame, user_frames: list[DataFrame],
-                impressions: DataFrame, embed: Callable[[DataFrame], DataFrame] = hash_encoder_vectors,
+                impressions: DataFrame, embed: Callable[[DataFrame], DataFrame] = embed_unique,
                 test_days: float = 1, val_days: float = 1, features: dict[str, DataFrame] | None = None) -> None:
     """Write all store tables of one dataset, and those of `features` beside them.
 
-    Articles that have a stored vector are not embedded again.
+    Articles that have a stored vector are not embedded again. Stored articles have one row per id, so their texts are
+    not shuffled again.
     """
-    articles, users = build_feature_store(one_per_id(articles), user_frames)
+    articles, users = build_feature_store(settle_repeats(articles), user_frames)
     write_table(articles, root, "articles", dataset)
     write_table(users, root, "users", dataset)
     write_splits(temporal_split(impressions, test_days, val_days), root, dataset)
     mine = F.col("dataset") == dataset
     assert_split_order(spark.read.parquet(f"{root}/impressions").where(mine))
     stored = spark.read.parquet(f"{root}/articles").where(mine).drop("dataset")
-    write_index(build_bm25_index(stored), root, dataset)
+    write_index(build_bm25_index(stored, unique=True, clustered=True), root, dataset)
     write_embeddings_once(spark, root, dataset, stored, embed)
     for name, df in (features or {}).items():
         write_table(df, root, name, dataset)
